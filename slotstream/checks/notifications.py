@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotstream.checks.base import query
@@ -15,7 +15,7 @@ SINCE = "2024-01-10 00:00:00"
 NOW = "2024-03-01 12:00:00"
 
 
-def moment(value: str) -> F.Column:
+def moment(value: str) -> Column:
     return F.lit(value).cast("timestamp")
 
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotstream.checks.base import query
@@ -16,7 +16,7 @@ MAY = (2026, 5)
 TODAY = "DATE '1998-06-15'"
 
 
-def today() -> F.Column:
+def today() -> Column:
     return F.lit(dt.date(1998, 6, 15))
 
 

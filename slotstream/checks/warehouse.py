@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotstream.checks.base import query
@@ -12,7 +12,10 @@ from slotstream.plans import warehouse as plan
 from slotstream.sources.registry import TABLES
 from slotstream.testdata import messages, view, with_views
 
-INGESTED = F.lit("2024-02-01 00:00:00").cast("timestamp")
+
+
+def ingested() -> Column:
+    return F.lit("2024-02-01 00:00:00").cast("timestamp")
 
 
 def staged(spark: SparkSession, sf: str, name: str, table: str, renames: dict[str, str]) -> DataFrame:
@@ -20,7 +23,7 @@ def staged(spark: SparkSession, sf: str, name: str, table: str, renames: dict[st
     cfg = TABLES[table]
     changes = view(spark, sf, name).withColumnsRenamed(renames)
     raw = messages(changes, cfg, cfg.topic())
-    return staging.to_staging(cdc.decode(raw, cfg, ingested_at=INGESTED), cfg, batch_id=0)
+    return staging.to_staging(cdc.decode(raw, cfg, ingested_at=ingested()), cfg, batch_id=0)
 
 
 def staged_version(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -35,7 +38,7 @@ def staged_version(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def slot_staging(spark: SparkSession, sf: str) -> DataFrame:
     raw = slot_messages(spark, sf)
-    return staging.to_staging(cdc.decode(raw, SLOT, ingested_at=INGESTED), SLOT, batch_id=0)
+    return staging.to_staging(cdc.decode(raw, SLOT, ingested_at=ingested()), SLOT, batch_id=0)
 
 
 def _current_sql(view_name: str, key: str, columns: dict[str, str], nullable: dict[str, str]) -> str:
@@ -95,7 +98,7 @@ def dim_current_patient(spark: SparkSession, sf: str) -> DataFrame:
         .withColumns({c: F.unix_micros("ts") for c in ("created_at", "updated_at")})
     )
     raw = messages(changes, cfg, cfg.topic())
-    stg = staging.to_staging(cdc.decode(raw, cfg, ingested_at=INGESTED), cfg, batch_id=0)
+    stg = staging.to_staging(cdc.decode(raw, cfg, ingested_at=ingested()), cfg, batch_id=0)
     return warehouse.current(warehouse.dim_patient(stg), "dim_patient")
 
 
@@ -130,7 +133,7 @@ def staging_rows(spark: SparkSession, sf: str) -> DataFrame:
         .withColumns({c: F.unix_micros("ts") for c in ("created_at", "updated_at")})
     )
     raw = messages(changes, cfg, cfg.topic())
-    rows = staging.to_staging(cdc.decode(raw, cfg, ingested_at=INGESTED), cfg, batch_id=7)
+    rows = staging.to_staging(cdc.decode(raw, cfg, ingested_at=ingested()), cfg, batch_id=7)
     return rows.drop("source_partition", "source_offset")
 
 

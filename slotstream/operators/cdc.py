@@ -28,7 +28,7 @@ def envelope(row: T.StructType) -> T.StructType:
 
 
 def _parse(raw: DataFrame, cfg: TableConfig, *, corrupt: bool = False) -> DataFrame:
-    """One `message` struct per non-NULL value.
+    """One `message` struct per row, NULL where the value is NULL.
 
     The parsed struct passes through a one-row explode. A plain column would be merged into
     every filter above it, and each message would be parsed once per filter again.
@@ -45,7 +45,7 @@ def _parse(raw: DataFrame, cfg: TableConfig, *, corrupt: bool = False) -> DataFr
     text = raw.select(F.col("value").cast("string").alias("value"), *position)
     parsed = F.from_json("value", schema, options)
     kept = ["value"] if corrupt else []
-    return text.filter(F.col("value").isNotNull()).select(
+    return text.select(
         *kept, *[alias for _, alias, _ in POSITION], F.explode(F.array(parsed)).alias("message")
     )
 
@@ -107,22 +107,15 @@ def decode(
 def rejected(raw: DataFrame, cfg: TableConfig) -> DataFrame:
     """The messages `decode` leaves out, each with the reason."""
     payload = F.col("message.payload")
-    reason = F.when(
-        payload.isNull() & F.col(f"message.{CORRUPT}").isNotNull(), F.lit("unparsable")
-    ).when(payload.isNull(), F.lit("no_payload")).when(
-        _image(payload, cfg.pk, "column").isNull(), F.lit("null_key")
+    reason = (
+        F.when(F.col("value").isNull(), F.lit("no_value"))
+        .when(payload.isNull() & F.col(f"message.{CORRUPT}").isNotNull(), F.lit("unparsable"))
+        .when(payload.isNull(), F.lit("no_payload"))
+        .when(_image(payload, cfg.pk, "column").isNull(), F.lit("null_key"))
     )
     aliases = [alias for _, alias, _ in POSITION]
-    parsed = _parse(raw, cfg, corrupt=True).select("value", reason.alias("reason"), *aliases)
-    empty = raw.filter(F.col("value").isNull()).select(
-        F.lit(None).cast("string").alias("value"),
-        F.lit("no_value").alias("reason"),
-        *[
-            (F.col(name) if name in raw.columns else F.lit(None)).cast(kind).alias(alias)
-            for name, alias, kind in POSITION
-        ],
-    )
-    return parsed.filter(F.col("reason").isNotNull()).unionByName(empty)
+    judged = _parse(raw, cfg, corrupt=True).select("value", reason.alias("reason"), *aliases)
+    return judged.filter(F.col("reason").isNotNull())
 
 
 def decode_time_of_day(df: DataFrame, columns: list[str]) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from slotstream.functions import messages, status, text
+from slotstream.operators import latest
 
 # fixed values: the channel, the actions that notify, and the reasons for a failure
 CHANNEL = "EMAIL"
@@ -53,19 +54,25 @@ def dedupe(
     ts: str = "cdc_ts",
     delay: str = "10 minutes",
     within_watermark: bool = True,
+    salts: int = 8,
     order: tuple[str, ...] = ("cdc_ts", "source_partition", "source_offset"),
 ) -> DataFrame:
     """One event per `notification_key`.
 
     On a stream keys are remembered for the watermark delay, so the state stays bounded and
     the audit log catches repeats from longer ago; with `within_watermark=False` keys are
-    remembered for ever. In a batch the earliest event of each key is kept.
+    remembered for ever. Copies of a key are first dropped in `salts` separate groups, so a
+    key repeated without end is not worked through by one task (`salts=1` leaves that out).
+    In a batch the earliest event of each key is kept.
     """
     if events.isStreaming:
-        marked = events.withWatermark(ts, delay)
-        if within_watermark:
-            return marked.dropDuplicatesWithinWatermark(["notification_key"])
-        return marked.dropDuplicates(["notification_key"])
+        rows = events.withWatermark(ts, delay)
+        key = ["notification_key"]
+        if salts > 1:
+            salt = F.pmod(F.xxhash64(*events.columns), F.lit(salts))
+            rows = _drop_copies(rows.withColumn("_salt", salt), [*key, "_salt"], within_watermark)
+            rows = rows.drop("_salt")
+        return _drop_copies(rows, key, within_watermark)
     rest = [c for c in events.columns if c != "notification_key"]
     position = [c for c in order if c in events.columns] or rest
     return (
@@ -76,6 +83,12 @@ def dedupe(
     )
 
 
+def _drop_copies(rows: DataFrame, keys: list[str], within_watermark: bool) -> DataFrame:
+    if within_watermark:
+        return rows.dropDuplicatesWithinWatermark(keys)
+    return rows.dropDuplicates(keys)
+
+
 def to_messages(events: DataFrame) -> DataFrame:
     """Topic messages `(key, value)`: the event as JSON with its time as `event_time`."""
     fields = [
@@ -89,7 +102,7 @@ def to_messages(events: DataFrame) -> DataFrame:
 
 def not_yet_sent(events: DataFrame, audit: DataFrame) -> DataFrame:
     """Events without a SENT row in the audit log."""
-    sent = audit.filter(F.col("send_status") == "SENT").select("notification_key")
+    sent = latest.unique_keys(audit.filter(F.col("send_status") == "SENT"), ["notification_key"])
     return events.join(sent, "notification_key", "left_anti").select(*events.columns)
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from slotstream.functions import status, text
+from slotstream.operators import latest
 
 
 def _metrics(pk: str) -> list[Column]:
@@ -67,12 +68,8 @@ def registration_checks(registrations: DataFrame, patients: DataFrame, today: Co
 
     Input: `phone, email, insurance_prefix, insurance_digits, gender, date_of_birth`.
     """
-    taken = (
-        patients.filter(F.col("insurance_number").isNotNull())
-        .select("insurance_number")
-        .distinct()
-        .withColumn("_taken", F.lit(True))
-    )
+    known = patients.filter(F.col("insurance_number").isNotNull())
+    taken = latest.unique_keys(known, ["insurance_number"]).withColumn("_taken", F.lit(True))
 
     def matches(column: str, pattern: str) -> Column:
         return F.coalesce(F.col(column).rlike(pattern), F.lit(False))
