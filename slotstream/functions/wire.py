@@ -25,7 +25,7 @@ def days_to_date(days: Column) -> Column:
 def _ticks_to_ts(ticks: Column, per_second: int, precision: str) -> Column:
     if precision not in PRECISIONS:
         raise ValueError(f"precision must be one of {PRECISIONS}, not {precision!r}")
-    inside = ticks.between(MIN_SECOND * per_second, MAX_SECOND * per_second)
+    inside = ticks.between(MIN_SECOND * per_second, (MAX_SECOND + 1) * per_second - 1)
     if precision == "second":
         # integral division truncates toward zero and stays exact for any 64-bit value
         whole = F.call_function("div", ticks, F.lit(per_second))
