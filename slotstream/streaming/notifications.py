@@ -45,15 +45,18 @@ def event_stream(
     *,
     delay: str = "10 minutes",
     within_watermark: bool = True,
+    salts: int = 8,
 ) -> DataFrame:
     """Notification messages `(key, value)` from the change topic of the booking log.
 
-    Events behind the watermark are dropped with the duplicates; progress reports count them.
+    With bounded state, events behind the watermark are dropped along with the copies, and
+    the progress reports count them. With `within_watermark=False` nothing is ever forgotten
+    and nothing is late.
     """
     rows = cdc.decode(messages, LOG)
     events = notify.booking_events(rows, since)
     return notify.to_messages(
-        notify.dedupe(events, delay=delay, within_watermark=within_watermark)
+        notify.dedupe(events, delay=delay, within_watermark=within_watermark, salts=salts)
     )
 
 
