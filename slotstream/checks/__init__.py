@@ -3,6 +3,7 @@
 from slotstream.checks import (  # noqa: F401
     bookings,
     change_data,
+    inputs,
     notifications,
     quality,
     records,

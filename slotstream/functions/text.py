@@ -10,6 +10,9 @@ PHONE = r"^0\d{9}$"
 EMAIL = r"^[^\s@]+@[^\s@]+\.[^\s@]+$"
 INSURANCE_DIGITS = r"^\d{13}$"
 INSURANCE_PREFIXES = ["GD", "DN", "CH", "QN"]
+# fixed values: texts that stand for a missing value in CSV files
+MISSING_TEXTS = ["", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+                 "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null"]
 # fixed values: formats of dates and times in the input files
 US_DATE = "M/d/yyyy"
 TWELVE_HOUR = "yyyy-MM-dd hh:mma"
@@ -39,9 +42,8 @@ def split_pattern_key(key: Column) -> tuple[Column, Column]:
 
 
 def blank_to_null(value: Column) -> Column:
-    """Empty text and the text NaN both mean a missing value."""
-    trimmed = F.trim(value)
-    return F.when((trimmed != "") & (F.lower(trimmed) != "nan"), trimmed)
+    """NULL for the texts that stand for a missing value; any other text is kept as it is."""
+    return F.when(~value.isin(MISSING_TEXTS), value)
 
 
 def nan_to_null(value: Column) -> Column:

@@ -27,8 +27,7 @@ def number_rows(
     read again: the ranges come from a sample, and the two readers must see the same ones.
     """
     keys = keys or []
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(parts, *keys, *order).sortWithinPartitions(*keys, *order)
+    ranged = df.repartitionByRange(*keys, *order).sortWithinPartitions(*keys, *order)
     ranged = materialise(
         ranged.withColumns(
             {
@@ -39,8 +38,8 @@ def number_rows(
     )
     counts = ranged.groupBy(*keys, PART).agg(F.count(F.lit(1)).alias("_n"))
     before = W.partitionBy(*keys).orderBy(PART).rowsBetween(W.unboundedPreceding, -1)
-    # Only the first key of a partition can have started in an earlier one, so at most
-    # `parts` rows remain and the broadcast is bounded whatever the data.
+    # Only the first key of a partition can have started in an earlier one, so at most one
+    # row per partition remains and the broadcast is bounded whatever the data.
     shifts = counts.select(
         *keys, F.col(PART).alias("_at"), F.sum("_n").over(before).alias(SHIFT)
     ).filter(F.col(SHIFT) > 0)

@@ -14,6 +14,10 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.parquet.filterPushdown": "true",
+    # stream state outgrows the heap long before it outgrows local disks
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -56,9 +60,11 @@ def run_dir(spark: SparkSession, label: str) -> str:
 
 
 def materialise(df: DataFrame) -> DataFrame:
-    """Write `df` once to reliable storage, so later branches all see the very same rows."""
-    spark = df.sparkSession
-    folder = shared_dir(spark)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    """Write `df` as a table to the shared folder and read it from there.
+
+    All later branches see the very same rows, read only the columns they need, and lost
+    executors cost no recomputation beyond this table.
+    """
+    path = run_dir(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

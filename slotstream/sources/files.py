@@ -12,9 +12,14 @@ ACTION_SYNONYMS = {"BOOK": "BOOKED", "CANCEL": "CANCELLED"}
 
 
 def _csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """All columns as text, found by header name; typing is left to the caller."""
-    frame = spark.read.option("header", True).option("multiLine", False).csv(path)
-    by_name = {name.lstrip("﻿").strip().lower(): name for name in frame.columns}
+    """All columns as text, found by header name; typing is left to the caller.
+
+    Quoted fields may hold line breaks, so a file is read by one task: large inputs should
+    come as a folder of many files.
+    """
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    frame = reader.csv(path)
+    by_name = {name.lstrip("\ufeff").strip().lower(): name for name in frame.columns}
     missing = [name for name in columns if name.lower() not in by_name]
     if missing:
         raise ValueError(f"{path} lacks the columns {missing}; it has {frame.columns}")

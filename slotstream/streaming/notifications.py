@@ -69,40 +69,49 @@ def outbox_writer(
 ) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` function that settles notification events.
 
-    Judged events, messages and audit rows each go to the batch's own folder below `root`:
-    `judged`, `outbox`, `audit_pending`, `audit`. PENDING rows are written before `send` is
-    called, SENT and FAILED rows after it. A repeated batch replaces its folders and ignores
-    its own earlier audit rows; it then sends again, so delivery is at least once.
-    `references` gives patients, slots and doctors.
+    Each step goes to the batch's own folder below `root`: `events`, `judged`, `outbox`,
+    `audit_pending`, `audit`, and the next step starts from there, so the source is read
+    once. PENDING rows are written before `send` is called, SENT and FAILED rows after it. A
+    repeated batch replaces its folders and ignores its own earlier audit rows; it then sends
+    again, so delivery is at least once. `references` gives patients, slots and doctors.
     """
     clock = F.current_timestamp() if now is None else now
+    key = ["notification_key"]
 
-    def earlier_audit(spark: SparkSession, batch_id: int) -> DataFrame:
+    def earlier_audit(spark: SparkSession, events: DataFrame, batch_id: int) -> DataFrame:
+        """Audit rows of earlier batches, of keys in the range of this one.
+
+        Keys are numbered upwards and the files are sorted by them, so the range keeps most
+        of the log from being read.
+        """
         schema = T.StructType([*AUDIT_SCHEMA.fields, T.StructField(writers.BATCH, T.LongType())])
         writers.ensure_table(spark, AUDIT_SCHEMA, f"{root}/audit")
+        low, high = events.agg(F.min(*key), F.max(*key)).first()
         rows = spark.read.schema(schema).parquet(f"{root}/audit")
-        return rows.filter(F.col(writers.BATCH) < batch_id).select(*AUDIT_SCHEMA.names)
+        earlier = (F.col(writers.BATCH) < batch_id) & F.col(*key).between(F.lit(low), F.lit(high))
+        return rows.filter(earlier).select(*AUDIT_SCHEMA.names)
+
+    def step(df: DataFrame, name: str, batch_id: int) -> DataFrame:
+        folder = writers.parquet_batch(df, f"{root}/{name}", batch_id, sort_by=key)
+        return df.sparkSession.read.schema(df.schema).parquet(folder)
 
-    def write_batch(events: DataFrame, batch_id: int) -> None:
-        spark = events.sparkSession
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        events = step(batch, "events", batch_id)
         patients, slots, doctors = references(spark)
-        judged = notify.outbox(events, earlier_audit(spark, batch_id), patients, slots, doctors)
-        folder = writers.parquet_batch(judged, f"{root}/judged", batch_id)
-        stored = spark.read.schema(judged.schema).parquet(folder)
-        sendable = stored.filter(F.col("error_message") == "")
-        writers.parquet_batch(
-            notify.audit_rows(sendable, F.lit("PENDING"), clock), f"{root}/audit_pending", batch_id
-        )
-        mails = notify.outgoing(stored)
-        writers.parquet_batch(mails, f"{root}/outbox", batch_id)
+        audit = earlier_audit(spark, events, batch_id)
+        judged = step(notify.outbox(events, audit, patients, slots, doctors), "judged", batch_id)
+        sendable = judged.filter(F.col("error_message") == "")
+        step(notify.audit_rows(sendable, F.lit("PENDING"), clock), "audit_pending", batch_id)
+        mails = step(notify.outgoing(judged), "outbox", batch_id)
         failed = send(mails) if send else None
         if failed is not None:
-            failures = failed.select("notification_key", F.col("error_message").alias("_failure"))
-            stored = stored.join(failures, "notification_key", "left").withColumn(
+            failures = failed.select(*key, F.col("error_message").alias("_failure"))
+            judged = judged.join(failures, key, "left").withColumn(
                 "error_message", F.coalesce("_failure", "error_message")
             )
         outcome = F.when(F.col("error_message") == "", F.lit("SENT")).otherwise(F.lit("FAILED"))
-        writers.parquet_batch(notify.audit_rows(stored, outcome, clock), f"{root}/audit", batch_id)
+        step(notify.audit_rows(judged, outcome, clock), "audit", batch_id)
 
     return write_batch
 

@@ -6,6 +6,7 @@ import argparse
 from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
@@ -50,8 +51,12 @@ def _slots_of(rows: DataFrame, root: str) -> DataFrame:
     spark = rows.sparkSession
     path = f"{root}/{TABLES['doctor_slot'].staging_table}"
     writers.ensure_table(spark, SLOT_VERSIONS, path)
+    # Slot ids start with their date and staged files are sorted by them, so the range of the
+    # batch keeps most of the history from being read.
+    low, high = rows.agg(F.min("slot_id"), F.max("slot_id")).first()
     known = spark.read.option("recursiveFileLookup", True).schema(SLOT_VERSIONS).parquet(path)
-    named = known.join(latest.unique_keys(rows, ["slot_id"]), "slot_id", "left_semi")
+    near = known.filter(F.col("slot_id").between(F.lit(low), F.lit(high)))
+    named = near.join(latest.unique_keys(rows, ["slot_id"]), "slot_id", "left_semi")
     return warehouse.slot_attributes(named)
 
 
@@ -103,6 +108,20 @@ def table_stream(
     )
 
 
+def rejected_stream(
+    messages: DataFrame, cfg: TableConfig, path: str, checkpoint_root: str
+) -> DataStreamWriter:
+    """The messages `table_stream` cannot use, with the reason, to a table of their own."""
+    return (
+        cdc.rejected(messages, cfg)
+        .writeStream.outputMode("append")
+        .queryName(f"rejected_{cfg.name}")
+        .option("checkpointLocation", f"{cfg.checkpoint(checkpoint_root)}_rejected")
+        .format("parquet")
+        .option("path", path)
+    )
+
+
 def run_all(streams: Iterable[DataStreamWriter], *, once: bool = False) -> list[StreamingQuery]:
     """Start all streams and wait. With `once` each handles what is there and ends.
 

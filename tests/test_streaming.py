@@ -103,6 +103,15 @@ def test_metrics_see_null_keys(spark, tmp_path):
     assert staged(spark, str(tmp_path)).count() == 1
 
 
+def test_rejected_messages_are_kept(spark, tmp_path, rows):
+    path, out = str(tmp_path / "topic"), str(tmp_path / "rejected")
+    bad = ("k", "not json", SLOT.topic(), 0, 5)
+    write_messages(spark, path, [message(SLOT, 0), bad, message(SLOT, 1, slot_id=None)])
+    source = topics.stream(spark, SLOT.topic(), fmt="parquet", path=path)
+    staging.run_all([staging.rejected_stream(source, SLOT, out, str(tmp_path / "cp"))], once=True)
+    assert rows(spark.read.parquet(out), "reason", "source_offset") == [("null_key", 1), ("unparsable", 5)]
+
+
 def test_facts_follow_their_slot(spark, tmp_path, rows):
     """A booking before its slot gets empty columns; compaction puts them right later."""
     root = str(tmp_path / "root")
