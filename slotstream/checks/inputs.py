@@ -90,8 +90,9 @@ def csv_slot(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def transaction_file(spark: SparkSession, sf: str) -> str:
+    """The booking log in order of time, file after file."""
     return as_csv(
-        view(spark, sf, "v_txn").select(
+        view(spark, sf, "v_txn").orderBy("created_at", "transaction_id").select(
             F.col("slot_id").alias("slotID"),
             F.col("patient_id").alias("patientID"),
             F.lower("action").alias("status"),
@@ -152,16 +153,15 @@ def csv_record(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "seed_appointments",
     with_views("v_txn")
-    + """, log AS (SELECT slot_id, patient_id, action, date_trunc('minute', created_at) AS created_at FROM v_txn),
-numbered AS (SELECT *, 'TXN26' || lpad(CAST(row_number() OVER (ORDER BY created_at, slot_id, patient_id, action) AS STRING),
-  8, '0') AS booking_ref FROM log),
+    + """, numbered AS (SELECT slot_id, patient_id, action, date_trunc('minute', created_at) AS created_at, 'TXN26' || lpad(
+  CAST(row_number() OVER (ORDER BY v_txn.created_at, transaction_id) AS STRING), 8, '0') AS booking_ref FROM v_txn),
 live AS (SELECT booking_ref, slot_id, patient_id, created_at AS booked_at FROM (SELECT *, row_number() OVER (
   PARTITION BY slot_id ORDER BY created_at DESC, booking_ref DESC) AS rn FROM numbered) WHERE rn = 1 AND action = 'BOOKED')
 SELECT *, CAST(row_number() OVER (ORDER BY booked_at, booking_ref) AS INT) AS appointment_id FROM live""",
 )
 def seed_appointments(spark: SparkSession, sf: str) -> DataFrame:
     """The booking log from CSV files, numbered, and the live bookings rebuilt from it."""
-    log = seed.transactions(files.transaction_csv(spark, transaction_file(spark, sf)))
+    log = seed.transactions(files.transaction_csv(spark, transaction_file(spark, sf), lines=True))
     return seed.appointments(log)
 
 

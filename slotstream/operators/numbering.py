@@ -21,7 +21,8 @@ PLACE_MASK = (1 << 33) - 1
 def number_rows(
     df: DataFrame, order: list[str], out: str, *, keys: list[str] | None = None, start: int = 1
 ) -> DataFrame:
-    """Adds `out`: 1, 2, 3, ... by `order`, per `keys` if given. `order` must be total.
+    """Adds `out`: 1, 2, 3, ... by `order`, per `keys` if given. `order` must be total: rows
+    alike in it would share a partition, however many they are.
 
     The range-partitioned rows are written to the shared folder before they are counted and
     read again: the ranges come from a sample, and the two readers must see the same ones.
@@ -45,7 +46,7 @@ def number_rows(
     ).filter(F.col(SHIFT) > 0)
     here = F.col(PLACE)
     if keys:
-        here = F.row_number().over(W.partitionBy(PART, *keys).orderBy(*order))
+        here = F.row_number().over(W.partitionBy(PART, *keys).orderBy(PLACE))
     numbered = ranged.withColumn(PLACE, here)
     same = F.col(f"l.{PART}") == F.col("r._at")
     for key in keys:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotstream.operators import booking, mutations, schedule
+from slotstream.session import materialise
 from slotstream.sources import files
 
 # fixed values: prefixes and widths of generated keys
@@ -13,22 +14,26 @@ DOCTOR_ID = ("DR", 3)
 RECORD_ID = ("REC26", 8)
 
 
+def _numbered(
+    rows: DataFrame, out: str, prefix: str | None = None, width: int = 0
+) -> DataFrame:
+    """Generated keys in file order. Equal lines stay apart: each has a place of its own."""
+    placed = materialise(rows)
+    made = mutations.with_sequence_ids(placed, files.LINE, out, prefix=prefix, width=width)
+    made = made.drop(*files.LINE)
+    return made if prefix else made.withColumn(out, F.col(out).cast("int"))
+
+
 def doctors(rows: DataFrame) -> DataFrame:
-    prefix, width = DOCTOR_ID
-    order = ["doctor_name", "specialty", "start_working_date"]
-    return mutations.with_sequence_ids(rows, order, "doctor_id", prefix=prefix, width=width)
+    return _numbered(rows, "doctor_id", *DOCTOR_ID)
 
 
 def patients(rows: DataFrame) -> DataFrame:
-    made = mutations.with_sequence_ids(rows, rows.columns, "patient_id")
-    return made.withColumn("patient_id", F.col("patient_id").cast("int"))
+    return _numbered(rows, "patient_id")
 
 
 def transactions(rows: DataFrame) -> DataFrame:
-    order = ["created_at", "slot_id", "patient_id", "action"]
-    return mutations.with_sequence_ids(
-        rows, order, "transaction_id", prefix=booking.TRANSACTION_PREFIX, width=booking.TRANSACTION_WIDTH
-    )
+    return _numbered(rows, "transaction_id", booking.TRANSACTION_PREFIX, booking.TRANSACTION_WIDTH)
 
 
 def appointments(log: DataFrame) -> DataFrame:
@@ -38,26 +43,32 @@ def appointments(log: DataFrame) -> DataFrame:
     return made.withColumn("appointment_id", F.col("appointment_id").cast("int"))
 
 
+def _without_conflicts(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """The rows an insert into an empty table takes that ignores conflicts: the first per key."""
+    return mutations.insert_ignore(rows.limit(0), rows, keys, files.LINE)
+
+
 def records(rows: DataFrame) -> DataFrame:
-    prefix, width = RECORD_ID
-    unique = ["slot_id", "patient_id", "version_number"]
-    once = mutations.insert_ignore(rows.limit(0), rows, unique)
-    return mutations.with_sequence_ids(once, unique, "record_id", prefix=prefix, width=width)
+    once = _without_conflicts(rows, ["slot_id", "patient_id", "version_number"])
+    return _numbered(once, "record_id", *RECORD_ID)
+
+
+def slots(rows: DataFrame) -> DataFrame:
+    return _without_conflicts(rows, ["slot_id"]).drop(*files.LINE)
 
 
 def seed(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
     """All tables from the files `doctor, patient, doctor_slot, appointment_transaction, medical_record`."""
-    slot_rows = files.slot_csv(spark, paths["doctor_slot"])
-    log = transactions(files.transaction_csv(spark, paths["appointment_transaction"]))
-    doctor_rows = doctors(files.doctor_csv(spark, paths["doctor"]))
+    log = transactions(files.transaction_csv(spark, paths["appointment_transaction"], lines=True))
+    doctor_rows = doctors(files.doctor_csv(spark, paths["doctor"], lines=True))
     return {
         "slot_code_template": schedule.slot_template(spark),
         "calendar_day": schedule.calendar_days(spark),
         "doctor": doctor_rows,
         "doctor_insert_month": schedule.month_locks(doctor_rows),
-        "patient": patients(files.patient_csv(spark, paths["patient"])),
-        "doctor_slot": mutations.insert_ignore(slot_rows.limit(0), slot_rows, ["slot_id"]),
+        "patient": patients(files.patient_csv(spark, paths["patient"], lines=True)),
+        "doctor_slot": slots(files.slot_csv(spark, paths["doctor_slot"], lines=True)),
         "appointment_transaction": log,
         "appointment": appointments(log),
-        "medical_record": records(files.record_csv(spark, paths["medical_record"])),
+        "medical_record": records(files.record_csv(spark, paths["medical_record"], lines=True)),
     }

@@ -1,4 +1,7 @@
-"""CSV inputs with declared columns. Files start with a header row, maybe with a UTF-8 BOM."""
+"""CSV inputs with declared columns. Files start with a header row, maybe with a UTF-8 BOM.
+
+With `lines` a loader also gives the `LINE` columns, by which rows can be put in file order.
+"""
 
 from __future__ import annotations
 
@@ -11,8 +14,12 @@ from slotstream.functions import text
 ACTION_SYNONYMS = {"BOOK": "BOOKED", "CANCEL": "CANCELLED"}
 
 
+# where a row stood: the file, and a number that grows with the lines of a file
+LINE = ["_file", "_line"]
+
+
 def _csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
-    """All columns as text, found by header name; typing is left to the caller.
+    """All columns as text, found by header name, and `LINE`; typing is left to the caller.
 
     Quoted fields may hold line breaks, so a file is read by one task: large inputs should
     come as a folder of many files.
@@ -24,20 +31,27 @@ def _csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
     if missing:
         raise ValueError(f"{path} lacks the columns {missing}; it has {frame.columns}")
     return frame.select(
-        *[text.blank_to_null(F.col(f"`{by_name[name.lower()]}`")).alias(name) for name in columns]
+        *[text.blank_to_null(F.col(f"`{by_name[name.lower()]}`")).alias(name) for name in columns],
+        F.input_file_name().alias("_file"),
+        F.monotonically_increasing_id().alias("_line"),
     )
 
 
-def doctor_csv(spark: SparkSession, path: str) -> DataFrame:
+def _lines(wanted: bool) -> list[str]:
+    return LINE if wanted else []
+
+
+def doctor_csv(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
     rows = _csv(spark, path, ["doctorName", "specialty", "StartWorkingDate"])
     return rows.select(
         F.col("doctorName").alias("doctor_name"),
         "specialty",
         text.parse_date(F.col("StartWorkingDate"), text.US_DATE).alias("start_working_date"),
+        *_lines(lines),
     )
 
 
-def patient_csv(spark: SparkSession, path: str) -> DataFrame:
+def patient_csv(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
     rows = _csv(
         spark,
         path,
@@ -52,10 +66,11 @@ def patient_csv(spark: SparkSession, path: str) -> DataFrame:
         F.coalesce(born.try_cast("date"), text.parse_date(born, text.US_DATE)).alias("date_of_birth"),
         "gender",
         "email",
+        *_lines(lines),
     )
 
 
-def slot_csv(spark: SparkSession, path: str) -> DataFrame:
+def slot_csv(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
     rows = _csv(spark, path, ["slotID", "doctorID", "date", "slotCode"])
     day = F.col("date")
     return rows.select(
@@ -65,10 +80,13 @@ def slot_csv(spark: SparkSession, path: str) -> DataFrame:
         F.col("slotCode").alias("slot_code"),
         F.lit("AVAILABLE").alias("slot_status"),
         F.lit("AVAILABLE").alias("admin_status"),
+        *_lines(lines),
     )
 
 
-def transaction_csv(spark: SparkSession, path: str, *, synonyms: bool = False) -> DataFrame:
+def transaction_csv(
+    spark: SparkSession, path: str, *, synonyms: bool = False, lines: bool = False
+) -> DataFrame:
     """Booking log. With `synonyms`, book and cancel are read as BOOKED and CANCELLED."""
     rows = _csv(spark, path, ["slotID", "patientID", "status", "event_timestamp"])
     action = F.upper("status")
@@ -80,20 +98,22 @@ def transaction_csv(spark: SparkSession, path: str, *, synonyms: bool = False) -
         F.col("patientID").try_cast("int").alias("patient_id"),
         action.alias("action"),
         text.parse_twelve_hour(F.col("event_timestamp")).alias("created_at"),
+        *_lines(lines),
     )
 
 
-def appointment_csv(spark: SparkSession, path: str) -> DataFrame:
+def appointment_csv(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
     rows = _csv(spark, path, ["booking_ref", "slotID", "patientID", "booked_at"])
     return rows.select(
         "booking_ref",
         F.col("slotID").alias("slot_id"),
         F.col("patientID").try_cast("int").alias("patient_id"),
         text.parse_twelve_hour(F.col("booked_at")).alias("booked_at"),
+        *_lines(lines),
     )
 
 
-def record_csv(spark: SparkSession, path: str) -> DataFrame:
+def record_csv(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
     """Medical records; the one time in the file fills both time columns."""
     rows = _csv(spark, path, ["slotID", "patientID", "version", "diagnosis", "treatment", "updated_at"])
     changed = F.col("updated_at").try_cast("timestamp")
@@ -105,4 +125,5 @@ def record_csv(spark: SparkSession, path: str) -> DataFrame:
         F.col("treatment").alias("prescription_note"),
         changed.alias("created_at"),
         changed.alias("updated_at"),
+        *_lines(lines),
     )

@@ -102,20 +102,35 @@ def test_missing_column_is_named(spark, tmp_path):
 
 def test_first_load(spark, paths, rows):
     out = seed.seed(spark, paths)
-    assert rows(out["doctor"], "doctor_id", "doctor_name") == [("DR001", "Al"), ("DR002", "Zoë Ä")]
+    assert rows(out["doctor"], "doctor_id", "doctor_name") == [("DR001", "Zoë Ä"), ("DR002", "Al")]
     assert out["doctor_slot"].count() == 2
     assert rows(out["appointment_transaction"], "transaction_id", "action") == [
-        ("TXN2600000001", "BOOKED"), ("TXN2600000002", "BOOKED"), ("TXN2600000003", "CANCELLED"),
+        ("TXN2600000001", "BOOKED"), ("TXN2600000002", "CANCELLED"), ("TXN2600000003", "BOOKED"),
     ]
     assert rows(out["appointment"], "appointment_id", "booking_ref", "slot_id") == [
-        (1, "TXN2600000001", "20260504DR0018B")
+        (1, "TXN2600000003", "20260504DR0018B")
     ]
     assert rows(out["medical_record"], "record_id", "version_number", "prescription_note") == [
-        ("REC2600000001", 1, "again"), ("REC2600000002", 2, None),
+        ("REC2600000001", 1, "rest"), ("REC2600000002", 2, None),
     ]
     assert out["doctor_insert_month"].count() == 2 * 296
 
 
+def test_equal_lines_get_numbers_of_their_own(spark, tmp_path):
+    lines = ["slotID,patientID,status,event_timestamp"] + ["S1,1,booked,2026-05-01 09:20am"] * 500
+    path = put(tmp_path, "same.csv", *lines)
+    log = seed.transactions(files.transaction_csv(spark, path, lines=True))
+    assert sorted(r.transaction_id for r in log.collect()) == [f"TXN26{i:08d}" for i in range(1, 501)]
+
+
+def test_notes_over_several_lines(spark, tmp_path, rows):
+    path = put(tmp_path, "r.csv", "slotID,patientID,version,diagnosis,treatment,updated_at",
+               'S1,1,1,"first\nsecond ""quoted""",  spaced ,2026-05-04 10:00')
+    assert rows(files.record_csv(spark, path), "diagnosis_note", "prescription_note") == [
+        ('first\nsecond "quoted"', "  spaced "),
+    ]
+
+
 def test_file_topics(spark, tmp_path, rows):
     data = [(None, "a", "t1", 0, 1), ("k", '{"x":1}', "t2", 0, 1), ("k", "b", "t3", 0, 1)]
     df = spark.createDataFrame(data, "key string, value string, topic string, partition int, offset long")
