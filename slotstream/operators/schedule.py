@@ -215,15 +215,23 @@ def merge_slots(current: DataFrame, new: DataFrame) -> DataFrame:
     return mutations.upsert(current, new, ["slot_id"], guard=guard)
 
 
-def merge_month(slots: DataFrame, new: DataFrame, year: int, month: int) -> DataFrame:
-    """`merge_slots` for slots generated for one month.
+def _in_month(year: int, month: int) -> Column:
+    first, end = month_bounds(year, month)
+    return (F.col("slot_date") >= F.lit(first)) & (F.col("slot_date") < F.lit(end))
+
 
-    A generated id starts with its date, so only that month of the table can conflict and
-    only that month is shuffled.
+def merged_month(slots: DataFrame, new: DataFrame, year: int, month: int) -> DataFrame:
+    """That month of the table, with the slots generated for it merged in.
+
+    A generated id starts with its date, so no other month can conflict and none is read.
     """
-    first, end = month_bounds(year, month)
-    inside = (F.col("slot_date") >= F.lit(first)) & (F.col("slot_date") < F.lit(end))
-    return slots.filter(~inside).unionByName(merge_slots(slots.filter(inside), new))
+    return merge_slots(slots.filter(_in_month(year, month)), new)
+
+
+def merge_month(slots: DataFrame, new: DataFrame, year: int, month: int) -> DataFrame:
+    """The whole table with the merged month; only that month is shuffled."""
+    others = slots.filter(~_in_month(year, month))
+    return others.unionByName(merged_month(slots, new, year, month))
 
 
 def lock_months(locks: DataFrame, doctors: DataFrame, year: int, month: int) -> DataFrame:
@@ -239,10 +247,14 @@ def lock_months(locks: DataFrame, doctors: DataFrame, year: int, month: int) ->
 
 @dataclass(frozen=True)
 class MonthPlan:
-    """Result of a month's generation: who got slots, the new slots, both merged tables."""
+    """Result of a month's generation.
+
+    Who got slots, the new slots, the month as merged, and both tables as a whole.
+    """
 
     doctors: DataFrame
     generated: DataFrame
+    month: DataFrame
     slots: DataFrame
     locks: DataFrame
 
@@ -259,7 +271,11 @@ def confirm(
     """Generate one month for the doctors given, merge it and lock the month."""
     new = generate(doctors, choices, days, year, month)
     return MonthPlan(
-        doctors, new, merge_month(slots, new, year, month), lock_months(locks, doctors, year, month)
+        doctors,
+        new,
+        merged_month(slots, new, year, month),
+        merge_month(slots, new, year, month),
+        lock_months(locks, doctors, year, month),
     )
 
 

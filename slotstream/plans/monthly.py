@@ -12,19 +12,26 @@ from slotstream.session import build_session
 from slotstream.sources.tables import table
 
 
-def run(spark: SparkSession, source: str, target: str, today: dt.date) -> None:
-    """Generate next month for all doctors; read tables below `source`, write below `target`."""
+def run(spark: SparkSession, source: str, target: str, today: dt.date) -> str:
+    """Generate next month for all doctors; read tables below `source`, write below `target`.
+
+    Of the slots only the month is written, as partition `slot_month=<yyyy-mm>`: it takes the
+    place of that month in the table, whose other months stay as they are. Returns its path.
+    """
     if source.rstrip("/") == target.rstrip("/"):
-        raise ValueError("the new snapshot needs a path of its own")
+        raise ValueError("the new rows need a path of their own")
     plan = schedule.auto_generate(
         table(spark, "doctor", root=source),
-        table(spark, "doctor_slot", root=source),
+        table(spark, "doctor_slot", root=source).drop("slot_month"),
         table(spark, "doctor_insert_month", root=source),
         table(spark, "calendar_day", root=source),
         today,
     )
-    plan.slots.write.mode("errorifexists").parquet(f"{target}/doctor_slot")
-    plan.locks.write.mode("errorifexists").parquet(f"{target}/doctor_insert_month")
+    year, month = schedule.following_month(today)
+    folder = f"{target.rstrip('/')}/doctor_slot/slot_month={year:04d}-{month:02d}"
+    plan.month.write.mode("errorifexists").parquet(folder)
+    plan.locks.write.mode("errorifexists").parquet(f"{target.rstrip('/')}/doctor_insert_month")
+    return folder
 
 
 def main() -> None:

@@ -145,14 +145,20 @@ def main() -> None:
     parser.add_argument("--root", required=True, help="folder of the warehouse tables")
     parser.add_argument("--topic-prefix", default=DEFAULT_TOPIC_PREFIX)
     parser.add_argument("--once", action="store_true")
+    parser.add_argument("--max-offsets", help="messages per micro-batch and table")
+    parser.add_argument("--min-partitions", help="read tasks per table, to split large topic partitions")
     args = parser.parse_args()
     spark = build_session("change-staging")
     checkpoints = f"{shared_dir(spark)}/streams"
+    limits = {"maxOffsetsPerTrigger": args.max_offsets, "minPartitions": args.min_partitions}
+    options = {name: value for name, value in limits.items() if value}
     order = sorted(TABLES.values(), key=lambda cfg: cfg.name in SLOT_FACTS)
     run_all(
         [
             table_stream(
-                topics.stream(spark, cfg.topic(args.topic_prefix), servers=args.servers),
+                topics.stream(
+                    spark, cfg.topic(args.topic_prefix), servers=args.servers, options=options
+                ),
                 cfg,
                 stage_and_build(cfg, args.root),
                 checkpoints,

@@ -7,6 +7,8 @@ whole table.
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -240,12 +242,21 @@ def with_views(*names: str) -> str:
     return "WITH " + ",\n".join(f"{n} AS ({sql(n).format(**plain)})" for n in _closure(names))
 
 
+def _table(spark: SparkSession, sf_dir: str, table: str) -> str:
+    """Name of a temporary view of a test table, whose files are looked up only once."""
+    name = f"t{zlib.crc32(sf_dir.encode()):08x}_{table}"
+    if not spark.catalog.tableExists(name):
+        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(name)
+    return name
+
+
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A clinic table as a DataFrame."""
-    files = {t: f"parquet.`{sf_dir.rstrip('/')}/{t}.parquet`" for t in TABLES}
-    needed = [n for n in _closure((name,)) if n != name]
-    head = ",\n".join(f"{n} AS ({sql(n).format(**files)})" for n in needed)
-    body = sql(name).format(**files)
+    needed = _closure((name,))
+    used = {t for t in TABLES if any(f"{{{t}}}" in sql(n) for n in needed)}
+    names = {t: _table(spark, sf_dir.rstrip("/"), t) for t in used}
+    head = ",\n".join(f"{n} AS ({sql(n).format(**names)})" for n in needed[:-1])
+    body = sql(name).format(**names)
     return spark.sql(f"WITH {head}\n{body}" if head else body)
 
 

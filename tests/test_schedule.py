@@ -164,14 +164,19 @@ def test_auto_generate(spark, rows):
     assert rows(again.slots) == rows(plan.slots)
 
 
-def test_monthly_job_writes_a_new_snapshot(spark, tmp_path):
+def test_monthly_job_writes_the_month(spark, tmp_path):
     source, target = str(tmp_path / "v1"), str(tmp_path / "v2")
     doctors = spark.createDataFrame([("DR1",)], "doctor_id string")
     doctors.write.parquet(f"{source}/doctor")
-    april(spark).write.parquet(f"{source}/doctor_slot")
+    slots_by_month = april(spark).withColumn("slot_month", F.date_format("slot_date", "yyyy-MM"))
+    slots_by_month.write.partitionBy("slot_month").parquet(f"{source}/doctor_slot")
     schedule.month_locks(doctors).write.parquet(f"{source}/doctor_insert_month")
     schedule.calendar_days(spark).write.parquet(f"{source}/calendar_day")
-    monthly.run(spark, source, target, D(2026, 4, 30))
+    folder = monthly.run(spark, source, target, D(2026, 4, 30))
+    assert folder.endswith("slot_month=2026-05")
+    month = spark.read.parquet(folder)
+    assert month.count() == 26 * 16
+    assert month.filter("slot_status = 'BOOKED'").count() == 1
     locks = spark.read.parquet(f"{target}/doctor_insert_month").filter("is_inserted").collect()
     assert [(r.year, r.month) for r in locks] == [(2026, 5)]
     with pytest.raises(ValueError):
