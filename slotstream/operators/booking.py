@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from slotstream.functions import status, text
 from slotstream.operators import latest
+from slotstream.operators.joins import lookup
 from slotstream.operators.numbering import number_rows
 
 # fixed values: transaction ids, and the outcomes of requests
@@ -59,7 +60,7 @@ def judge_requests(requests: DataFrame, slots: DataFrame) -> DataFrame:
         .otherwise(F.lit(TAKEN))
     )
     return (
-        requests.join(known, "slot_id", "left")
+        lookup(requests, known, ["slot_id"])
         .join(firsts, "request_id", "left")
         .withColumn("message", message)
         .withColumn("success", F.col("message") == BOOKED)

@@ -8,41 +8,20 @@ the shuffle as one row per task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-SPREAD = 64
 
-
-def _keys(keys: list[str], join_side: bool) -> list[Column]:
-    """Grouping columns; with `join_side` one more, a function of the keys.
-
-    The groups stay the same, but Spark no longer takes the result as partitioned by the
-    keys alone. A join on the keys then shuffles both of its inputs, and adaptive execution
-    can split a skewed partition of the other input, which it cannot do otherwise.
-    """
-    columns = [F.col(k) for k in keys]
-    if join_side:
-        columns.append(F.pmod(F.xxhash64(*keys), F.lit(SPREAD)).alias("_spread"))
-    return columns
-
-
-def replace_latest(
-    df: DataFrame, keys: list[str], order: list[str], *, join_side: bool = False
-) -> DataFrame:
-    """One row per key: the one with the greatest `order` columns (NULL counts lowest).
-
-    `join_side` prepares the result for being the one-row-per-key side of a join.
-    """
+def replace_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
+    """One row per key: the one with the greatest `order` columns (NULL counts lowest)."""
     rest = [c for c in df.columns if c not in keys]
     newest = F.max_by(F.struct(*rest), F.struct(*order)).alias("_row")
-    grouped = df.groupBy(*_keys(keys, join_side)).agg(newest)
-    return grouped.select(*keys, "_row.*").select(*df.columns)
+    return df.groupBy(*keys).agg(newest).select(*keys, "_row.*").select(*df.columns)
 
 
 def unique_keys(df: DataFrame, keys: list[str]) -> DataFrame:
-    """The distinct keys, prepared for being the one-row-per-key side of a join."""
-    return df.groupBy(*_keys(keys, True)).agg(F.count(F.lit(1)).alias("_n")).select(*keys)
+    """The distinct keys."""
+    return df.select(*keys).distinct()
 
 
 def current(

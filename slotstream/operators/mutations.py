@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from slotstream.functions import text
 from slotstream.operators import latest
+from slotstream.operators.joins import lookup
 from slotstream.operators.numbering import number_rows
 
 Guard = dict[str, Column]
@@ -76,7 +77,7 @@ def upsert(
 
 def delete_keys(current: DataFrame, keys_df: DataFrame, keys: list[str]) -> DataFrame:
     """Current rows whose key is not listed."""
-    return current.join(latest.unique_keys(keys_df, keys), keys, "left_anti").select(*current.columns)
+    return lookup(current, latest.unique_keys(keys_df, keys), keys, "left_anti").select(*current.columns)
 
 
 def update_rows(

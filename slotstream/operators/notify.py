@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from slotstream.functions import messages, status, text
 from slotstream.operators import latest
+from slotstream.operators.joins import lookup
 
 # fixed values: the channel, the actions that notify, and the reasons for a failure
 CHANNEL = "EMAIL"
@@ -103,7 +104,7 @@ def to_messages(events: DataFrame) -> DataFrame:
 def not_yet_sent(events: DataFrame, audit: DataFrame) -> DataFrame:
     """Events without a SENT row in the audit log."""
     sent = latest.unique_keys(audit.filter(F.col("send_status") == "SENT"), ["notification_key"])
-    return events.join(sent, "notification_key", "left_anti").select(*events.columns)
+    return lookup(events, sent, ["notification_key"], "left_anti").select(*events.columns)
 
 
 def enrich(
@@ -113,11 +114,8 @@ def enrich(
     who = patients.select("patient_id", "patient_name", "email", F.lit(True).alias("_patient"))
     where = slots.select("slot_id", "slot_date", "slot_code", "doctor_id")
     whom = doctors.select("doctor_id", "doctor_name", "specialty", F.lit(True).alias("_doctor"))
-    joined = (
-        events.join(where, "slot_id", "left")
-        .join(who, "patient_id", "left")
-        .join(whom, "doctor_id", "left")
-    )
+    placed = lookup(events, where, ["slot_id"])
+    joined = lookup(lookup(placed, who, ["patient_id"]), whom, ["doctor_id"])
     found = F.coalesce(F.col("_patient") & F.col("_doctor"), F.lit(False))
     return joined.withColumn("found", found).select(
         *events.columns,

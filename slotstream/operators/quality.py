@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from slotstream.functions import status, text
 from slotstream.operators import latest
+from slotstream.operators.joins import lookup
 
 
 def _metrics(pk: str) -> list[Column]:
@@ -41,7 +42,8 @@ def duplicates(df: DataFrame, keys: list[str]) -> DataFrame:
 def orphans(df: DataFrame, column: str, parent: DataFrame, key: str) -> DataFrame:
     """Rows whose reference names no parent row."""
     known = parent.select(F.col(key).alias(column))
-    return df.filter(F.col(column).isNotNull()).join(known, column, "left_anti").select(*df.columns)
+    rows = df.filter(F.col(column).isNotNull())
+    return lookup(rows, known, [column], "left_anti").select(*df.columns)
 
 
 def not_null(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -95,7 +97,7 @@ def registration_checks(registrations: DataFrame, patients: DataFrame, today: Co
         "insurance_number", text.insurance(F.col("insurance_prefix"), F.col("insurance_digits"))
     )
     return (
-        full.join(taken, "insurance_number", "left")
+        lookup(full, taken, ["insurance_number"])
         .withColumn("reject_reason", reason)
         .select(*registrations.columns, "insurance_number", "reject_reason")
     )

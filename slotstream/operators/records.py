@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from slotstream.operators import latest
+from slotstream.operators.joins import lookup
 from slotstream.operators.numbering import number_rows
 
 VERSION_ORDER = ["version_number", "record_id"]
@@ -47,7 +48,7 @@ def by_doctor(
     """Latest record version of each slot, of one doctor or of all."""
     if doctor_id is not None:
         slots = slots.filter(F.col("doctor_id") == doctor_id)
-    named = records.join(patients.select("patient_id", "patient_name"), "patient_id")
+    named = lookup(records, patients.select("patient_id", "patient_name"), ["patient_id"], "inner")
     joined = latest_per_slot(named).join(
         slots.select("slot_id", "doctor_id", "slot_date", "slot_code"), "slot_id"
     )
@@ -73,9 +74,8 @@ def by_slot(
     if slot_id is not None:
         slots = slots.filter(F.col("slot_id") == slot_id)
         records = records.filter(F.col("slot_id") == slot_id)
-    joined = records.join(slots.select("slot_id", "slot_date", "slot_code"), "slot_id").join(
-        patients.select("patient_id", "patient_name"), "patient_id"
-    )
+    placed = lookup(records, slots.select("slot_id", "slot_date", "slot_code"), ["slot_id"], "inner")
+    joined = lookup(placed, patients.select("patient_id", "patient_name"), ["patient_id"], "inner")
     return joined.orderBy("slot_id", F.desc_nulls_first("version_number"), "record_id")
 
 
@@ -90,8 +90,11 @@ def by_insurance(
     insured = patients.filter(F.col("insurance_number").isNotNull())
     if insurance_number is not None:
         insured = insured.filter(F.col("insurance_number") == insurance_number)
-    mine = records.select("record_id", "slot_id", "patient_id", "version_number").join(
-        insured.select("patient_id", "insurance_number"), "patient_id"
+    mine = lookup(
+        records.select("record_id", "slot_id", "patient_id", "version_number"),
+        insured.select("patient_id", "insurance_number"),
+        ["patient_id"],
+        "inner",
     )
     newest = latest.replace_latest(mine, ["patient_id", "slot_id"], VERSION_ORDER)
     joined = newest.join(
@@ -130,10 +133,8 @@ def append_versions(
     numbered = number_rows(new, order, "_place", keys=list(keys))
     wanted = latest.unique_keys(new, list(keys))
     starts = wanted.join(next_version(current, keys), list(keys), "left").select(
-        *keys, F.coalesce("next_version", F.lit(1)).alias("_first"),
-        F.pmod(F.xxhash64(*keys), F.lit(latest.SPREAD)).alias("_spread"),
+        *keys, F.coalesce("next_version", F.lit(1)).alias("_first")
     )
-    spread = numbered.withColumn("_spread", F.pmod(F.xxhash64(*keys), F.lit(latest.SPREAD)))
-    joined = spread.join(starts, [*keys, "_spread"])
+    joined = lookup(numbered, starts, list(keys), "inner")
     version = (F.col("_first") + F.col("_place") - F.lit(1)).cast("int")
     return joined.select(*new.columns, version.alias("version_number"))

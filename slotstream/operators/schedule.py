@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from slotstream.functions import calendar, text
 from slotstream.operators import latest, mutations
+from slotstream.operators.joins import lookup
 
 # fixed values: the half-hour slots of a day
 SLOT_TEMPLATE = [
@@ -313,7 +314,7 @@ def holiday_cascade(
     calendar_rows = days.join(new, "date", "left").withColumn(
         "status", F.coalesce("_new", "status")
     )
-    by_day = slots.join(new.withColumnRenamed("date", "slot_date"), "slot_date", "left")
+    by_day = lookup(slots, new.withColumnRenamed("date", "slot_date"), ["slot_date"])
     is_holiday = F.col("_new") == "HOLIDAY"
     slot_rows = by_day.withColumns(
         {
@@ -326,16 +327,19 @@ def holiday_cascade(
         }
     )
     closed = latest.unique_keys(
-        slots.select("slot_id", "slot_date").join(
-            new.filter(is_holiday).select(F.col("date").alias("slot_date")), "slot_date", "left_semi"
+        lookup(
+            slots.select("slot_id", "slot_date"),
+            new.filter(is_holiday).select(F.col("date").alias("slot_date")),
+            ["slot_date"],
+            "left_semi",
         ),
         ["slot_id"],
     )
-    marked = transactions.join(closed.withColumn("_closed", F.lit(True)), "slot_id", "left")
+    marked = lookup(transactions, closed.withColumn("_closed", F.lit(True)), ["slot_id"])
     action = F.when(F.col("_closed"), F.lit("CANCELLED")).otherwise(F.col("action"))
     return {
         "calendar": calendar_rows.select(*days.columns),
         "transactions": marked.withColumn("action", action).select(*transactions.columns),
-        "appointments": appointments.join(closed, "slot_id", "left_anti").select(*appointments.columns),
+        "appointments": lookup(appointments, closed, ["slot_id"], "left_anti").select(*appointments.columns),
         "slots": slot_rows.select(*slots.columns),
     }

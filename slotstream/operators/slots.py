@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from slotstream.functions import status, text
 from slotstream.operators import latest, mutations, schedule
+from slotstream.operators.joins import lookup
 
 PLACE = ["doctor_id", "slot_date", "slot_code"]
 
@@ -75,8 +76,8 @@ def judge_updates(
     known = slots.select("slot_id", *PLACE).join(
         latest.unique_keys(appointments, ["slot_id"]).withColumn("_taken", F.lit(True)), "slot_id", "left"
     )
-    known = latest.replace_latest(known, PLACE, ["slot_id"], join_side=True)
-    judged = updates.join(holidays, "slot_date", "left").join(known, PLACE, "left")
+    known = latest.replace_latest(known, PLACE, ["slot_id"])
+    judged = lookup(lookup(updates, holidays, ["slot_date"]), known, PLACE)
     firsts = (
         updates.groupBy(*PLACE)
         .agg(F.min_by("update_id", F.struct("requested_at", "update_id")).alias("update_id"))

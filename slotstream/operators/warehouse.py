@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from slotstream.functions.status import ACTIONS, flag
 from slotstream.operators import latest
+from slotstream.operators.joins import lookup
 
 ORDER = ["dw_updated_at", "dw_version"]
 STAGING_ORDER = ["cdc_ts", "source_partition", "source_offset"]
@@ -86,17 +87,16 @@ def slot_attributes(stg_slots: DataFrame) -> DataFrame:
     known = stg_slots.filter(F.col("is_deleted") == 0).select(
         "slot_id", "doctor_id", "slot_date", "slot_code", *STAGING_ORDER
     )
-    newest = latest.replace_latest(known, ["slot_id"], STAGING_ORDER, join_side=True)
+    newest = latest.replace_latest(known, ["slot_id"], STAGING_ORDER)
     return newest.select("slot_id", "doctor_id", "slot_date", "slot_code")
 
 
 def _with_slot(stg: DataFrame, slots: DataFrame, missing: str | None) -> DataFrame:
     """Adds the slot's columns to every row; `missing` stands for text of unknown slots.
 
-    `slots` has one row per slot. Slots booked or logged far more often than others make
-    skewed partitions on the left, which adaptive execution splits.
+    `slots` has one row per slot; some slots may be booked or logged far more often than others.
     """
-    joined = stg.join(slots.select("slot_id", "doctor_id", "slot_date", "slot_code"), "slot_id", "left")
+    joined = lookup(stg, slots.select("slot_id", "doctor_id", "slot_date", "slot_code"), ["slot_id"])
     if missing is None:
         return joined
     return joined.withColumns(

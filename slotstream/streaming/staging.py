@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from slotstream.operators import cdc, latest, warehouse
+from slotstream.operators.joins import lookup
 from slotstream.session import build_session, shared_dir
 from slotstream.sinks import writers
 from slotstream.sources import topics
@@ -56,7 +57,7 @@ def _slots_of(rows: DataFrame, root: str) -> DataFrame:
     low, high = rows.agg(F.min("slot_id"), F.max("slot_id")).first()
     known = spark.read.option("recursiveFileLookup", True).schema(SLOT_VERSIONS).parquet(path)
     near = known.filter(F.col("slot_id").between(F.lit(low), F.lit(high)))
-    named = near.join(latest.unique_keys(rows, ["slot_id"]), "slot_id", "left_semi")
+    named = lookup(near, latest.unique_keys(rows, ["slot_id"]), ["slot_id"], "left_semi")
     return warehouse.slot_attributes(named)
 
 

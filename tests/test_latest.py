@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from slotstream.operators import latest, warehouse
+from slotstream.operators.joins import lookup
 from slotstream.plans import warehouse as plan
 
 SCHEMA = "k string, a string, d int, is_deleted int, dw_updated_at int, dw_version int"
@@ -62,7 +63,6 @@ def test_against_a_fold(spark):
 def test_composite_key(spark, rows):
     df = spark.createDataFrame([("x", 1, 1), ("x", 1, 2), ("x", 2, 1)], "k string, s int, v int")
     assert rows(latest.replace_latest(df, ["k", "s"], ["v"])) == [("x", 1, 2), ("x", 2, 1)]
-    assert rows(latest.replace_latest(df, ["k", "s"], ["v"], join_side=True)) == [("x", 1, 2), ("x", 2, 1)]
 
 
 def versions(spark, *data):
@@ -100,8 +100,15 @@ def test_compaction_repairs_late_slots(spark, rows):
     assert rows(fixed, "appointment_id", "doctor_id") == [(1, "DR1"), (2, "DR7")]
 
 
-@pytest.mark.parametrize("side", [True, False])
-def test_hot_key_join_is_split_only_with_the_join_side(spark, tmp_path, side):
+def test_lookup_matches_a_plain_join(spark, rows):
+    many = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k long, v string")
+    one = spark.createDataFrame([(1, "x"), (3, "z"), (None, "n")], "k int, w string")
+    for how in ("left", "inner", "left_semi", "left_anti"):
+        assert rows(lookup(many, one, ["k"], how)) == rows(many.join(one, "k", how))
+
+
+@pytest.mark.parametrize("split", [True, False])
+def test_hot_key_is_split_only_with_lookup(spark, tmp_path, split):
     """A third of the left rows share one key: the join must not run them in one task."""
     conf = {
         "spark.sql.autoBroadcastJoinThreshold": "-1",
@@ -120,13 +127,13 @@ def test_hot_key_join_is_split_only_with_the_join_side(spark, tmp_path, side):
         left.write.parquet(str(tmp_path / "left"))
         left = spark.read.parquet(str(tmp_path / "left"))
         right = spark.range(5000).select((F.col("id") % 997).alias("slot_id"), F.col("id").alias("v"))
-        slots = latest.replace_latest(right, ["slot_id"], ["v"], join_side=side)
-        joined = left.join(slots, "slot_id", "left").select("slot_id", "payload", "v")
+        slots = latest.replace_latest(right, ["slot_id"], ["v"])
+        joined = lookup(left, slots, ["slot_id"]) if split else left.join(slots, "slot_id", "left")
         joined.write.format("noop").mode("overwrite").save()
         total = joined.agg(F.count("payload"), F.count("v"))
         assert [tuple(r) for r in total.collect()] == [(120000, 120000)]
         text = total._jdf.queryExecution().executedPlan().toString()
-        assert ("skew=true" in text) == side
+        assert ("skew=true" in text) == split
     finally:
         for key, value in before.items():
             spark.conf.set(key, value) if value is not None else spark.conf.unset(key)
