@@ -84,19 +84,39 @@ def patient_view_status(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query(
-    "date_rules",
+    "lead_time_ok",
+    with_views("v_slot") + f"SELECT slot_id, slot_date >= {TODAY} + 2 AS lead_time_ok FROM v_slot",
+)
+def lead_time_ok(spark: SparkSession, sf: str) -> DataFrame:
+    rule = calendar.lead_time_ok(F.col("slot_date"), today())
+    return view(spark, sf, "v_slot").select("slot_id", rule.alias("lead_time_ok"))
+
+
+@query(
+    "editable_months",
     with_views("v_slot")
-    + f"""SELECT slot_id, slot_date >= {TODAY} + 2 AS lead_time_ok, slot_date > {TODAY} AS slot_editable,
-  slot_date >= DATE '1998-08-01' AS month_editable, CAST(date_trunc('month', slot_date) AS DATE) AS first_day,
-  last_day(slot_date) AS last_day FROM v_slot""",
+    + f"""SELECT slot_id, slot_date > {TODAY} AS slot_editable, slot_date >= DATE '1998-08-01' AS month_editable
+FROM v_slot""",
 )
-def date_rules(spark: SparkSession, sf: str) -> DataFrame:
+def editable_months(spark: SparkSession, sf: str) -> DataFrame:
     day = F.col("slot_date")
     return view(spark, sf, "v_slot").select(
         "slot_id",
-        calendar.lead_time_ok(day, today()).alias("lead_time_ok"),
         calendar.slot_editable(day, today()).alias("slot_editable"),
         calendar.month_editable(day, today()).alias("month_editable"),
+    )
+
+
+@query(
+    "month_ends",
+    with_views("v_slot")
+    + """SELECT slot_id, CAST(date_trunc('month', slot_date) AS DATE) AS first_day, last_day(slot_date) AS last_day
+FROM v_slot""",
+)
+def month_ends(spark: SparkSession, sf: str) -> DataFrame:
+    day = F.col("slot_date")
+    return view(spark, sf, "v_slot").select(
+        "slot_id",
         calendar.month_start(day).alias("first_day"),
         calendar.month_end(day).alias("last_day"),
     )
@@ -180,7 +200,7 @@ def preview_grid(spark: SparkSession, sf: str) -> DataFrame:
     return schedule.preview_grid(view(spark, sf, "v_doctor"), schedule_preview(spark, sf))
 
 
-# May 2026: the holidays of the calendar, and the doctors of odd number as already locked
+# May 2026 with the holidays of the calendar
 _GENERATED = (
     _PREVIEW
     + """, month_days AS (SELECT CAST(d AS DATE) AS slot_date, CAST(isodow(d) AS INT) AS dow,
@@ -213,7 +233,7 @@ def schedule_generate(spark: SparkSession, sf: str) -> DataFrame:
 
 _AUTO = (
     with_views("v_slot_month", "v_doctor", "v_slot")
-    + """, due AS (SELECT doctor_id FROM v_doctor WHERE CAST(right(doctor_id, 1) AS INT) % 2 = 0 AND doctor_id IN (
+    + """, due AS (SELECT doctor_id FROM v_doctor WHERE start_working_date IS NOT NULL AND doctor_id IN (
   SELECT doctor_id FROM v_slot_month WHERE slot_status = 'AVAILABLE' AND isodow(slot_date) <= 6
   GROUP BY doctor_id, isodow(slot_date), slot_code HAVING count(*) >= 2))"""
     + _GENERATED
@@ -221,11 +241,11 @@ _AUTO = (
 
 
 def auto_plan(spark: SparkSession, sf: str) -> schedule.MonthPlan:
+    """May 2026, where the month of the doctors without a first day at work is locked already."""
     doctors = view(spark, sf, "v_doctor")
-    odd = F.substring("doctor_id", -1, 1).cast("int") % 2 == 1
-    half = schedule.lock_months(locks(spark, sf), doctors.filter(odd), *MAY)
+    done = schedule.lock_months(locks(spark, sf), doctors.filter("start_working_date IS NULL"), *MAY)
     return schedule.auto_generate(
-        doctors, view(spark, sf, "v_slot_month"), half, schedule.calendar_days(spark), dt.date(2026, 4, 30)
+        doctors, view(spark, sf, "v_slot_month"), done, schedule.calendar_days(spark), dt.date(2026, 4, 30)
     )
 
 
@@ -241,8 +261,8 @@ def schedule_auto(spark: SparkSession, sf: str) -> DataFrame:
     "schedule_auto_locks",
     _AUTO
     + _LOCKS
-    + """ SELECT doctor_id, year, month, month = 5 AND (CAST(right(doctor_id, 1) AS INT) % 2 = 1
-  OR doctor_id IN (SELECT doctor_id FROM due)) AS is_inserted FROM locks""",
+    + """ SELECT doctor_id, year, month, month = 5 AND (start_working_date IS NULL
+  OR doctor_id IN (SELECT doctor_id FROM due)) AS is_inserted FROM locks JOIN v_doctor USING (doctor_id)""",
 )
 def schedule_auto_locks(spark: SparkSession, sf: str) -> DataFrame:
     return auto_plan(spark, sf).locks
