@@ -11,6 +11,7 @@ from slotstream.functions import status, text
 from slotstream.operators import latest
 from slotstream.operators.joins import lookup
 from slotstream.operators.numbering import number_rows
+from slotstream.session import materialise
 
 # fixed values: transaction ids, and the outcomes of requests
 TRANSACTION_PREFIX, TRANSACTION_WIDTH = "TXN26", 8
@@ -93,8 +94,11 @@ def admit(
     first_transaction: int = 1,
     first_appointment: int = 1,
 ) -> Outcome:
-    """Book what can be booked. Ids continue from the given numbers in request order."""
-    verdicts = judge_requests(requests, slots)
+    """Book what can be booked. Ids continue from the given numbers in request order.
+
+    The verdicts are written once; everything else follows from them.
+    """
+    verdicts = materialise(judge_requests(requests, slots))
     won = number_rows(
         verdicts.filter("success").select("request_id", "slot_id", "patient_id", "requested_at"),
         ["requested_at", "request_id"],
@@ -152,8 +156,11 @@ def cancel(
     *,
     first_transaction: int = 1,
 ) -> Outcome:
-    """Cancel what the requester owns: log it, delete the booking, free the slot."""
-    verdicts = judge_cancellations(requests, appointments, patients)
+    """Cancel what the requester owns: log it, delete the booking, free the slot.
+
+    The verdicts are written once; everything else follows from them.
+    """
+    verdicts = materialise(judge_cancellations(requests, appointments, patients))
     won = number_rows(
         verdicts.filter("success").select(
             "request_id", "appointment_id", "slot_id", "patient_id", "requested_at"

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from slotstream.functions import calendar, text
 from slotstream.operators import latest, mutations
 from slotstream.operators.joins import lookup
+from slotstream.session import materialise
 
 # fixed values: the half-hour slots of a day
 SLOT_TEMPLATE = [
@@ -285,11 +286,12 @@ def auto_generate(
 ) -> MonthPlan:
     """Next month for all doctors at once, from last month's pattern.
 
-    Doctors whose month is locked, or whose preview has nothing GREEN, are left alone.
+    Doctors whose month is locked, or whose preview has nothing GREEN, are left alone. The
+    choices, at most 96 per doctor, are written once and used several times.
     """
     year, month = following_month(today)
     locked = month_status(locks, None, year, month).filter(F.col("is_inserted"))
-    choices = green(preview(slots, year, month))
+    choices = materialise(green(preview(slots, year, month)))
     due = (
         doctors.select("doctor_id")
         .join(locked.select("doctor_id"), "doctor_id", "left_anti")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from slotstream.functions import status, text
 from slotstream.operators import latest, mutations, schedule
 from slotstream.operators.joins import lookup
+from slotstream.session import materialise
 
 PLACE = ["doctor_id", "slot_date", "slot_code"]
 
@@ -105,7 +106,7 @@ def apply_updates(
     slots: DataFrame, updates: DataFrame, days: DataFrame, appointments: DataFrame
 ) -> tuple[DataFrame, DataFrame]:
     """New slots and the verdicts. The last accepted update of a slot decides its status."""
-    verdicts = judge_updates(slots, updates, days, appointments)
+    verdicts = materialise(judge_updates(slots, updates, days, appointments))
     accepted = verdicts.filter("success").select(
         "slot_id", *PLACE, F.col("status").alias("slot_status"), "requested_at", "update_id"
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from slotstream.operators import cdc, latest, staging, warehouse
+from slotstream.session import materialise
 from slotstream.sources.registry import TABLES
 
 
@@ -23,8 +24,11 @@ def stage(
 def build(
     stg: dict[str, DataFrame], *, missing: str | None = "", updated_at: Column | None = None
 ) -> dict[str, DataFrame]:
-    """All dimensions and facts. Facts meet the latest version of their slot."""
-    slots = warehouse.slot_attributes(stg["stg_doctor_slot"])
+    """All dimensions and facts. Facts meet the latest version of their slot.
+
+    Three facts need the slots, so these are computed once and written to the shared folder.
+    """
+    slots = materialise(warehouse.slot_attributes(stg["stg_doctor_slot"]))
     option = {"missing": missing, "updated_at": updated_at}
     stamp = {"updated_at": updated_at}
     return {

@@ -90,6 +90,21 @@ def stage_only(cfg: TableConfig, root: str) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def stage_to_jdbc(
+    cfg: TableConfig, url: str, properties: dict[str, str] | None = None, *, batchsize: int = 1000
+) -> Callable[[DataFrame, int], None]:
+    """Append a staging batch to a database table; a repeated batch is appended again.
+
+    The batch number is a column, by which a reader can tell repeated batches apart.
+    """
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        staged = rows.drop("source_partition", "source_offset")
+        writers.jdbc_append(staged, url, cfg.staging_table, properties, batchsize=batchsize)
+
+    return write
+
+
 def table_stream(
     messages: DataFrame,
     cfg: TableConfig,
@@ -143,7 +158,10 @@ def main() -> None:
     """Seven streams, one per captured table. Slots go first, so that facts find them."""
     parser = argparse.ArgumentParser(description=main.__doc__)
     parser.add_argument("--servers", required=True)
-    parser.add_argument("--root", required=True, help="folder of the warehouse tables")
+    target = parser.add_mutually_exclusive_group(required=True)
+    target.add_argument("--root", help="folder of the warehouse tables")
+    target.add_argument("--jdbc-url", help="database of the staging tables")
+    parser.add_argument("--jdbc-option", action="append", default=[], metavar="NAME=VALUE")
     parser.add_argument("--topic-prefix", default=DEFAULT_TOPIC_PREFIX)
     parser.add_argument("--once", action="store_true")
     parser.add_argument("--max-offsets", help="messages per micro-batch and table")
@@ -153,6 +171,13 @@ def main() -> None:
     checkpoints = f"{shared_dir(spark)}/streams"
     limits = {"maxOffsetsPerTrigger": args.max_offsets, "minPartitions": args.min_partitions}
     options = {name: value for name, value in limits.items() if value}
+    properties = dict(pair.split("=", 1) for pair in args.jdbc_option)
+
+    def target_of(cfg: TableConfig) -> Callable[[DataFrame, int], None]:
+        if args.root:
+            return stage_and_build(cfg, args.root)
+        return stage_to_jdbc(cfg, args.jdbc_url, properties)
+
     order = sorted(TABLES.values(), key=lambda cfg: cfg.name in SLOT_FACTS)
     run_all(
         [
@@ -161,7 +186,7 @@ def main() -> None:
                     spark, cfg.topic(args.topic_prefix), servers=args.servers, options=options
                 ),
                 cfg,
-                stage_and_build(cfg, args.root),
+                target_of(cfg),
                 checkpoints,
                 on_metrics=lambda table, batch, counts: print(f"{table} batch {batch}: {counts}"),
             )

@@ -103,6 +103,20 @@ def test_metrics_see_null_keys(spark, tmp_path):
     assert staged(spark, str(tmp_path)).count() == 1
 
 
+def test_staging_to_a_database(spark, monkeypatch):
+    told = []
+    monkeypatch.setattr(
+        writers, "jdbc_append", lambda df, url, table, props, batchsize: told.append((df, url, table, batchsize))
+    )
+    raw = spark.createDataFrame([message(SLOT, 0)], "key string, value string, topic string, partition int, offset long")
+    write = writers.batch_writer(SLOT, staging.stage_to_jdbc(SLOT, "jdbc:db"))
+    write(cdc.decode(raw, SLOT, keep_null_keys=True), 4)
+    df, url, table, size = told[0]
+    assert (url, table, size) == ("jdbc:db", "stg_doctor_slot", 1000)
+    assert df.columns == [*SLOT.columns, "op", "is_deleted", "cdc_ts", "dw_ingested_at", "dw_batch_id"]
+    assert df.first().dw_batch_id == 4
+
+
 def test_rejected_messages_are_kept(spark, tmp_path, rows):
     path, out = str(tmp_path / "topic"), str(tmp_path / "rejected")
     bad = ("k", "not json", SLOT.topic(), 0, 5)
