@@ -180,7 +180,8 @@ def outbox(
     doctors: DataFrame,
 ) -> DataFrame:
     """Judged events still to be handled: one per key, none that was sent before."""
-    return judge(enrich(not_yet_sent(dedupe(events, order=("event_time", "transaction_id")), audit), patients, slots, doctors))
+    once = dedupe(events, order=("event_time", "transaction_id"))
+    return judge(enrich(not_yet_sent(once, audit), patients, slots, doctors))
 
 
 def settle(judged: DataFrame, now: Column) -> DataFrame:

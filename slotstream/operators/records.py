@@ -131,7 +131,7 @@ def append_versions(
     looked up per distinct key, so the join sees each key once on either side.
     """
     numbered = number_rows(new, order, "_place", keys=list(keys))
-    wanted = latest.unique_keys(new, list(keys))
+    wanted = latest.unique_keys(numbered, list(keys))
     starts = wanted.join(next_version(current, keys), list(keys), "left").select(
         *keys, F.coalesce("next_version", F.lit(1)).alias("_first")
     )

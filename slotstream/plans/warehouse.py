@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import argparse
+
 from pyspark.sql import Column, DataFrame, SparkSession
 
 from slotstream.operators import cdc, latest, staging, warehouse
-from slotstream.session import materialise
+from slotstream.session import build_session, materialise
+from slotstream.sinks.writers import BATCH
 from slotstream.sources.registry import TABLES
 
+# facts whose slot columns are looked up
+SLOT_FACTS = ["fact_appointment", "fact_appointment_transaction", "fact_medical_record"]
+
 
 def stage(
     messages: dict[str, DataFrame], *, ingested_at: Column | None = None, batch_id: int = 0
@@ -65,3 +71,32 @@ def register(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
     """Temporary views for SQL readers."""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
+
+
+def compact_all(spark: SparkSession, source: str, target: str) -> None:
+    """Every dimension and fact below `source` reduced to one row per key, below `target`.
+
+    Readers turn to the new tables; the streams go on writing below `source`. Rows are sorted
+    by key within files, so lookups by key skip most row groups.
+    """
+    if source.rstrip("/") == target.rstrip("/"):
+        raise ValueError("the compacted tables need a path of their own")
+    history = spark.read.parquet(f"{source}/{TABLES['doctor_slot'].staging_table}")
+    slots = materialise(warehouse.slot_attributes(history))
+    for table, (key, _) in warehouse.CURRENT_KEYS.items():
+        versions = spark.read.parquet(f"{source}/{table}").drop(BATCH)
+        rows = compact(table, versions, slots if table in SLOT_FACTS else None)
+        rows.sortWithinPartitions(key).write.mode("errorifexists").parquet(f"{target}/{table}")
+
+
+def main() -> None:
+    """Compact the warehouse tables into a new folder."""
+    parser = argparse.ArgumentParser(description=main.__doc__)
+    parser.add_argument("--source", required=True)
+    parser.add_argument("--target", required=True)
+    args = parser.parse_args()
+    compact_all(build_session("warehouse-compaction"), args.source, args.target)
+
+
+if __name__ == "__main__":
+    main()

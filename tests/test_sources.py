@@ -190,6 +190,13 @@ class Recorder:
         self.told["saved"] = True
 
 
+def test_topic_writer_asks_for_kafka(spark):
+    stream = spark.readStream.format("rate").load().selectExpr("CAST(value AS STRING) AS key", "'x' AS value")
+    writer = writers.topic_writer(stream, "t", checkpoint="/tmp/never", servers="broker:9092")
+    with pytest.raises(Exception, match="[Kk]afka"):
+        writer.start()
+
+
 def test_jdbc_append():
     frame = Recorder()
     writers.jdbc_append(frame, "jdbc:db", "stg_doctor", {"user": "u"}, batchsize=500)

@@ -141,6 +141,7 @@ def test_facts_follow_their_slot(spark, tmp_path, rows):
     feed(APPOINTMENT, 1, message(APPOINTMENT, 3, appointment_id=2, slot_id="S1"))
     facts = spark.read.parquet(f"{root}/fact_appointment").drop("dw_batch_id")
     assert rows(facts, "appointment_id", "doctor_id") == [(1, ""), (2, "DR5")]
+    feed(APPOINTMENT, 2, message(APPOINTMENT, 4, appointment_id=2, slot_id="S1", booking_ref="B2"))
     slots = warehouse.slot_attributes(spark.read.parquet(f"{root}/stg_doctor_slot"))
     assert rows(plan.compact("fact_appointment", facts, slots), "appointment_id", "doctor_id") == [
         (1, "DR5"), (2, "DR5"),
@@ -160,6 +161,10 @@ def test_all_seven_streams(spark, tmp_path):
     staging.run_all(streams, once=True)
     stored = {n: spark.read.parquet(f"{root}/{n}") for n in WAREHOUSE_TABLES if not n.startswith("vw_")}
     assert {n: df.count() for n, df in stored.items()} == {n: 1 for n in stored}
+    plan.compact_all(spark, root, f"{root}-compact")
+    assert spark.read.parquet(f"{root}-compact/fact_medical_record").count() == 1
+    with pytest.raises(ValueError):
+        plan.compact_all(spark, root, root + "/")
     raw = {
         name: topics.batch(spark, cfg.topic(), fmt="parquet", path=path) for name, cfg in TABLES.items()
     }
