@@ -6,11 +6,13 @@ Nothing else in the library imports this subpackage.
 from __future__ import annotations
 
 from slotstream.checks.base import Query
-from slotstream.llm import chat, packing, tokens
+from slotstream.llm import chat, minhash, packing, quality, tokens
 
 QUERIES: dict[str, Query] = {
+    "op1_minhash_dedup": minhash.op1_minhash_dedup,
     "op4_chat_format": chat.op4_chat_format,
     "op6_token_counts": tokens.op6_token_counts,
+    "op9_quality_rules": quality.op9_quality_rules,
     "op10_packing": packing.op10_packing,
 }
 
