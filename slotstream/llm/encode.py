@@ -14,12 +14,31 @@ from functools import lru_cache
 
 import numpy as np
 
-# what follows a blank or line feed at which a text may be cut
-UNSURE = re.compile(r"[ \n](?![!-~À-ÖØ-öø-ÿ])")
-# words a worker remembers; beyond that it starts afresh
-REMEMBERED = 300_000
-# new words encoded in one call
-TOGETHER = 2_000
+# a piece after the blank before it, if a text may be cut there
+SURE = re.compile(r"\n?[!-~À-ÖØ-öø-ÿ]")
+# pieces a worker remembers; when there are more, it keeps the half that it met most often
+REMEMBERED = 800_000
+# new pieces encoded in one call
+TOGETHER = 4_000
+
+
+class Numbers(dict):
+    """Numbers pieces as they come; `new` has those to encode. Pieces at which a text may not
+    be cut, or which hold the separator of calls, get -1."""
+
+    def __init__(self, names: list[str], separator: str, begins_text: bool):
+        super().__init__()
+        self.names, self.separator, self.begins_text = names, separator, begins_text
+        self.new: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        if not self.begins_text and not SURE.match(piece) or self.separator in piece:
+            return -1
+        number = self[piece] = len(self.names)
+        self.names.append(piece)
+        # a line feed was set off by a blank that is not in the text
+        self.new.append(piece if self.begins_text or piece[0] == "\n" else " " + piece)
+        return number
 
 
 class Encoder:
@@ -31,76 +50,101 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.remembered = remembered
-        self.forget()
-
-    def forget(self) -> None:
-        self.words: dict[str, int] = {}
-        self.firsts: dict[str, int] = {}
+        # a special token between two pieces keeps them apart, and is found again by its id
+        self.separator_id, token = min(self.tokenizer.get_added_tokens_decoder().items())
+        self.separator = token.content
+        self.names: list[str] = []
+        self.words = Numbers(self.names, self.separator, False)
+        self.firsts: dict[str, np.ndarray] = {}
         self.starts = np.zeros(1, np.int64)
         self.pool = np.zeros(0, np.uint32)
-
-    def _keep(self, ids: np.ndarray, lengths: np.ndarray) -> int:
-        """Adds pieces' ids to the pool and returns the number of the first piece."""
-        first = len(self.starts) - 1
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        self.pool = np.concatenate([self.pool, ids.astype(np.uint32)])
-        return first
-
-    def _learn(self, pieces: list[str]) -> int:
-        """Encodes pieces that each begin with a blank or line feed. A call costs more than a
-        word, so they are encoded as one text, and its tokens dealt out by their offsets."""
-        ids, lengths = [], []
-        for at in range(0, len(pieces), TOGETHER):
-            some = pieces[at : at + TOGETHER]
-            found = self.tokenizer.encode("".join(some), add_special_tokens=False)
-            ends = np.cumsum([len(x) for x in some])
-            starts = np.fromiter((x[0] for x in found.offsets), np.int64, len(found.ids))
-            ids.append(np.array(found.ids, np.uint32))
-            owner = np.searchsorted(ends, starts, "right")
-            lengths.append(np.bincount(owner, minlength=len(some)))
-        return self._keep(np.concatenate(ids), np.concatenate(lengths))
-
-    def _learn_firsts(self, pieces: list[str]) -> int:
-        found = [x.ids for x in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        flat = np.array([i for x in found for i in x], np.uint32)
-        return self._keep(flat, np.array([len(x) for x in found], np.int64))
-
-    def _numbers(self, texts: list[str]) -> list[np.ndarray]:
-        """For each text the numbers of its pieces."""
-        if len(self.words) + len(self.firsts) > self.remembered:
-            self.forget()
-        cut = [
-            [x] if UNSURE.search(x) else x.replace("\n", " \n").split(" ") if x else [] for x in texts
-        ]
-        new = set().union(*[x[1:] for x in cut]).difference(self.words) if cut else set()
-        starts = {x[0] for x in cut if x}.difference(self.firsts)
-        if new:
-            words = sorted(new)
-            # a word keeps its blank; a line feed was set off by one that is not in the text
-            at = self._learn([x if x[0] == "\n" else " " + x for x in words])
-            self.words.update(zip(words, range(at, at + len(words)), strict=True))
-        if starts:
-            words = sorted(starts)
-            at = self._learn_firsts(words)
-            self.firsts.update(zip(words, range(at, at + len(words)), strict=True))
+        self.met = np.zeros(0, np.int64)
+
+    def _forget(self) -> None:
+        """Keeps the pieces met most often, and what is known of them."""
+        kept = np.sort(np.argsort(-self.met, kind="stable")[: self.remembered // 2])
+        self.firsts.clear()
+        names = [self.names[i] for i in kept]
+        place, lengths = self._places(kept)
+        self.pool = self.pool[place]
+        self.starts = np.concatenate([[0], np.cumsum(lengths)])
+        self.met = self.met[kept] // 2
+        self.names = names
+        self.words = Numbers(names, self.separator, False)
+        self.words.update(zip(names, range(len(names)), strict=True))
+
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def _places(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of these pieces lie in the pool, end to end, and how many each has."""
+        start, length = self.starts[numbers], self.starts[numbers + 1] - self.starts[numbers]
+        ends = np.cumsum(length)
+        total = int(ends[-1]) if len(ends) else 0
+        return np.arange(total) + np.repeat(start - ends + length, length), length
+
+    def _learn(self) -> None:
+        """Encodes the new pieces. A call costs more than a piece, so many share one."""
+        words, self.words.new = self.words.new, []
+        pool, starts = [self.pool], [self.starts]
+        for at in range(0, len(words), TOGETHER):
+            text = self.separator.join(words[at : at + TOGETHER])
+            found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+            ids = np.array(found.ids, np.uint32)
+            inside = ids != self.separator_id
+            pool.append(ids[inside])
+            cuts = np.append(np.flatnonzero(~inside), len(ids))
+            starts.append(starts[-1][-1] + cuts - np.arange(len(cuts)))
+        self.pool, self.starts = np.concatenate(pool), np.concatenate(starts)
+
+    def _first(self, piece: str) -> np.ndarray:
+        """Ids of the piece that begins a text."""
+        found = self.firsts.get(piece)
+        if found is None:
+            found = self.firsts[piece] = self._ids(piece)
+        return found
+
+    def _numbers(self, texts: list[str]) -> list[tuple[str, np.ndarray] | None]:
+        """For each text its first piece and the numbers of the others, or None if it is to be
+        encoded whole."""
+        if len(self.names) > self.remembered:
+            self._forget()
         get = self.words.__getitem__
-        return [
-            np.array([self.firsts[x[0]], *map(get, x[1:])] if x else [], np.int64) for x in cut
-        ]
+        out: list[tuple[str, np.ndarray] | None] = []
+        for text in texts:
+            first, *others = text.replace("\n", " \n").split(" ")
+            numbers = np.fromiter(map(get, others), np.int64, len(others))
+            whole = len(numbers) and numbers.min() < 0 or self.separator in first
+            out.append(None if whole else (first, numbers))
+        self._learn()
+        self.met = np.concatenate([self.met, np.zeros(len(self.names) - len(self.met), np.int64)])
+        if used := [x[1] for x in out if x]:
+            self.met += np.bincount(np.concatenate(used), minlength=len(self.met))
+        return out
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
-        out = []
-        for numbers in self._numbers(texts):
-            start, length = self.starts[numbers], self.starts[numbers + 1] - self.starts[numbers]
-            begin = np.cumsum(length) - length
-            place = np.arange(length.sum()) + np.repeat(start - begin, length)
-            out.append(self.pool[place])
+        numbers = self._numbers(texts)
+        cut = [x[1] for x in numbers if x]
+        place, lengths = self._places(np.concatenate([*cut, np.zeros(0, np.int64)]))
+        ids = self.pool[place]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        bounds = iter(ends[np.cumsum([len(x) for x in cut], dtype=np.int64)])
+        out, begin = [], 0
+        for x, text in zip(numbers, texts, strict=True):
+            if not x:
+                out.append(self._ids(text))
+                continue
+            end = int(next(bounds))
+            out.append(np.concatenate([self._first(x[0]), ids[begin:end]]))
+            begin = end
         return out
 
     def counts(self, texts: list[str]) -> list[int]:
+        numbers = self._numbers(texts)
+        size = np.diff(self.starts)
         return [
-            int((self.starts[numbers + 1] - self.starts[numbers]).sum())
-            for numbers in self._numbers(texts)
+            int(size[x[1]].sum()) + len(self._first(x[0])) if x else len(self._ids(text))
+            for x, text in zip(numbers, texts, strict=True)
         ]
 
 
