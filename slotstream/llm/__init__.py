@@ -6,11 +6,12 @@ Nothing else in the library imports this subpackage.
 from __future__ import annotations
 
 from slotstream.checks.base import Query
-from slotstream.llm import chat, minhash, packing, quality, sharding, tokens
+from slotstream.llm import chat, decontaminate, minhash, packing, quality, sharding, tokens
 
 QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
     "op2_sharding": sharding.op2_sharding,
+    "op3_decontamination": decontaminate.op3_decontamination,
     "op4_chat_format": chat.op4_chat_format,
     "op6_token_counts": tokens.op6_token_counts,
     "op9_quality_rules": quality.op9_quality_rules,
@@ -19,5 +20,6 @@ QUERIES: dict[str, Query] = {
 
 ORACLES: dict[str, str] = {
     "op2_sharding": sharding.op2_sharding,
+    "op3_decontamination": decontaminate.op3_decontamination,
     "op4_chat_format": chat.OP4_SQL,
 }

@@ -32,9 +32,12 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 
-def find(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and row of every word; rows begin at `offsets` and words end with them."""
-    inside = np.concatenate([~BLANK[data], [False]])
+def find(
+    data: np.ndarray, offsets: np.ndarray, blank: np.ndarray = BLANK
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and row of every word; rows begin at `offsets` and words end with them.
+    `blank` tells which bytes are outside words."""
+    inside = np.concatenate([~blank[data], [False]])
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     before = np.concatenate([[False], inside[:-1]])
