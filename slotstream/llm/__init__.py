@@ -6,7 +6,7 @@ Nothing else in the library imports this subpackage.
 from __future__ import annotations
 
 from slotstream.checks.base import Query
-from slotstream.llm import chat, decontaminate, language, minhash, packing, quality, sharding, tokens
+from slotstream.llm import chat, decontaminate, language, minhash, packing, pii, quality, sharding, tokens
 
 QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
@@ -14,6 +14,7 @@ QUERIES: dict[str, Query] = {
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_chat_format": chat.op4_chat_format,
     "op6_token_counts": tokens.op6_token_counts,
+    "op7_pii_surrogates": pii.op7_pii_surrogates,
     "op8_language_id": language.op8_language_id,
     "op9_quality_rules": quality.op9_quality_rules,
     "op10_packing": packing.op10_packing,
