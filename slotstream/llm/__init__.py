@@ -6,13 +6,14 @@ Nothing else in the library imports this subpackage.
 from __future__ import annotations
 
 from slotstream.checks.base import Query
-from slotstream.llm import chat, decontaminate, language, minhash, packing, pii, quality, sharding, tokens
+from slotstream.llm import chat, decontaminate, language, minhash, packing, pii, quality, sharding, suffix, tokens
 
 QUERIES: dict[str, Query] = {
     "op1_minhash_dedup": minhash.op1_minhash_dedup,
     "op2_sharding": sharding.op2_sharding,
     "op3_decontamination": decontaminate.op3_decontamination,
     "op4_chat_format": chat.op4_chat_format,
+    "op5_suffix_dedup": suffix.op5_suffix_dedup,
     "op6_token_counts": tokens.op6_token_counts,
     "op7_pii_surrogates": pii.op7_pii_surrogates,
     "op8_language_id": language.op8_language_id,
