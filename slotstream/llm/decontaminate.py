@@ -1,7 +1,7 @@
 """Benchmark decontamination: documents that hold a benchmark item, up to a few edited words.
 
-Texts are sequences of words: runs of ASCII letters (lower-cased), digits and non-ASCII bytes. A
-document holds an item of n words if some run of its words is at most n/5 word edits (insert,
+Texts are sequences of words: runs of ASCII letters (lower-cased), digits and non-ASCII characters
+but for typographic marks. A document holds an item of n words if some run of its words is at most n/5 word edits (insert,
 delete, replace) away.
 
 Embedding. The random walk of Chakraborty, Goldenberg and Koucky reads a sequence with one
@@ -55,10 +55,15 @@ def allowed(n: int) -> int:
 
 
 def word_hashes(part: pa.Array):
-    data, offsets = text_bytes(part)
-    data = W.LOWER[data]
+    raw, offsets = text_bytes(part)
+    data = W.LOWER[raw]
+    # marks of U+0080 to U+00BF and typographic ones of U+2000 to U+203F are blank
+    at = np.flatnonzero(raw[:-1] == 0xC2)
+    data[at] = data[at + 1] = 32
+    at = np.flatnonzero((raw[:-2] == 0xE2) & (raw[1:-1] == 0x80)) if len(raw) > 2 else at[:0]
+    data[at] = data[at + 1] = data[at + 2] = 32
     starts, ends, rows = W.find(data, offsets, OUTSIDE)
-    return data, offsets, starts, ends, rows, W.hashes(data, starts, ends)
+    return raw, offsets, starts, ends, rows, W.hashes(data, starts, ends)
 
 
 def walk(
