@@ -64,7 +64,10 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 CAPITALISED = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё'-]+"
 PATTERNS = {
     "email": r"[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
-    "secret": r"(?i:password|passwd|pwd|token|secret|api[_-]?key)\s*[=:]\s*[\"']?(?P<value>[^\s\"']{6,})",
+    "secret": (
+        r"(?<![^\W_])(?i:password|passwd|pwd|token|secret|api[_-]?key)[ \t]*[=:][ \t]*[\"']?"
+        r"(?P<value>[^\s\"']{6,})"
+    ),
     "access_key": r"\b(?:AKIA|ASIA)[A-Z0-9]{16}\b",
     "iban": r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b",
     "ip": rf"(?<![\w.]){OCTET}(?:\.{OCTET}){{3}}(?!\w|\.\d)",
@@ -80,7 +83,7 @@ PATTERNS = {
     ),
 }
 FINDER = re.compile("|".join(f"(?P<{kind}>{pattern})" for kind, pattern in PATTERNS.items()))
-# words, lower-cased, one of which a text without digits or @ must have to hold an entity
+# words, one of which a text without digits or @ must have to hold an entity
 TRIGGERS = ["password", "passwd", "pwd", "token", "secret", "apikey", "key", *TITLES, *NAMES]
 
 
@@ -329,17 +332,16 @@ def suspects(part: pa.RecordBatch) -> np.ndarray:
     """Rows that may hold an entity."""
     data, offsets = text_bytes(part.column("text"))
     if not TRIGGER_HASHES:
-        raw, at = text_bytes(pa.array([x.lower() for x in TRIGGERS], pa.string()))
-        TRIGGER_HASHES.append(np.unique(W.hashes(raw, at[:-1], at[1:])))
+        words, at = text_bytes(pa.array(TRIGGERS, pa.string()))
+        TRIGGER_HASHES.append(np.unique(W.hashes(W.LOWER[words], at[:-1], at[1:])))
     digit = ((data >= 48) & (data <= 57)) | (data == 64)
     maybe = W.per_row(digit, offsets) > 0
     known = TRIGGER_HASHES[0]
-    # case is folded in ASCII only, so words with other letters are looked up as they are, too
-    for folded in (W.LOWER[data], data):
-        starts, ends, rows = W.find(folded, offsets, OUTSIDE)
-        hashed = W.hashes(folded, starts, ends)
-        place = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
-        maybe[rows[known[place] == hashed]] = True
+    folded = W.LOWER[data]
+    starts, ends, rows = W.find(folded, offsets, OUTSIDE)
+    hashed = W.hashes(folded, starts, ends)
+    place = np.minimum(np.searchsorted(known, hashed), len(known) - 1)
+    maybe[rows[known[place] == hashed]] = True
     raw = data.tobytes()
     for mark in (b"AKIA", b"ASIA"):
         at = raw.find(mark)
