@@ -11,10 +11,15 @@ probability (1 - 0.8^4)^32 < 10^-7. Copies (equal word sequences) are one node f
 
 Links. Comparing all members of a bucket would cost the square of its size. In each bucket the
 member that meets most others (over all its buckets) is the hub, and only the others' pairs with
-the hub are verified, on the full shingle sets. Components of the confirmed links follow. Buckets
-whose members are then in several components get a few more hubs; at last every pair that meets
-in a bucket and is still in different components is verified, if it meets in two buckets or
-more (missed with probability < 10^-5 at similarity 0.8). No pair inside a component is needed.
+the hub are verified, on the full shingle sets. Components of the confirmed links follow. Two
+documents that share a bucket share its hub, so links that are still missing lie between followers
+of one hub in different components. Most such hubs have followers that met it by chance: their
+sketches, a byte for each coordinate, are compared, and followers stay only if one in another
+component agrees with them in LEAST_MARKS coordinates or more (at similarity 0.8 missed with
+probability < 10^-8). Those are compared exactly, by counting common shingles over
+inverted lists. Both comparisons work in cells of bounded size, into which a hub's followers are
+dealt block by block, and give back followers and links, not pairs: no more than one link for each
+follower and component.
 
 Defined cases: NULL and empty texts have empty sets and are linked with nothing. Rows with one
 `doc_id` are one document; a NULL `doc_id` is linked with nothing, has a NULL component, and is
@@ -38,8 +43,13 @@ from slotstream.operators.joins import lookup
 from slotstream.session import materialise
 
 SIZE, BAND = 128, 4
-# hubs tried in buckets whose members are not yet connected, before all their pairs are
-HUBS = 3
+# coordinates in which near-duplicates' sketches agree at least, out of SIZE: 6 standard deviations
+# below what is expected at similarity 0.8
+LEAST_MARKS = 75
+# followers of one hub in a block; a cell compares two blocks
+BLOCK = 1024
+# rows of cells that one call handles
+CELL_ROWS = 8192
 
 
 def sketch(elements: np.ndarray, rows: np.ndarray, n_rows: int) -> np.ndarray:
@@ -88,7 +98,8 @@ def shingles(part: pa.RecordBatch, size: int):
 
 
 def sketches(docs: DataFrame, size: int) -> DataFrame:
-    """`doc_id`, `copy` (digest of the word sequence), `n_shingles` and the hashes of `bands`."""
+    """`doc_id`, `copy` (digest of the word sequence), `n_shingles`, the hashes of `bands`, and
+    `marks`, a byte of each coordinate."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -104,7 +115,9 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                     blake2b(hashed[a:b].tobytes(), digest_size=16).digest()
                     for a, b in zip(cuts, cuts[1:], strict=False)
                 ]
-                made = sketch(found, owner, n).reshape(n, SIZE // BAND, BAND)
+                made = sketch(found, owner, n)
+                marks = (made & W.U(255)).astype(np.uint8)
+                made = made.reshape(n, SIZE // BAND, BAND)
                 bands = np.broadcast_to(np.arange(SIZE // BAND, dtype=W.U), made.shape[:2]).copy()
                 for k in range(BAND):
                     bands = W.mix(bands * W.ODD + made[:, :, k])
@@ -116,12 +129,13 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                         pa.array(copies, pa.binary()),
                         pa.array(distinct, pa.int64()),
                         pa.ListArray.from_arrays(at, flat),
+                        pa.array([x.tobytes() for x in marks], pa.binary()),
                     ],
-                    names=["doc_id", "copy", "n_shingles", "bands"],
+                    names=["doc_id", "copy", "n_shingles", "bands", "marks"],
                 )
 
     return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, copy binary, n_shingles long, bands array<long>"
+        run, "doc_id long, copy binary, n_shingles long, bands array<long>, marks binary"
     )
 
 
@@ -164,8 +178,110 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return with_b.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
 
 
-def ordered(a, b):
-    return F.least(a, b).alias("a"), F.greatest(a, b).alias("b")
+def cells(rows: DataFrame) -> DataFrame:
+    """Deals (hub, node, component, ...) into cells: a hub's nodes form blocks, and every two
+    blocks meet in one cell. Adds `cell`, `side` (which block) and `call`, which cells share."""
+    sizes = rows.groupBy("hub", "component").agg(F.count(F.lit(1)).alias("n"))
+    several = (
+        sizes.groupBy("hub")
+        .agg(F.count(F.lit(1)).alias("parts"), F.sum("n").alias("n"))
+        .filter("parts > 1")
+        .select("hub", F.ceil(F.col("n") / BLOCK).alias("blocks"))
+    )
+    own = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    other = F.col("_other")
+    dealt = materialise(
+        lookup(rows, several, ["hub"], "inner")
+        .withColumn("side", own)
+        .withColumn("_other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        .withColumn(
+            "cell",
+            F.xxhash64("hub", F.least(F.col("side"), other), F.greatest(F.col("side"), other)),
+        )
+        .drop("_other", "blocks")
+    )
+    calls = max(1, -(-dealt.count() // CELL_ROWS))
+    return dealt.withColumn("call", F.pmod(F.xxhash64("cell"), F.lit(calls)))
+
+
+def each_cell(table: pa.Table) -> Iterator[pa.Table]:
+    table = table.combine_chunks().sort_by([("cell", "ascending"), ("node", "ascending")])
+    cell = table.column("cell").to_numpy()
+    edges = np.flatnonzero(np.append(True, cell[1:] != cell[:-1]))
+    for a, b in zip(edges, np.append(edges[1:], len(cell)), strict=True):
+        yield table.slice(a, b - a)
+
+
+def to_compare(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of a cell's rows the component's number, the block, and those outside the largest
+    component. In a cell of two blocks, only rows of different blocks are compared."""
+    component = table.column("component").to_numpy()
+    _, number, n = np.unique(component, return_inverse=True, return_counts=True)
+    strays = np.flatnonzero(number != np.argmax(n))
+    return number, table.column("side").to_numpy(), strays
+
+
+def alike(table: pa.Table) -> pa.Table:
+    """(hub, node) of rows whose sketch is like one in another component of the cell."""
+    hubs, nodes = [], []
+    for rows in each_cell(table):
+        number, side, strays = to_compare(rows)
+        two = side.min() != side.max()
+        marks = np.frombuffer(b"".join(rows.column("marks").to_pylist()), np.uint8)
+        marks = np.ascontiguousarray(marks.reshape(len(number), SIZE))
+        active = np.zeros(len(number), bool)
+        for some in np.array_split(strays, len(strays) // 32 + 1):
+            if not len(some):
+                continue
+            agree = (marks[some][:, None, :] == marks[None]).sum(axis=2, dtype=np.uint8)
+            near = (agree >= LEAST_MARKS) & (number[some][:, None] != number[None])
+            if two:
+                near &= side[some][:, None] != side[None]
+            active[some] |= near.any(axis=1)
+            active |= near.any(axis=0)
+        hubs.append(rows.column("hub").to_numpy()[active])
+        nodes.append(rows.column("node").to_numpy()[active])
+    return pa.table({"hub": np.concatenate(hubs), "node": np.concatenate(nodes)})
+
+
+def exact(percent: int):
+    """Links between rows of different components of a cell: for every row one at most to each
+    component."""
+
+    def run(table: pa.Table) -> pa.Table:
+        left, right = [], []
+        for rows in each_cell(table):
+            number, side, strays = to_compare(rows)
+            two = side.min() != side.max()
+            node = rows.column("node").to_numpy()
+            raw = rows.column("set").to_pylist()
+            size = np.array([len(x) // 8 for x in raw], np.int64)
+            _, column = np.unique(np.frombuffer(b"".join(raw), np.uint64), return_inverse=True)
+            first = np.cumsum(size) - size
+            owner = np.repeat(np.arange(len(size)), size)
+            order = np.argsort(column, kind="stable")
+            held = owner[order]
+            n = np.bincount(column)
+            begin = np.cumsum(n) - n
+            for row in strays.tolist():
+                own = column[first[row] : first[row] + size[row]]
+                reach = n[own]
+                at = np.arange(reach.sum()) + np.repeat(
+                    begin[own] - np.cumsum(reach) + reach, reach
+                )
+                both = np.bincount(held[at], minlength=len(size))
+                linked = 100 * both >= percent * (size + size[row] - both)
+                linked &= number != number[row]
+                if two:
+                    linked &= side != side[row]
+                found = np.flatnonzero(linked)
+                found = found[np.unique(number[found], return_index=True)[1]]
+                left.append(np.full(len(found), node[row]))
+                right.append(node[found])
+        none = [np.zeros(0, np.int64)]
+        return pa.table({"a": np.concatenate(none + left), "b": np.concatenate(none + right)})
+
+    return run
 
 
 def linked(docs: DataFrame, found: DataFrame, size: int, percent: int) -> DataFrame:
@@ -185,76 +301,47 @@ def linked(docs: DataFrame, found: DataFrame, size: int, percent: int) -> DataFr
     shared = nodes.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = materialise(lookup(nodes, shared, ["bucket"], "inner"))
     met = materialise(members.groupBy("node").agg(F.sum("n").alias("met")))
-    members = materialise(lookup(members.select("bucket", "node"), met, ["node"], "inner"))
+    members = lookup(members.select("bucket", "node"), met, ["node"], "inner")
+    hubs = members.groupBy("bucket").agg(
+        F.max_by("node", F.struct("met", -F.col("node"))).alias("hub")
+    )
+    followers = materialise(
+        lookup(members, hubs, ["bucket"], "inner")
+        .filter(F.col("node") != F.col("hub"))
+        .select("hub", "node")
+        .distinct()
+    )
     texts = docs.select(F.col("doc_id").alias("node"), "text").join(
         met.select("node"), "node", "left_semi"
     )
-    sets = materialise(
-        shingle_sets(texts, size).groupBy("node").agg(F.max("set").alias("set"))
-        if repeated_ids(found)
-        else shingle_sets(texts, size)
+    sets = shingle_sets(texts, size)
+    if repeated_ids(found):
+        sets = sets.groupBy("node").agg(F.max("set").alias("set"))
+    sets = materialise(sets)
+    links = materialise(confirmed(followers.toDF("a", "b"), sets, percent))
+    reached = materialise(components(links))
+    rows = lookup(followers, reached, ["node"]).withColumn(
+        "component", F.coalesce("component", "node")
     )
-
-    def with_component(links: DataFrame) -> DataFrame:
-        joined = lookup(members, materialise(components(links)), ["node"])
-        return joined.withColumn("component", F.coalesce("component", "node"))
-
-    def mixed(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Members of buckets with several components, and each such bucket's largest one."""
-        parts = labelled.groupBy("bucket", "component").agg(F.count(F.lit(1)).alias("n"))
-        several = (
-            parts.groupBy("bucket")
-            .agg(F.count(F.lit(1)).alias("parts"), F.max_by("component", "n").alias("largest"))
-            .filter("parts > 1")
-            .select("bucket", "largest")
-        )
-        several = materialise(several)
-        return materialise(lookup(labelled, several, ["bucket"], "inner")), several
-
-    def with_hub(rows: DataFrame, hubs: DataFrame) -> DataFrame:
-        pairs = lookup(rows, hubs, ["bucket"], "inner").filter(F.col("node") != F.col("hub"))
-        return pairs.select(*ordered(F.col("node"), F.col("hub"))).distinct()
-
-    hub = F.max_by("node", F.struct("met", -F.col("node"))).alias("hub")
-    tried = materialise(with_hub(members, members.groupBy("bucket").agg(hub)))
-    links = materialise(confirmed(tried, sets, percent))
-    for turn in range(HUBS + 1):
-        rows, several = mixed(with_component(links))
-        if several.isEmpty():
-            break
-        strays = rows.filter(F.col("component") != F.col("largest"))
-        if turn < HUBS:
-            # the best connected of those outside, against all members of other components
-            hubs = strays.groupBy("bucket").agg(
-                hub, F.max_by("component", F.struct("met", -F.col("node"))).alias("own")
-            )
-            pairs = (
-                lookup(rows, hubs, ["bucket"], "inner")
-                .filter(F.col("component") != F.col("own"))
-                .select(*ordered(F.col("node"), F.col("hub")))
-                .distinct()
-            )
-        else:
-            others = rows.select("bucket", F.col("node").alias("other"), "component", "largest")
-            one, two = strays.alias("s"), others.alias("o")
-            apart = F.col("s.component") != F.col("o.component")
-            # two strays meet once, a stray and a member of the largest part as well
-            once = (F.col("o.component") == F.col("o.largest")) | (
-                F.col("s.node") < F.col("o.other")
-            )
-            pairs = (
-                one.join(two, (F.col("s.bucket") == F.col("o.bucket")) & apart & once)
-                .groupBy(*ordered(F.col("s.node"), F.col("o.other")))
-                .agg(F.count(F.lit(1)).alias("n"))
-                .filter("n > 1")
-                .select("a", "b")
-            )
-        new = materialise(pairs.join(tried, ["a", "b"], "left_anti"))
-        if new.isEmpty() and turn == HUBS:
-            break
-        links = materialise(links.unionByName(confirmed(new, sets, percent)))
-        tried = tried.unionByName(new)
-    return components(links)
+    marks = (
+        copies.select(F.col("doc_id").alias("node"), "marks")
+        .join(met.select("node"), "node", "left_semi")
+        .dropDuplicates(["node"])
+    )
+    apart = cells(rows)
+    active = (
+        lookup(apart, marks, ["node"], "inner")
+        .groupBy("call")
+        .applyInArrow(alike, "hub long, node long")
+        .distinct()
+    )
+    apart = cells(rows.join(active, ["hub", "node"], "left_semi"))
+    more = (
+        lookup(apart, sets, ["node"], "inner")
+        .groupBy("call")
+        .applyInArrow(exact(percent), "a long, b long")
+    )
+    return components(links.unionByName(materialise(more)))
 
 
 def repeated_ids(found: DataFrame) -> bool:
