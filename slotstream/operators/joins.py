@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SPREAD = 64
 
@@ -16,7 +17,12 @@ def lookup(many: DataFrame, one: DataFrame, keys: list[str], how: str = "left")
     reused and all rows of a hot key would meet in one task. Joining also on a function of
     the keys leaves the result as it is and makes Spark shuffle both inputs.
     """
-    # hashed as text, since the keys of the two inputs may be integers of different width
+    for key in keys:
+        types = many.schema[key].dataType, one.schema[key].dataType
+        # integers of any width hash alike as text; other types must be equal, as casts would
+        # make values equal whose texts are not
+        if types[0] != types[1] and not all(isinstance(t, T.IntegralType) for t in types):
+            raise TypeError(f"key {key} has types {types[0]} and {types[1]}; cast one of them")
     spread = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(SPREAD))
     left, right = many.withColumn("_spread", spread), one.withColumn("_spread", spread)
     return left.join(right, [*keys, "_spread"], how).drop("_spread")

@@ -72,6 +72,28 @@ def page(df: DataFrame, order: list[str | Column], number: int, size: int = 5) -
     return df.orderBy(*order).offset((number - 1) * size).limit(size)
 
 
+def page_after(df: DataFrame, order: list[str], last: tuple | None = None, size: int = 5) -> DataFrame:
+    """The rows in `order` that follow the row whose `order` columns are `last`, or the first.
+
+    Unlike `page` it holds `size` rows however far on it is, and the bound reaches the scan. The
+    `order` columns must be total and not NULL."""
+    if size < 1:
+        raise ValueError("page sizes start at 1")
+    rows = df
+    if last is not None:
+        first = F.col(order[0])
+        rows = rows.filter(first >= F.lit(last[0])).filter(
+            F.struct(*order)
+            > F.struct(
+                *[
+                    F.lit(v).cast(df.schema[c].dataType).alias(c)
+                    for c, v in zip(order, last, strict=True)
+                ]
+            )
+        )
+    return rows.orderBy(*order).limit(size)
+
+
 def page_count(df: DataFrame, size: int = 5) -> DataFrame:
     """The number of pages, as one row."""
     return df.agg(F.ceil(F.count(F.lit(1)) / F.lit(size)).cast("long").alias("pages"))

@@ -25,6 +25,10 @@ SETTINGS = {
 }
 
 
+# application: folders that `materialise` wrote
+WRITTEN: dict[str, list[str]] = {}
+
+
 def build_session(app: str, master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the operators expect; `conf` keys use `__` for dots."""
     builder = SparkSession.builder.appName(app)
@@ -41,7 +45,8 @@ def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
     Only a local-mode session may fall back to a temporary folder: there the driver and the
-    executors are one process. Anywhere else a missing setting is an error.
+    executors are one process. Anywhere else, `local-cluster` included, a missing setting is an
+    error.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -49,7 +54,7 @@ def shared_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     if context.getCheckpointDir():
         return context.getCheckpointDir()
-    if not context.master.startswith("local"):
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
     folder = tempfile.mkdtemp(prefix="slotstream-")
     context.setCheckpointDir(folder)
@@ -67,6 +72,26 @@ def materialise(df: DataFrame) -> DataFrame:
     All later branches see the very same rows, read only the columns they need, and lost
     executors cost no recomputation beyond this table.
     """
-    path = run_dir(df.sparkSession, "table")
+    spark = df.sparkSession
+    path = run_dir(spark, "table")
+    WRITTEN.setdefault(spark.sparkContext.applicationId, []).append(path)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def drop_materialised(spark: SparkSession) -> int:
+    """Deletes what `materialise` wrote in this application, and says how many tables that were.
+
+    Jobs call it when their results are written. Frames that still read the tables fail then.
+    """
+    paths = WRITTEN.pop(spark.sparkContext.applicationId, [])
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+    return len(paths)
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder at `path`, in whatever file system that is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)

@@ -19,13 +19,16 @@ def jdbc_table(
     partition_column: str | None = None,
     bounds: tuple[object, object] | None = None,
     partitions: int = 1,
+    single: bool = False,
     fetch_size: int = 10_000,
 ) -> DataFrame:
     """A database table. Filters and columns chosen later are pushed into its query.
 
-    With `partition_column` the read is split into `partitions` ranges between `bounds`;
-    without it a single connection reads the whole table.
+    With `partition_column` the read is split into `partitions` ranges between `bounds`. One
+    connection for the whole table, in one task, must be asked for (`single`).
     """
+    if not partition_column and not single:
+        raise ValueError("give a partition column with bounds, or ask for a single connection")
     reader = (
         spark.read.format("jdbc")
         .option("url", url)
