@@ -6,15 +6,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotstream.checks.base import ORACLES, query
-from slotstream.checks.change_data import SLOT, decoded
+from slotstream.checks.change_data import SLOT, damaged_messages, decoded
 from slotstream.checks.notifications import AUDIT_SQL, NOW, SINCE, moment, references
+from slotstream.checks.warehouse import FACT_APPOINTMENT
 from slotstream.operators import notify, warehouse
+from slotstream.plans import warehouse as plan
 from slotstream.session import run_dir
 from slotstream.sinks import writers
 from slotstream.sources import topics
 from slotstream.sources.registry import TABLES
 from slotstream.streaming import notifications, staging
-from slotstream.testdata import VIEWS, messages, sql, with_views
+from slotstream.testdata import VIEWS, messages, sql, view, with_views
 
 LOG = TABLES["appointment_transaction"]
 
@@ -59,15 +61,17 @@ def stream_warehouse(spark: SparkSession, sf: str) -> DataFrame:
     return warehouse.current(read_batches(spark, f"{root}/dim_doctor_slot"), "dim_doctor_slot")
 
 
-@query(
-    "stream_notify_dedup",
+_DEDUP_SQL = (
     with_views("v_txn_version")
     + f"""SELECT transaction_id AS notification_key, transaction_id, slot_id, patient_id, action,
   CASE action WHEN 'BOOKED' THEN 'BOOKING_CONFIRMATION' ELSE 'BOOKING_CANCELLATION' END AS event_type,
   strftime(date_trunc('second', created_at), '%Y-%m-%dT%H:%M:%S.000Z') AS event_time, 'EMAIL' AS channel
 FROM v_txn_version WHERE op <> 'd' AND action IN ('BOOKED', 'CANCELLED')
-  AND date_trunc('second', created_at) >= TIMESTAMP '{SINCE}'""",
+  AND date_trunc('second', created_at) >= TIMESTAMP '{SINCE}'"""
 )
+
+
+@query("stream_notify_dedup", _DEDUP_SQL)
 def stream_notify_dedup(spark: SparkSession, sf: str) -> DataFrame:
     """Every change of the booking log arrives twice; one notification message each goes out."""
     root = run_dir(spark, "notifications")
@@ -103,3 +107,194 @@ def stream_audit(spark: SparkSession, sf: str) -> DataFrame:
     staging.run_all([stream], once=True)
     pending = read_batches(spark, f"{root}/audit_pending")
     return pending.unionByName(read_batches(spark, f"{root}/audit"))
+
+
+def topic_files(df: DataFrame, path: str, batches: int) -> None:
+    """Messages as a file topic of several files, each a micro-batch to `file_stream`."""
+    df.repartition(batches).write.parquet(path)
+
+
+def file_stream(spark: SparkSession, topic: str, path: str) -> DataFrame:
+    options = {"maxFilesPerTrigger": "1"}
+    return topics.stream(spark, topic, fmt="parquet", path=path, options=options)
+
+
+@query("stream_notify_late", _DEDUP_SQL)
+def stream_notify_late(spark: SparkSession, sf: str) -> DataFrame:
+    """The booking log in three micro-batches, the newest third first: every first event of a
+    transaction goes out, however late it is."""
+    root = run_dir(spark, "late")
+    log = view(spark, sf, "v_txn_version").withColumnsRenamed(
+        {"created_at": "ts", "source_offset": "kafka_offset"}
+    )
+    log = log.withColumn("created_at", F.unix_micros("ts"))
+    bounds = log.agg(F.percentile_approx("kafka_offset", [0.33, 0.66])).first()[0]
+    offset = F.col("kafka_offset")
+    parts = [offset > bounds[1], (offset > bounds[0]) & (offset <= bounds[1]), offset <= bounds[0]]
+    sent = f"{root}/topic"
+    for part in parts:
+        batch = messages(log.filter(part), LOG, LOG.topic())
+        batch.write.mode("append").parquet(f"{root}/log")
+        source = file_stream(spark, LOG.topic(), f"{root}/log")
+        writer = writers.topic_writer(
+            notifications.event_stream(source, moment(SINCE)),
+            notifications.TOPIC,
+            checkpoint=f"{root}/checkpoint",
+            fmt="parquet",
+            path=sent,
+        )
+        staging.run_all([writer], once=True)
+    return topics.notifications(topics.batch(spark, notifications.TOPIC, fmt="parquet", path=sent))
+
+
+_FATE = """CASE event_type WHEN 'view' THEN 'unparsable' WHEN 'click' THEN 'no_payload' WHEN 'purchase' THEN 'no_value'
+  WHEN 'error' THEN 'no_payload' ELSE CASE WHEN user_id % 2 = 0 THEN 'null_key' WHEN user_id % 4 = 1 THEN 'bad_number'
+  ELSE 'staged' END END"""
+
+
+@query("stream_rejected", f"SELECT event_id AS source_offset, {_FATE} AS fate FROM events")
+def stream_rejected(spark: SparkSession, sf: str) -> DataFrame:
+    """Damaged and sound messages through the staging and the reject stream: each is in one of them."""
+    root = run_dir(spark, "rejected")
+    far = F.get_json_object("value", "$.payload").isNotNull() & (F.col("user_id") % 4 == 1)
+    events = spark.read.parquet(f"{sf}/events.parquet").select(
+        F.col("event_id").alias("offset"), "user_id"
+    )
+    raw = damaged_messages(spark, sf).join(events, "offset")
+    day = F.when(far, F.lit(10**12)).otherwise(F.lit(19000))
+    value = F.when(
+        far | (F.col("user_id") % 4 == 3),
+        F.regexp_replace("value", F.lit('"doctor_id":'), F.concat(F.lit('"slot_date":'), day, F.lit(',"doctor_id":'))),
+    ).otherwise(F.col("value"))
+    whole = raw.select(
+        F.lit("k").alias("key"),
+        value.alias("value"),
+        F.lit(SLOT.topic()).alias("topic"),
+        F.lit(0).alias("partition"),
+        "offset",
+        F.current_timestamp().alias("timestamp"),
+    )
+    topic_files(whole, f"{root}/topic", 2)
+    rows = staging.table_stream(
+        file_stream(spark, SLOT.topic(), f"{root}/topic"), SLOT, staging.stage_only(SLOT, root), f"{root}/checkpoints"
+    )
+    rejects = staging.rejected_stream(
+        file_stream(spark, SLOT.topic(), f"{root}/topic"), SLOT, f"{root}/rejects", f"{root}/checkpoints"
+    )
+    staging.run_all([rows, rejects], once=True)
+    staged = read_batches(spark, f"{root}/{SLOT.staging_table}")
+    lost = spark.read.parquet(f"{root}/rejects")
+    return staged.select("source_offset", F.lit("staged").alias("fate")).unionByName(
+        lost.select("source_offset", F.col("reason").alias("fate"))
+    )
+
+
+# the view that holds the versions of each captured table, and names that differ from the table's
+CHANGES = {
+    "doctor": ("v_doctor_change", {"start_days": "start_working_date"}),
+    "patient": ("v_patient_change", {"birth_days": "date_of_birth"}),
+    "slot_code_template": ("v_slot_code_change", {}),
+    "doctor_slot": ("v_slot_version", {}),
+    "appointment": ("v_appointment_version", {}),
+    "appointment_transaction": ("v_txn_version", {}),
+    "medical_record": ("v_record_version", {}),
+}
+
+
+def written(name: str) -> list[str]:
+    """The tables that follow from a captured one."""
+    facts = [staging.SLOT_FACTS[name][0]] if name in staging.SLOT_FACTS else []
+    return [TABLES[name].staging_table, *staging.DIMENSIONS.get(name, {}), *facts]
+
+
+def change_messages(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table's versions as topic messages."""
+    cfg = TABLES[name]
+    source, renames = CHANGES[name]
+    rows = view(spark, sf, source).withColumnsRenamed(renames)
+    if "cdc_ts" in rows.columns:
+        rows = rows.withColumnsRenamed({"cdc_ts": "ts", "source_offset": "kafka_offset"})
+    wire = {"days": F.unix_date, "micros": F.unix_micros}
+    plain = {"date", "timestamp"}
+    kinds = dict(rows.dtypes)
+    columns = [
+        (wire[kind](F.col(c)) if kind in wire and kinds.get(c) in plain else F.col(c)).alias(c)
+        if c in rows.columns
+        else F.lit(None).cast(cfg.row_schema[c].dataType).alias(c)
+        for c, kind in cfg.fields
+    ]
+    return messages(rows.select(*columns, "op", "ts", "kafka_offset"), cfg, cfg.topic())
+
+
+def streamed_warehouse(spark: SparkSession, sf: str) -> str:
+    """All seven tables through their streams, slots in several micro-batches; the folder."""
+    root = run_dir(spark, "streams")
+
+    def stream(name: str):
+        cfg = TABLES[name]
+        topic_files(change_messages(spark, sf, name), f"{root}/topics/{name}", 4 if cfg is SLOT else 1)
+        source = file_stream(spark, cfg.topic(), f"{root}/topics/{name}")
+        return staging.table_stream(source, cfg, staging.stage_and_build(cfg, root), f"{root}/checkpoints")
+
+    facts = [name for name in TABLES if name in staging.SLOT_FACTS]
+    staging.run_all(
+        [stream(name) for name in TABLES if name not in facts],
+        once=True,
+        after=[stream(name) for name in facts],
+    )
+    return root
+
+
+@query(
+    "stream_facts",
+    FACT_APPOINTMENT + "SELECT * REPLACE (date_trunc('second', booked_at) AS booked_at) FROM fact",
+)
+def stream_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Bookings staged after all slots, whose versions came in several micro-batches."""
+    root = streamed_warehouse(spark, sf)
+    return read_batches(spark, f"{root}/fact_appointment")
+
+
+@query(
+    "stream_tables",
+    with_views(*[source for source, _ in CHANGES.values()])
+    + " UNION ALL ".join(
+        f"SELECT '{table}' AS name, count(*) AS n FROM {CHANGES[name][0]}"
+        for name in CHANGES
+        for table in written(name)
+    ),
+)
+def stream_tables(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of every staging table, dimension and fact that the seven streams wrote."""
+    root = streamed_warehouse(spark, sf)
+    counts = [
+        spark.read.parquet(f"{root}/{table}").select(F.lit(table).alias("name"))
+        for name in CHANGES
+        for table in written(name)
+    ]
+    rows = counts[0]
+    for more in counts[1:]:
+        rows = rows.unionByName(more)
+    return rows.groupBy("name").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query(
+    "stream_late_slots",
+    FACT_APPOINTMENT
+    + """SELECT appointment_id, arg_max({'v': doctor_id}, o)['v'] AS doctor_id,
+  arg_max({'v': slot_code}, o)['v'] AS slot_code FROM (SELECT *, (dw_updated_at, dw_version) AS o FROM fact)
+GROUP BY appointment_id HAVING arg_max(is_deleted, o) = 0""",
+)
+def stream_late_slots(spark: SparkSession, sf: str) -> DataFrame:
+    """Bookings staged before any slot; the current view looks their slots up again."""
+    root = run_dir(spark, "late-slots")
+    for name in ("appointment", "doctor_slot"):
+        cfg = TABLES[name]
+        topic_files(change_messages(spark, sf, name), f"{root}/topics/{name}", 2)
+        source = file_stream(spark, cfg.topic(), f"{root}/topics/{name}")
+        stream = staging.table_stream(source, cfg, staging.stage_and_build(cfg, root), f"{root}/checkpoints")
+        staging.run_all([stream], once=True)
+    slots = warehouse.slot_attributes(read_batches(spark, f"{root}/{SLOT.staging_table}"))
+    facts = {"fact_appointment": read_batches(spark, f"{root}/fact_appointment")}
+    views = plan.current_views(facts, slots)
+    return views["vw_fact_appointment_current"].select("appointment_id", "doctor_id", "slot_code")

@@ -304,4 +304,25 @@ def fact_compacted(spark: SparkSession, sf: str) -> DataFrame:
     early = warehouse.fact_appointment(
         staged_version(spark, sf, "v_appointment_version"), slots.filter(F.lit(False))
     )
-    return plan.compact("fact_appointment", early, slots)
+    kept = plan.compact("fact_appointment", early)
+    latest_rows = latest.replace_latest(kept, ["appointment_id"], warehouse.ORDER)
+    return warehouse.refresh_slot_columns(latest_rows, slots)
+
+
+@query(
+    "current_after_compaction",
+    _fact_current(
+        FACT_APPOINTMENT,
+        "appointment_id",
+        ["booking_ref", "slot_id", "doctor_id", "patient_id", "slot_code", "appointment_count", "is_deleted"],
+        ["slot_date", "booked_at"],
+    ),
+)
+def current_after_compaction(spark: SparkSession, sf: str) -> DataFrame:
+    """Versions with NULLs and deletes, compacted, joined by more that are partly older, compacted
+    again, and joined by the rest: the current view is that of all versions."""
+    fact = appointment_fact(spark, sf)
+    third = F.col("dw_version") % 3
+    state = plan.compact("fact_appointment", fact.filter(third == 1))
+    state = plan.compact("fact_appointment", state.unionByName(fact.filter(third == 0)))
+    return warehouse.current(state.unionByName(fact.filter(third == 2)), "fact_appointment")

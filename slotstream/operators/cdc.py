@@ -72,6 +72,27 @@ def _typed(value: Column, kind: str, precision: str) -> Column:
     return value
 
 
+# kinds that hold less than the 64 bits on the wire, and what they hold
+LIMITS = {
+    "int": (-(1 << 31), (1 << 31) - 1),
+    "days": (wire.MIN_DAY, wire.MAX_DAY),
+    "micros": (wire.MIN_SECOND * 1_000_000, (wire.MAX_SECOND + 1) * 1_000_000 - 1),
+}
+
+
+def _bad_number(payload: Column, cfg: TableConfig, image: str) -> Column:
+    """Whether a column of the changed row has a number that its staging type cannot hold."""
+    found = F.lit(False)
+    for name, kind in cfg.fields:
+        if kind in LIMITS:
+            low, high = LIMITS[kind]
+            value = _image(payload, name, image)
+            found = found | F.coalesce(~value.between(F.lit(low), F.lit(high)), F.lit(False))
+    time = payload["ts_ms"]
+    held = time.between(F.lit(wire.MIN_SECOND * 1000), F.lit((wire.MAX_SECOND + 1) * 1000 - 1))
+    return found | F.coalesce(~held, F.lit(False))
+
+
 def decode(
     raw: DataFrame,
     cfg: TableConfig,
@@ -85,13 +106,13 @@ def decode(
 
     Output: the table's columns, `op, is_deleted, cdc_ts, dw_ingested_at`, and the message
     position (NULL where the source has none). Messages without value, without payload or
-    without key are left out; `rejected` returns them.
+    without key, or with a number their column cannot hold, are left out; `rejected` returns them.
     """
     payload = F.col("message.payload")
     fields = [_typed(_image(payload, n, image), k, precision).alias(n) for n, k in cfg.fields]
     rows = (
         _parse(raw, cfg)
-        .filter(payload.isNotNull())
+        .filter(payload.isNotNull() & ~_bad_number(payload, cfg, image))
         .select(
             *fields,
             payload["op"].alias("op"),
@@ -104,14 +125,15 @@ def decode(
     return rows if keep_null_keys else rows.filter(F.col(cfg.pk).isNotNull())
 
 
-def rejected(raw: DataFrame, cfg: TableConfig) -> DataFrame:
+def rejected(raw: DataFrame, cfg: TableConfig, *, image: str = "column") -> DataFrame:
     """The messages `decode` leaves out, each with the reason."""
     payload = F.col("message.payload")
     reason = (
         F.when(F.col("value").isNull(), F.lit("no_value"))
         .when(payload.isNull() & F.col(f"message.{CORRUPT}").isNotNull(), F.lit("unparsable"))
         .when(payload.isNull(), F.lit("no_payload"))
-        .when(_image(payload, cfg.pk, "column").isNull(), F.lit("null_key"))
+        .when(_image(payload, cfg.pk, image).isNull(), F.lit("null_key"))
+        .when(_bad_number(payload, cfg, image), F.lit("bad_number"))
     )
     aliases = [alias for _, alias, _ in POSITION]
     judged = _parse(raw, cfg, corrupt=True).select("value", reason.alias("reason"), *aliases)

@@ -19,6 +19,29 @@ def replace_latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFram
     return df.groupBy(*keys).agg(newest).select(*keys, "_row.*").select(*df.columns)
 
 
+def needed_versions(
+    df: DataFrame, keys: list[str], order: list[str], *, nullable: tuple[str, ...] = ()
+) -> DataFrame:
+    """The rows on which `current` rests: of each key the latest, and for each nullable column the
+    latest in which it is not NULL.
+
+    They are rows of `df` as they are, so `current` gives the same for them as for `df`,
+    whatever versions are added to either, even older ones.
+    """
+    position = F.struct(*order)
+    whole = F.struct(*df.columns)
+    picked = [F.max_by(whole, position)]
+    picked += [
+        F.max_by(
+            F.when(F.col(c).isNotNull(), whole), F.when(F.col(c).isNotNull(), position)
+        )
+        for c in nullable
+        if c in df.columns
+    ]
+    rows = F.array_distinct(F.array_compact(F.array(*picked)))
+    return df.groupBy(*keys).agg(rows.alias("_rows")).select(F.inline("_rows"))
+
+
 def unique_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """The distinct keys."""
     return df.select(*keys).distinct()

@@ -54,20 +54,21 @@ def dedupe(
     *,
     ts: str = "cdc_ts",
     delay: str = "10 minutes",
-    within_watermark: bool = True,
+    within_watermark: bool = False,
     salts: int = 8,
     order: tuple[str, ...] = ("cdc_ts", "source_partition", "source_offset"),
 ) -> DataFrame:
     """One event per `notification_key`.
 
-    On a stream keys are remembered for the watermark delay, so the state stays bounded and
-    the audit log catches repeats from longer ago; with `within_watermark=False` keys are
-    remembered for ever. Copies of a key are first dropped in `salts` separate groups, so a
+    On a stream keys are remembered for ever, so a first event is never late, however old it
+    is. With `within_watermark=True` they are remembered for the watermark delay: the state
+    stays bounded, but first events behind the watermark are dropped along with the copies, and
+    whoever chooses it must bring them in again another way. Copies of a key are first dropped in `salts` separate groups, so a
     key repeated without end is not worked through by one task (`salts=1` leaves that out).
     In a batch the earliest event of each key is kept.
     """
     if events.isStreaming:
-        rows = events.withWatermark(ts, delay)
+        rows = events.withWatermark(ts, delay) if within_watermark else events
         key = ["notification_key"]
         if salts > 1:
             salt = F.pmod(F.xxhash64(*events.columns), F.lit(salts))

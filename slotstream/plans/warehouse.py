@@ -5,12 +5,15 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from slotstream.operators import cdc, latest, staging, warehouse
-from slotstream.session import build_session, materialise
+from slotstream.session import build_session, exists, materialise
 from slotstream.sinks.writers import BATCH
 from slotstream.sources.registry import TABLES
 
+# folder of a compacted state, followed by the last batch it holds
+UPTO = "upto="
 # facts whose slot columns are looked up
 SLOT_FACTS = ["fact_appointment", "fact_appointment_transaction", "fact_medical_record"]
 
@@ -51,20 +54,27 @@ def build(
     }
 
 
-def current_views(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The current view of every dimension and fact given."""
-    return {f"vw_{name}_current": warehouse.current(df, name) for name, df in tables.items()}
+def current_views(
+    tables: dict[str, DataFrame], slots: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """The current view of every dimension and fact given.
 
+    With `slots`, as `warehouse.slot_attributes` gives them, the slot columns of facts are looked
+    up again, so facts that were written before their slot have it.
+    """
+    views = {}
+    for name, df in tables.items():
+        view = warehouse.current(df, name)
+        if slots is not None and name in SLOT_FACTS:
+            view = warehouse.refresh_slot_columns(view, slots)
+        views[f"vw_{name}_current"] = view
+    return views
 
-def compact(table: str, versions: DataFrame, slots: DataFrame | None = None) -> DataFrame:
-    """One row per key, the latest; with `slots`, its slot columns looked up again.
 
-    A maintenance job writes the result to a new path from time to time, so that current
-    views need not read the whole history.
-    """
-    key, _ = warehouse.CURRENT_KEYS[table]
-    rows = latest.replace_latest(versions, [key], warehouse.ORDER)
-    return rows if slots is None else warehouse.refresh_slot_columns(rows, slots)
+def compact(table: str, versions: DataFrame) -> DataFrame:
+    """The versions on which the current view of `table` rests, a few per key at most."""
+    key, nullable = warehouse.CURRENT_KEYS[table]
+    return latest.needed_versions(versions, [key], warehouse.ORDER, nullable=nullable)
 
 
 def register(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
@@ -73,29 +83,76 @@ def register(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def compact_all(spark: SparkSession, source: str, target: str) -> None:
-    """Every dimension and fact below `source` reduced to one row per key, below `target`.
-
-    Readers turn to the new tables; the streams go on writing below `source`. Rows are sorted
-    by key within files, so lookups by key skip most row groups.
+def compacted_upto(spark: SparkSession, target: str, table: str) -> int | None:
+    """The last batch that the compacted state of `table` holds, from its finished folders."""
+    path = f"{target}/{table}"
+    if not exists(spark, path):
+        return None
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    names = [f.getPath().getName() for f in files]
+    done = [
+        int(name.removeprefix(UPTO))
+        for name in names
+        if name.startswith(UPTO) and exists(spark, f"{path}/{name}/_SUCCESS")
+    ]
+    return max(done, default=None)
+
+
+def versions(spark: SparkSession, source: str, target: str, table: str) -> DataFrame:
+    """What readers take for a table's versions: the compacted state, and the batches that came
+    after it, of which only their own folders are read."""
+    batches = spark.read.parquet(f"{source}/{table}")
+    upto = compacted_upto(spark, target, table)
+    if upto is None:
+        return batches.drop(BATCH)
+    state = spark.read.parquet(f"{target}/{table}/{UPTO}{upto}")
+    later = batches.filter(F.col(BATCH) > upto).drop(BATCH)
+    return state.unionByName(later)
+
+
+def compact_table(spark: SparkSession, source: str, target: str, table: str) -> int | None:
+    """A new state from the last one and the batches since; returns the batch up to which it holds.
+
+    The state is written to a folder of its own and counts when it is complete. Streams go on
+    writing below `source`; batches that arrive meanwhile belong to the next state. Rows are
+    sorted by key within files, so lookups by key skip most row groups.
     """
+    upto = compacted_upto(spark, target, table)
+    batches = spark.read.parquet(f"{source}/{table}")
+    new = batches if upto is None else batches.filter(F.col(BATCH) > upto)
+    newest = new.agg(F.max(BATCH)).first()[0]
+    if newest is None:
+        return upto
+    rows = new.filter(F.col(BATCH) <= newest).drop(BATCH)
+    if upto is not None:
+        rows = rows.unionByName(spark.read.parquet(f"{target}/{table}/{UPTO}{upto}"))
+    key, _ = warehouse.CURRENT_KEYS[table]
+    compact(table, rows).sortWithinPartitions(key).write.mode("overwrite").parquet(
+        f"{target}/{table}/{UPTO}{newest}"
+    )
+    return int(newest)
+
+
+def compact_all(spark: SparkSession, source: str, target: str) -> dict[str, int | None]:
+    """Every dimension and fact below `source`, compacted below `target`."""
     if source.rstrip("/") == target.rstrip("/"):
         raise ValueError("the compacted tables need a path of their own")
-    history = spark.read.parquet(f"{source}/{TABLES['doctor_slot'].staging_table}")
-    slots = materialise(warehouse.slot_attributes(history))
-    for table, (key, _) in warehouse.CURRENT_KEYS.items():
-        versions = spark.read.parquet(f"{source}/{table}").drop(BATCH)
-        rows = compact(table, versions, slots if table in SLOT_FACTS else None)
-        rows.sortWithinPartitions(key).write.mode("errorifexists").parquet(f"{target}/{table}")
+    return {
+        table: compact_table(spark, source, target, table) for table in warehouse.CURRENT_KEYS
+    }
 
 
 def main() -> None:
-    """Compact the warehouse tables into a new folder."""
+    """Bring the compacted state of the warehouse tables up to the newest batch."""
     parser = argparse.ArgumentParser(description=main.__doc__)
     parser.add_argument("--source", required=True)
     parser.add_argument("--target", required=True)
     args = parser.parse_args()
-    compact_all(build_session("warehouse-compaction"), args.source, args.target)
+    for table, upto in compact_all(
+        build_session("warehouse-compaction"), args.source, args.target
+    ).items():
+        print(f"{table}: state holds batches up to {upto}")
 
 
 if __name__ == "__main__":

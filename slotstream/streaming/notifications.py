@@ -44,14 +44,14 @@ def event_stream(
     since: Column,
     *,
     delay: str = "10 minutes",
-    within_watermark: bool = True,
+    within_watermark: bool = False,
     salts: int = 8,
 ) -> DataFrame:
     """Notification messages `(key, value)` from the change topic of the booking log.
 
-    With bounded state, events behind the watermark are dropped along with the copies, and
-    the progress reports count them. With `within_watermark=False` nothing is ever forgotten
-    and nothing is late.
+    Nothing is ever forgotten and nothing is late. With `within_watermark=True` the state is
+    bounded; events behind the watermark are dropped along with the copies then, and the
+    progress reports count them.
     """
     rows = cdc.decode(messages, LOG)
     events = notify.booking_events(rows, since)
@@ -141,13 +141,19 @@ def main() -> None:
     parser.add_argument("--servers", required=True)
     parser.add_argument("--topic-prefix", default=DEFAULT_TOPIC_PREFIX)
     parser.add_argument("--topic", default=TOPIC)
+    parser.add_argument(
+        "--forget-after",
+        metavar="DELAY",
+        help="bounded state: forget keys after this time, and drop events that come later than it",
+    )
     args = parser.parse_args()
     spark = build_session("booking-notifications")
+    bounded = {"delay": args.forget_after, "within_watermark": True} if args.forget_after else {}
     source = topics.stream(
         spark, LOG.topic(args.topic_prefix), servers=args.servers, starting="latest"
     )
     query = writers.topic_writer(
-        event_stream(source, start_time()),
+        event_stream(source, start_time(), **bounded),
         args.topic,
         checkpoint=f"{shared_dir(spark)}/streams/notification_booking_event",
         servers=args.servers,

@@ -138,35 +138,49 @@ def rejected_stream(
     )
 
 
-def run_all(streams: Iterable[DataStreamWriter], *, once: bool = False) -> list[StreamingQuery]:
-    """Start all streams and wait. With `once` each handles what is there and ends.
+def run_all(
+    streams: Iterable[DataStreamWriter],
+    *,
+    once: bool = False,
+    after: Iterable[DataStreamWriter] = (),
+) -> list[StreamingQuery]:
+    """Start all streams and wait. With `once` each handles what is there and ends, and those in
+    `after` start when the others have ended.
 
     Without it the call returns, with the error, when any of them ends.
     """
-    queries = [
-        stream.trigger(availableNow=True).start() if once else stream.start() for stream in streams
-    ]
-    if once:
-        for query in queries:
-            query.awaitTermination()
-    elif queries:
+    queries = []
+    for group in (streams, after):
+        queries += [x.trigger(availableNow=True).start() if once else x.start() for x in group]
+        if once:
+            for query in queries:
+                query.awaitTermination()
+    if queries and not once:
         queries[0].sparkSession.streams.awaitAnyTermination()
     return queries
 
 
 def main() -> None:
-    """Seven streams, one per captured table. Slots go first, so that facts find them."""
+    """Fourteen streams: rows and rejected messages of each captured table.
+
+    With --once slots go first, so that facts find them. Otherwise facts may be ahead of their
+    slots; `plans.warehouse.current_views` looks slots up again when it is given them.
+    """
     parser = argparse.ArgumentParser(description=main.__doc__)
     parser.add_argument("--servers", required=True)
     target = parser.add_mutually_exclusive_group(required=True)
     target.add_argument("--root", help="folder of the warehouse tables")
     target.add_argument("--jdbc-url", help="database of the staging tables")
+    parser.add_argument("--rejects", help="folder of the rejected messages; default: ROOT/rejected")
     parser.add_argument("--jdbc-option", action="append", default=[], metavar="NAME=VALUE")
     parser.add_argument("--topic-prefix", default=DEFAULT_TOPIC_PREFIX)
     parser.add_argument("--once", action="store_true")
     parser.add_argument("--max-offsets", help="messages per micro-batch and table")
     parser.add_argument("--min-partitions", help="read tasks per table, to split large topic partitions")
     args = parser.parse_args()
+    if not (args.rejects or args.root):
+        parser.error("--rejects is needed with --jdbc-url")
+    rejects = (args.rejects or f"{args.root}/rejected").rstrip("/")
     spark = build_session("change-staging")
     checkpoints = f"{shared_dir(spark)}/streams"
     limits = {"maxOffsetsPerTrigger": args.max_offsets, "minPartitions": args.min_partitions}
@@ -178,21 +192,27 @@ def main() -> None:
             return stage_and_build(cfg, args.root)
         return stage_to_jdbc(cfg, args.jdbc_url, properties)
 
-    order = sorted(TABLES.values(), key=lambda cfg: cfg.name in SLOT_FACTS)
+    def source(cfg: TableConfig) -> DataFrame:
+        topic = cfg.topic(args.topic_prefix)
+        return topics.stream(spark, topic, servers=args.servers, options=options)
+
+    def rows(cfg: TableConfig) -> DataStreamWriter:
+        return table_stream(
+            source(cfg),
+            cfg,
+            target_of(cfg),
+            checkpoints,
+            on_metrics=lambda table, batch, counts: print(f"{table} batch {batch}: {counts}"),
+        )
+
+    rejected = [
+        rejected_stream(source(cfg), cfg, f"{rejects}/{cfg.name}", checkpoints)
+        for cfg in TABLES.values()
+    ]
     run_all(
-        [
-            table_stream(
-                topics.stream(
-                    spark, cfg.topic(args.topic_prefix), servers=args.servers, options=options
-                ),
-                cfg,
-                target_of(cfg),
-                checkpoints,
-                on_metrics=lambda table, batch, counts: print(f"{table} batch {batch}: {counts}"),
-            )
-            for cfg in order
-        ],
+        [rows(cfg) for cfg in TABLES.values() if cfg.name not in SLOT_FACTS] + rejected,
         once=args.once,
+        after=[rows(cfg) for cfg in TABLES.values() if cfg.name in SLOT_FACTS],
     )
 
 

@@ -1,5 +1,6 @@
 """Latest row per key against latest value per column."""
 
+import datetime as dt
 import random
 
 import pytest
@@ -96,10 +97,43 @@ def test_compaction_repairs_late_slots(spark, rows):
     later = warehouse.slot_attributes(
         versions(spark, ("S9", "DR7", "9A", 0, 1), ("S1", "DR1", "8A", 0, 4))
     )
-    fixed = plan.compact("fact_appointment", early.union(early), later)
+    kept = plan.compact("fact_appointment", early.union(early))
+    assert kept.count() == 2
+    fixed = plan.current_views({"fact_appointment": kept}, later)["vw_fact_appointment_current"]
     assert rows(fixed, "appointment_id", "doctor_id") == [(1, "DR1"), (2, "DR7")]
 
 
+def test_compaction_keeps_the_current_state(spark):
+    """NULLs, deletes, ties and versions that come later though they are older."""
+    rng = random.Random(3)
+    data = [
+        (rng.randrange(6), rng.choice(["a", "b"]), rng.choice([None, None, 1, 2]), rng.choice([None, "x", "y"]),
+         int(rng.random() < 0.2), dt.datetime(2026, 1, 1, 0, rng.randrange(12)), n)
+        for n in range(150)
+    ]
+    schema = "k int, v string, n int, m string, is_deleted int, dw_updated_at timestamp, dw_version int"
+    order, loose = ["dw_updated_at", "dw_version"], ("n", "m")
+
+    def state(df):
+        return sorted(map(tuple, latest.current(df, ["k"], order, nullable=loose).collect()))
+
+    def kept(df):
+        return latest.needed_versions(df, ["k"], order, nullable=loose)
+
+    whole = spark.createDataFrame(data, schema)
+    early, late = spark.createDataFrame(data[::2], schema), spark.createDataFrame(data[1::2], schema)
+    assert state(kept(whole)) == state(whole)
+    assert state(kept(early).union(late)) == state(whole)
+    assert state(kept(kept(early).union(late))) == state(whole)
+    assert kept(whole).groupBy("k").count().agg(F.max("count")).first()[0] <= 3
+
+
+def test_lookup_refuses_keys_of_other_types(spark):
+    one = spark.range(1).select(F.col("id").cast("decimal(10,2)").alias("k"))
+    with pytest.raises(TypeError, match="key k"):
+        lookup(spark.range(1).withColumnRenamed("id", "k"), one, ["k"])
+
+
 def test_lookup_matches_a_plain_join(spark, rows):
     many = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "k long, v string")
     one = spark.createDataFrame([(1, "x"), (3, "z"), (None, "n")], "k int, w string")

@@ -12,7 +12,7 @@ from slotstream.plans import warehouse as plan
 from slotstream.sinks import writers
 from slotstream.sources import topics
 from slotstream.sources.registry import TABLES, WAREHOUSE_TABLES
-from slotstream.streaming import notifications, staging
+from slotstream.streaming import notifications, outbox, staging
 
 SLOT, APPOINTMENT, LOG = (TABLES[n] for n in ("doctor_slot", "appointment", "appointment_transaction"))
 KINDS = {"text": "x", "clock": "08:00", "int": 7, "days": 19000, "micros": 1700000000000000}
@@ -120,10 +120,19 @@ def test_staging_to_a_database(spark, monkeypatch):
 def test_rejected_messages_are_kept(spark, tmp_path, rows):
     path, out = str(tmp_path / "topic"), str(tmp_path / "rejected")
     bad = ("k", "not json", SLOT.topic(), 0, 5)
-    write_messages(spark, path, [message(SLOT, 0), bad, message(SLOT, 1, slot_id=None)])
+    far = message(SLOT, 2, slot_date=10**12)
+    write_messages(spark, path, [message(SLOT, 0), bad, message(SLOT, 1, slot_id=None), far])
     source = topics.stream(spark, SLOT.topic(), fmt="parquet", path=path)
     staging.run_all([staging.rejected_stream(source, SLOT, out, str(tmp_path / "cp"))], once=True)
-    assert rows(spark.read.parquet(out), "reason", "source_offset") == [("null_key", 1), ("unparsable", 5)]
+    assert rows(spark.read.parquet(out), "reason", "source_offset") == [
+        ("bad_number", 2), ("null_key", 1), ("unparsable", 5),
+    ]
+    wide = spark.createDataFrame(
+        [message(APPOINTMENT, 0, appointment_id=3_000_000_000), message(APPOINTMENT, 1)],
+        "key string, value string, topic string, partition int, offset long",
+    )
+    assert rows(cdc.decode(wide, APPOINTMENT), "source_offset") == [(1,)]
+    assert rows(cdc.rejected(wide, APPOINTMENT), "reason", "source_offset") == [("bad_number", 0)]
 
 
 def test_facts_follow_their_slot(spark, tmp_path, rows):
@@ -143,9 +152,35 @@ def test_facts_follow_their_slot(spark, tmp_path, rows):
     assert rows(facts, "appointment_id", "doctor_id") == [(1, ""), (2, "DR5")]
     feed(APPOINTMENT, 2, message(APPOINTMENT, 4, appointment_id=2, slot_id="S1", booking_ref="B2"))
     slots = warehouse.slot_attributes(spark.read.parquet(f"{root}/stg_doctor_slot"))
-    assert rows(plan.compact("fact_appointment", facts, slots), "appointment_id", "doctor_id") == [
-        (1, "DR5"), (2, "DR5"),
-    ]
+    views = plan.current_views({"fact_appointment": facts}, slots)
+    assert rows(views["vw_fact_appointment_current"], "appointment_id", "doctor_id") == [(1, "DR5"), (2, "DR5")]
+
+
+def test_compaction_goes_on_while_batches_arrive(spark, tmp_path, rows):
+    root, target = str(tmp_path / "root"), str(tmp_path / "compact")
+    schema = "key string, value string, topic string, partition int, offset long"
+
+    def feed(batch, *data):
+        raw = spark.createDataFrame(list(data), schema)
+        writers.batch_writer(SLOT, staging.stage_and_build(SLOT, root))(
+            cdc.decode(raw, SLOT, keep_null_keys=True), batch
+        )
+
+    def current():
+        found = plan.versions(spark, root, target, "dim_doctor_slot")
+        every = spark.read.parquet(f"{root}/dim_doctor_slot").drop(writers.BATCH)
+        assert rows(warehouse.current(found, "dim_doctor_slot")) == rows(warehouse.current(every, "dim_doctor_slot"))
+        return rows(warehouse.current(found, "dim_doctor_slot"), "slot_id", "doctor_id")
+
+    feed(0, message(SLOT, 1, slot_id="S1", doctor_id="DR1"), message(SLOT, 2, slot_id="S2", doctor_id="DR2"))
+    assert current() == [("S1", "DR1"), ("S2", "DR2")]
+    assert plan.compact_table(spark, root, target, "dim_doctor_slot") == 0
+    feed(1, message(SLOT, 3, slot_id="S1", doctor_id="DR3", slot_date=None), message(SLOT, 4, "d", slot_id="S2"))
+    assert current() == [("S1", "DR3")]
+    assert plan.compact_table(spark, root, target, "dim_doctor_slot") == 1
+    assert plan.compact_table(spark, root, target, "dim_doctor_slot") == 1
+    feed(2, message(SLOT, 5, slot_id="S3", doctor_id="DR4"))
+    assert current() == [("S1", "DR3"), ("S3", "DR4")]
 
 
 def test_all_seven_streams(spark, tmp_path):
@@ -162,7 +197,7 @@ def test_all_seven_streams(spark, tmp_path):
     stored = {n: spark.read.parquet(f"{root}/{n}") for n in WAREHOUSE_TABLES if not n.startswith("vw_")}
     assert {n: df.count() for n, df in stored.items()} == {n: 1 for n in stored}
     plan.compact_all(spark, root, f"{root}-compact")
-    assert spark.read.parquet(f"{root}-compact/fact_medical_record").count() == 1
+    assert plan.versions(spark, root, f"{root}-compact", "fact_medical_record").count() == 1
     with pytest.raises(ValueError):
         plan.compact_all(spark, root, root + "/")
     raw = {
@@ -209,7 +244,7 @@ HOURS = [
 def test_bounded_dedup_drops_copies_late_rows_and_state(spark, tmp_path, salts):
     path = str(tmp_path / "topic")
     log_files(spark, path, *HOURS)
-    keys, query = run_events(spark, tmp_path, path, salts=salts)
+    keys, query = run_events(spark, tmp_path, path, within_watermark=True, salts=salts)
     assert keys == ["A", "B", "C", "D"]
     steps = [op for p in query.recentProgress for op in p["stateOperators"]]
     assert sum(op["numRowsDroppedByWatermark"] for op in steps) >= 1
@@ -217,10 +252,10 @@ def test_bounded_dedup_drops_copies_late_rows_and_state(spark, tmp_path, salts):
 
 
 @pytest.mark.parametrize("salts", [1, 8])
-def test_unbounded_dedup_remembers_all_keys(spark, tmp_path, salts):
+def test_dedup_delivers_late_keys_by_default(spark, tmp_path, salts):
     path = str(tmp_path / "topic")
     log_files(spark, path, *HOURS)
-    keys, query = run_events(spark, tmp_path, path, within_watermark=False, salts=salts)
+    keys, query = run_events(spark, tmp_path, path, salts=salts)
     assert keys == ["A", "B", "C", "D", "LATE"]
     assert max(op["numRowsTotal"] for op in query.recentProgress[-1]["stateOperators"]) >= 5
 
@@ -271,3 +306,59 @@ def test_outbox_stream(spark, tmp_path, rows):
     assert rows(spark.read.parquet(f"{root}/audit_pending"), "dw_batch_id", "notification_key") == [
         (0, "T1"), (1, "T3"), (2, "T3"),
     ]
+
+
+SENT = []
+
+
+def keep_mails(mails):
+    """A send hook."""
+    SENT.extend(r.notification_key for r in mails.collect())
+
+
+def test_consumer_job(spark, tmp_path, rows):
+    tables, path, root = (str(tmp_path / n) for n in ("tables", "topic", "root"))
+    spark.createDataFrame([(1, "Ann", "a@b.c")], "patient_id int, patient_name string, email string").write.parquet(
+        f"{tables}/patient"
+    )
+    spark.createDataFrame(
+        [("S1", dt.date(2026, 5, 4), "8A", "DR1")], "slot_id string, slot_date date, slot_code string, doctor_id string"
+    ).write.parquet(f"{tables}/doctor_slot")
+    spark.createDataFrame([("DR1", "D", "Skin")], "doctor_id string, doctor_name string, specialty string").write.parquet(
+        f"{tables}/doctor"
+    )
+    send = outbox.hook(f"{__name__}:keep_mails")
+    fields = [f.name for f in notifications.NOTIFICATION_SCHEMA]
+    for batch, key in enumerate(["T1", "T1", "T2"]):
+        row = [key, key, "S1", 1, "BOOKED", "BOOKING_CONFIRMATION", "2026-05-01T00:00:00.000Z", "EMAIL"]
+        value = json.dumps(dict(zip(fields, row, strict=True)))
+        write_messages(spark, path, [(key, value, notifications.TOPIC, 0, batch)])
+        source = topics.stream(spark, notifications.TOPIC, fmt="parquet", path=path)
+        stream = outbox.consumer(
+            spark, source, tables=tables, root=root, send=send, checkpoint=str(tmp_path / "cp")
+        )
+        staging.run_all([stream], once=True)
+    audit = spark.read.parquet(f"{root}/audit")
+    assert rows(audit, "notification_key", "send_status") == [("T1", "SENT"), ("T2", "SENT")]
+    import sys
+
+    assert sys.modules[send.__module__].SENT == ["T1", "T2"]
+
+
+def test_fact_streams_start_when_slots_have_ended(spark, tmp_path, rows):
+    """Slots in several micro-batches, bookings in one: with `once` no fact lacks its slot."""
+    root = str(tmp_path / "root")
+    for i in range(3):
+        write_messages(spark, str(tmp_path / "slots"), [message(SLOT, i, slot_id=f"S{i}", doctor_id=f"DR{i}")])
+    bookings = [message(APPOINTMENT, i, appointment_id=i, slot_id=f"S{i}") for i in range(3)]
+    write_messages(spark, str(tmp_path / "bookings"), bookings)
+
+    def stream(cfg, folder):
+        source = topics.stream(
+            spark, cfg.topic(), fmt="parquet", path=str(tmp_path / folder), options={"maxFilesPerTrigger": "1"}
+        )
+        return staging.table_stream(source, cfg, staging.stage_and_build(cfg, root), f"{root}/checkpoints")
+
+    staging.run_all([stream(SLOT, "slots")], once=True, after=[stream(APPOINTMENT, "bookings")])
+    facts = spark.read.parquet(f"{root}/fact_appointment")
+    assert rows(facts, "appointment_id", "doctor_id") == [(0, "DR0"), (1, "DR1"), (2, "DR2")]
