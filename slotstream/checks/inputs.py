@@ -126,19 +126,21 @@ def csv_appointment(spark: SparkSession, sf: str) -> DataFrame:
     return files.appointment_csv(spark, path)
 
 
-def record_file(spark: SparkSession, sf: str) -> str:
-    return as_csv(
-        view(spark, sf, "v_record").select(
-            F.col("slot_id").alias("slotID"),
-            F.col("patient_id").alias("patientID"),
-            F.col("version_number").alias("version"),
-            F.col("diagnosis_note").alias("diagnosis"),
-            F.col("prescription_note").alias("treatment"),
-            F.date_format("created_at", "yyyy-MM-dd HH:mm").alias("updated_at"),
-        )
+def record_rows(spark: SparkSession, sf: str) -> DataFrame:
+    return view(spark, sf, "v_record").select(
+        F.col("slot_id").alias("slotID"),
+        F.col("patient_id").alias("patientID"),
+        F.col("version_number").alias("version"),
+        F.col("diagnosis_note").alias("diagnosis"),
+        F.col("prescription_note").alias("treatment"),
+        F.date_format("created_at", "yyyy-MM-dd HH:mm").alias("updated_at"),
     )
 
 
+def record_file(spark: SparkSession, sf: str) -> str:
+    return as_csv(record_rows(spark, sf))
+
+
 @query(
     "csv_record",
     with_views("v_record")
@@ -165,6 +167,43 @@ def seed_appointments(spark: SparkSession, sf: str) -> DataFrame:
     return seed.appointments(log)
 
 
+@query(
+    "seed_patients",
+    with_views("v_patient")
+    + """SELECT CAST(row_number() OVER (ORDER BY patient_name) AS INT) AS patient_id, patient_name, address,
+  phone_number, insurance_number, date_of_birth, gender, email FROM v_patient""",
+)
+def seed_patients(spark: SparkSession, sf: str) -> DataFrame:
+    """Patients from CSV files, numbered in file order."""
+    path = as_csv(spark.read.option("header", True).csv(patient_file(spark, sf)).orderBy("patientName"))
+    return seed.patients(files.patient_csv(spark, path, lines=True))
+
+
+@query(
+    "seed_slots",
+    with_views("v_slot")
+    + """SELECT slot_id, doctor_id, slot_date, slot_code, 'AVAILABLE' AS slot_status, 'AVAILABLE' AS admin_status
+FROM v_slot""",
+)
+def seed_slots(spark: SparkSession, sf: str) -> DataFrame:
+    """Slots from CSV files in which every line stands twice."""
+    once = spark.read.option("header", True).csv(slot_file(spark, sf))
+    return seed.slots(files.slot_csv(spark, as_csv(once.unionByName(once)), lines=True))
+
+
+@query(
+    "seed_records",
+    with_views("v_record")
+    + """SELECT 'REC26' || lpad(CAST(row_number() OVER (ORDER BY slot_id, version_number) AS STRING), 8, '0') AS record_id,
+  slot_id, patient_id, version_number, diagnosis_note, prescription_note, created_at, created_at AS updated_at
+FROM v_record""",
+)
+def seed_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Medical records from CSV files, numbered in file order."""
+    path = as_csv(record_rows(spark, sf).orderBy("slotID", "version"))
+    return seed.records(files.record_csv(spark, path, lines=True))
+
+
 @query(
     "raw_topic_view",
     """SELECT topic, 0 AS partition, event_id AS "offset", key,

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import argparse
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotstream.operators import booking, mutations, schedule
-from slotstream.session import materialise
+from slotstream.session import build_session, drop_materialised, materialise
 from slotstream.sources import files
 
 # fixed values: prefixes and widths of generated keys
@@ -72,3 +74,35 @@ def seed(spark: SparkSession, paths: dict[str, str]) -> dict[str, DataFrame]:
         "appointment": appointments(log),
         "medical_record": records(files.record_csv(spark, paths["medical_record"], lines=True)),
     }
+
+
+SOURCES = ["doctor", "patient", "doctor_slot", "appointment_transaction", "medical_record"]
+
+
+def write(tables: dict[str, DataFrame], root: str) -> None:
+    """All tables as files below `root`, in place of what is there, so a rerun starts over. Slots
+    are partitioned by month, as the monthly job reads and writes them."""
+    for name, df in tables.items():
+        writer = df.write.mode("overwrite")
+        if name == "doctor_slot":
+            month = F.date_format("slot_date", "yyyy-MM")
+            writer = df.withColumn("slot_month", month).write.mode("overwrite").partitionBy("slot_month")
+        writer.parquet(f"{root.rstrip('/')}/{name}")
+
+
+def main() -> None:
+    """The nine tables of the application from CSV files."""
+    parser = argparse.ArgumentParser(description=main.__doc__)
+    parser.add_argument("--folder", required=True, help="has NAME.csv, or a folder of that name, for each input")
+    parser.add_argument("--target", required=True)
+    for name in SOURCES:
+        parser.add_argument(f"--{name.replace('_', '-')}", help=f"default: FOLDER/{name}.csv")
+    args = parser.parse_args()
+    spark = build_session("first-load")
+    folder = args.folder.rstrip("/")
+    write(seed(spark, {n: getattr(args, n) or f"{folder}/{n}.csv" for n in SOURCES}), args.target)
+    drop_materialised(spark)
+
+
+if __name__ == "__main__":
+    main()

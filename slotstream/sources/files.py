@@ -14,25 +14,31 @@ from slotstream.functions import text
 ACTION_SYNONYMS = {"BOOK": "BOOKED", "CANCEL": "CANCELLED"}
 
 
-# where a row stood: the file, and a number that grows with the lines of a file
-LINE = ["_file", "_line"]
+# where a row stood: the file, the split that was read, and a number that grows within a split
+LINE = ["_file", "_block", "_line"]
 
 
-def _csv(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:
+def _csv(
+    spark: SparkSession, path: str, columns: list[str], *, multiline: bool = False
+) -> DataFrame:
     """All columns as text, found by header name, and `LINE`; typing is left to the caller.
 
-    Quoted fields may hold line breaks, so a file is read by one task: large inputs should
-    come as a folder of many files.
+    Columns are found in one file's header; Spark then compares the header of every file with it,
+    and a file with other columns or another order fails the read instead of mixing them up.
+    Large files are read in splits, unless quoted fields may hold line breaks (`multiline`): then
+    a file is read by one task, and large inputs should come as a folder of many files.
     """
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    frame = reader.csv(path)
+    reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
+    schema = reader.csv(path).schema
+    frame = reader.schema(schema).option("enforceSchema", False).csv(path)
     by_name = {name.lstrip("\ufeff").strip().lower(): name for name in frame.columns}
     missing = [name for name in columns if name.lower() not in by_name]
     if missing:
         raise ValueError(f"{path} lacks the columns {missing}; it has {frame.columns}")
     return frame.select(
         *[text.blank_to_null(F.col(f"`{by_name[name.lower()]}`")).alias(name) for name in columns],
-        F.input_file_name().alias("_file"),
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_block"),
         F.monotonically_increasing_id().alias("_line"),
     )
 
@@ -115,7 +121,8 @@ def appointment_csv(spark: SparkSession, path: str, *, lines: bool = False) -> D
 
 def record_csv(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
     """Medical records; the one time in the file fills both time columns."""
-    rows = _csv(spark, path, ["slotID", "patientID", "version", "diagnosis", "treatment", "updated_at"])
+    columns = ["slotID", "patientID", "version", "diagnosis", "treatment", "updated_at"]
+    rows = _csv(spark, path, columns, multiline=True)
     changed = F.col("updated_at").try_cast("timestamp")
     return rows.select(
         F.col("slotID").alias("slot_id"),

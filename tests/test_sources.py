@@ -149,6 +149,31 @@ def test_sources_ask_for_what_they_need(spark):
         topics.batch(spark, "t", fmt="parquet")
     with pytest.raises(ValueError, match="bounds"):
         tables.jdbc_table(spark, "jdbc:x", "t", partition_column="id")
+    with pytest.raises(ValueError, match="single"):
+        tables.jdbc_table(spark, "jdbc:x", "t")
+
+
+def test_files_with_other_columns_are_refused(spark, tmp_path):
+    folder = tmp_path / "slots"
+    folder.mkdir()
+    (folder / "a.csv").write_text("slotID,doctorID,date,slotCode\nS1,DR1,2026-05-04,8A\n")
+    (folder / "b.csv").write_text("doctorID,slotID,date,slotCode\nDR2,S2,2026-05-04,8A\n")
+    with pytest.raises(Exception, match="CSV header does not conform"):
+        files.slot_csv(spark, str(folder)).collect()
+
+
+def test_large_files_are_split_and_keep_their_order(spark, tmp_path):
+    path = tmp_path / "log.csv"
+    lines = [f"S{i},{i},booked,01/05/2026 08:00 am" for i in range(40_000)]
+    path.write_text("slotID,patientID,status,event_timestamp\n" + "\n".join(lines))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        found = files.transaction_csv(spark, str(path), lines=True)
+        assert found.rdd.getNumPartitions() > 3
+        numbered = seed.transactions(found).select("transaction_id", "patient_id").collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert [r.patient_id for r in sorted(numbered)] == list(range(40_000))
 
 
 def test_table_reads_push_the_predicate(spark, tmp_path, capsys):
