@@ -305,6 +305,27 @@ def payment_defaults(spark: SparkSession, sf: str) -> DataFrame:
     return mutations.with_defaults(payments, mutations.PAYMENT_DEFAULTS)
 
 
+@query(
+    "append_payments",
+    """SELECT CAST(o_orderkey AS BIGINT) AS payment_id, CAST(o_orderkey AS INT) AS appointment_id,
+  CAST(o_totalprice AS DECIMAL(12,2)) AS amount_total,
+  CAST(CASE WHEN o_orderstatus = 'F' THEN 10 ELSE 0 END AS DECIMAL(12,2)) AS amount_covered,
+  CAST(0 AS DECIMAL(12,2)) AS amount_patient_responsibility, 'PENDING' AS payment_status,
+  TIMESTAMP '2024-03-01 12:00:00' AS created_at, TIMESTAMP '2024-03-01 12:00:00' AS updated_at FROM orders""",
+)
+def append_payments(spark: SparkSession, sf: str) -> DataFrame:
+    """All orders as payments, those of status F first, as text; the rest lack most columns."""
+    orders = spark.read.parquet(f"{sf}/orders.parquet")
+    now = F.lit("2024-03-01 12:00:00").cast("timestamp")
+    ids = [F.col("o_orderkey").alias("payment_id"), F.col("o_orderkey").alias("appointment_id")]
+    total = F.col("o_totalprice").alias("amount_total")
+    paid = orders.filter("o_orderstatus = 'F'").select(
+        *[c.cast("string") for c in ids], total, F.lit("10").alias("amount_covered")
+    )
+    rest = orders.filter("o_orderstatus <> 'F'").select(*ids, total)
+    return mutations.append_payments(mutations.payment_rows(paid, now=now), rest, now=now)
+
+
 @query(
     "text_functions",
     """SELECT event_id, CASE WHEN length(CAST(event_id AS STRING)) >= 4 THEN CAST(event_id AS STRING)

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from slotstream.checks.base import query
+from slotstream.checks.base import query, with_place
 from slotstream.operators import reads, records
 from slotstream.testdata import view, with_views
 
@@ -51,25 +51,31 @@ def records_by_doctor(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "records_by_slot",
     with_views("v_record", "v_slot", "v_patient")
-    + """SELECT r.*, p.patient_name, s.slot_date, s.slot_code
+    + """SELECT r.*, p.patient_name, s.slot_date, s.slot_code,
+  row_number() OVER (ORDER BY r.slot_id, r.version_number DESC, r.record_id) AS place
 FROM v_record r JOIN v_slot s ON r.slot_id = s.slot_id JOIN v_patient p ON r.patient_id = p.patient_id""",
 )
 def records_by_slot(spark: SparkSession, sf: str) -> DataFrame:
-    return records.by_slot(*[view(spark, sf, v) for v in ("v_record", "v_slot", "v_patient")])
+    return with_place(
+        records.by_slot(*[view(spark, sf, v) for v in ("v_record", "v_slot", "v_patient")])
+    )
 
 
 @query(
     "records_by_insurance",
     with_views("v_record", "v_slot", "v_patient", "v_doctor")
-    + """SELECT DISTINCT ON (r.patient_id, r.slot_id) p.insurance_number, s.doctor_id, d.doctor_name,
+    + """SELECT *, row_number() OVER (ORDER BY doctor_id, slot_id, insurance_number) AS place FROM (
+SELECT DISTINCT ON (r.patient_id, r.slot_id) p.insurance_number, s.doctor_id, d.doctor_name,
   r.record_id AS medical_record_id, r.slot_id, s.slot_date AS date, s.slot_code, r.version_number
 FROM v_record r JOIN v_slot s ON r.slot_id = s.slot_id JOIN v_patient p ON r.patient_id = p.patient_id
 JOIN v_doctor d ON s.doctor_id = d.doctor_id
-ORDER BY r.patient_id, r.slot_id, r.version_number DESC, r.record_id DESC""",
+ORDER BY r.patient_id, r.slot_id, r.version_number DESC, r.record_id DESC)""",
 )
 def records_by_insurance(spark: SparkSession, sf: str) -> DataFrame:
-    return records.by_insurance(
-        *[view(spark, sf, v) for v in ("v_record", "v_slot", "v_patient", "v_doctor")]
+    return with_place(
+        records.by_insurance(
+            *[view(spark, sf, v) for v in ("v_record", "v_slot", "v_patient", "v_doctor")]
+        )
     )
 
 
@@ -112,19 +118,33 @@ FROM v_appointment a JOIN v_slot s ON a.slot_id = s.slot_id"""
 )
 
 
-@query("patient_appointments", _PATIENT_APPOINTMENTS)
 def patient_appointments(spark: SparkSession, sf: str) -> DataFrame:
     return reads.patient_appointments(view(spark, sf, "v_appointment"), view(spark, sf, "v_slot"))
 
 
+@query(
+    "patient_appointments",
+    _PATIENT_APPOINTMENTS.replace(
+        "a.booked_at\n",
+        """a.booked_at,
+  row_number() OVER (ORDER BY a.patient_id, s.slot_date, s.slot_code, a.booking_ref) AS place\n""",
+    ),
+)
+def patient_appointments_in_order(spark: SparkSession, sf: str) -> DataFrame:
+    return with_place(patient_appointments(spark, sf))
+
+
 @query(
     "doctor_appointments",
     with_views("v_appointment", "v_slot")
-    + """SELECT s.doctor_id, a.patient_id, s.slot_id, s.slot_date, s.slot_code
+    + """SELECT s.doctor_id, a.patient_id, s.slot_id, s.slot_date, s.slot_code,
+  row_number() OVER (ORDER BY s.doctor_id, s.slot_date, s.slot_code, s.slot_id) AS place
 FROM v_appointment a JOIN v_slot s ON a.slot_id = s.slot_id""",
 )
 def doctor_appointments(spark: SparkSession, sf: str) -> DataFrame:
-    return reads.doctor_appointments(view(spark, sf, "v_appointment"), view(spark, sf, "v_slot"))
+    return with_place(
+        reads.doctor_appointments(view(spark, sf, "v_appointment"), view(spark, sf, "v_slot"))
+    )
 
 
 @query(
@@ -145,6 +165,21 @@ def history_page(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "history_after",
+    _PATIENT_APPOINTMENTS
+    + """ WHERE (s.slot_date, s.slot_code, a.booking_ref) > (DATE '1995-01-01', '8A', '')
+ORDER BY s.slot_date, s.slot_code, a.booking_ref LIMIT 5""",
+)
+def history_after(spark: SparkSession, sf: str) -> DataFrame:
+    """The page after a given row, which costs the same wherever it is."""
+    return reads.page_after(
+        reads.history(patient_appointments(spark, sf)),
+        ["slot_date", "slot_code", "booking_ref"],
+        (dt.date(1995, 1, 1), "8A", ""),
+    )
+
+
 @query(
     "history_page_count",
     with_views("v_appointment", "v_slot")
@@ -197,14 +232,21 @@ def doctors_by_specialty(spark: SparkSession, sf: str) -> DataFrame:
     return reads.doctors_by_specialty(view(spark, sf, "v_doctor"), "NATION_3")
 
 
-@query("insurance_numbers", with_views("v_patient") + "SELECT insurance_number FROM v_patient")
+@query(
+    "insurance_numbers",
+    with_views("v_patient")
+    + "SELECT insurance_number, row_number() OVER (ORDER BY insurance_number) AS place FROM v_patient",
+)
 def insurance_numbers(spark: SparkSession, sf: str) -> DataFrame:
-    return reads.insurance_numbers(view(spark, sf, "v_patient"))
+    return with_place(reads.insurance_numbers(view(spark, sf, "v_patient")))
 
 
 @query(
     "ordered_records",
-    with_views("v_record") + "SELECT * FROM v_record ORDER BY slot_id, patient_id, version_number",
+    with_views("v_record")
+    + "SELECT *, row_number() OVER (ORDER BY slot_id, patient_id, version_number) AS place FROM v_record",
 )
 def ordered_records(spark: SparkSession, sf: str) -> DataFrame:
-    return reads.ordered(view(spark, sf, "v_record"), ["slot_id", "patient_id", "version_number"])
+    return with_place(
+        reads.ordered(view(spark, sf, "v_record"), ["slot_id", "patient_id", "version_number"])
+    )

@@ -146,21 +146,21 @@ def calendar_range(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "month_options",
     """SELECT d AS today, CAST(m AS DATE) AS month_start FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders),
-  generate_series(date_trunc('month', d) + INTERVAL 2 MONTH, TIMESTAMP '2002-12-01', INTERVAL 1 MONTH) AS g(m)""",
+  generate_series(date_trunc('month', d) + INTERVAL 2 MONTH, TIMESTAMP '2050-12-01', INTERVAL 1 MONTH) AS g(m)""",
 )
 def month_options(spark: SparkSession, sf: str) -> DataFrame:
-    """Months open for generation, as of every day that has slots, up to the end of 2002."""
+    """Months open for generation, as of every day that has slots."""
     days = view(spark, sf, "v_slot").select(F.col("slot_date").alias("today")).distinct()
-    months = calendar.selectable_months(F.col("today"), "2002-12-01")
+    months = calendar.selectable_months(F.col("today"))
     return days.select("today", F.explode(months).alias("month_start"))
 
 
 _LOCKS = """, locks AS (SELECT doctor_id, CAST(year(m) AS INT) AS year, CAST(month(m) AS INT) AS month, false AS is_inserted
-  FROM v_doctor, generate_series(TIMESTAMP '2026-05-01', TIMESTAMP '2026-12-01', INTERVAL 1 MONTH) AS g(m))"""
+  FROM v_doctor, generate_series(TIMESTAMP '2026-05-01', TIMESTAMP '2050-12-01', INTERVAL 1 MONTH) AS g(m))"""
 
 
 def locks(spark: SparkSession, sf: str) -> DataFrame:
-    return schedule.month_locks(view(spark, sf, "v_doctor"), last=dt.date(2026, 12, 1))
+    return schedule.month_locks(view(spark, sf, "v_doctor"))
 
 
 @query("month_locks", with_views("v_doctor") + _LOCKS + " SELECT * FROM locks")
@@ -261,7 +261,7 @@ def schedule_auto(spark: SparkSession, sf: str) -> DataFrame:
     "schedule_auto_locks",
     _AUTO
     + _LOCKS
-    + """ SELECT doctor_id, year, month, month = 5 AND (start_working_date IS NULL
+    + """ SELECT doctor_id, year, month, year = 2026 AND month = 5 AND (start_working_date IS NULL
   OR doctor_id IN (SELECT doctor_id FROM due)) AS is_inserted FROM locks JOIN v_doctor USING (doctor_id)""",
 )
 def schedule_auto_locks(spark: SparkSession, sf: str) -> DataFrame:

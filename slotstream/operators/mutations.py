@@ -141,3 +141,32 @@ PAYMENT_DEFAULTS = {
     "amount_patient_responsibility": 0,
     "payment_status": "PENDING",
 }
+
+# fixed values: the columns of the payment table and their types
+PAYMENT_COLUMNS = {
+    "payment_id": "long",
+    "appointment_id": "int",
+    "amount_total": "decimal(12,2)",
+    "amount_covered": "decimal(12,2)",
+    "amount_patient_responsibility": "decimal(12,2)",
+    "payment_status": "string",
+    "created_at": "timestamp",
+    "updated_at": "timestamp",
+}
+
+
+def payment_rows(payments: DataFrame, *, now: Column | None = None) -> DataFrame:
+    """Rows to append to the payment table: its columns and types, defaults where the input leaves
+    a value out or has no such column, and the time of the insert."""
+    clock = F.current_timestamp() if now is None else now
+    given = {
+        c: (F.col(c) if c in payments.columns else F.lit(None)).cast(kind).alias(c)
+        for c, kind in PAYMENT_COLUMNS.items()
+    }
+    given["created_at"], given["updated_at"] = clock.alias("created_at"), clock.alias("updated_at")
+    return with_defaults(payments.select(*given.values()), PAYMENT_DEFAULTS)
+
+
+def append_payments(current: DataFrame, payments: DataFrame, *, now: Column | None = None) -> DataFrame:
+    """The payment table with new payments appended."""
+    return current.select(*PAYMENT_COLUMNS).unionByName(payment_rows(payments, now=now))

@@ -48,10 +48,16 @@ def by_doctor(
     """Latest record version of each slot, of one doctor or of all."""
     if doctor_id is not None:
         slots = slots.filter(F.col("doctor_id") == doctor_id)
-    named = lookup(records, patients.select("patient_id", "patient_name"), ["patient_id"], "inner")
-    joined = latest_per_slot(named).join(
+    # notes stay behind until the latest records are known
+    narrow = records.select("record_id", "slot_id", "patient_id", "version_number")
+    named = lookup(narrow, patients.select("patient_id", "patient_name"), ["patient_id"], "inner")
+    newest = latest_per_slot(named).join(
         slots.select("slot_id", "doctor_id", "slot_date", "slot_code"), "slot_id"
     )
+    wide = records.select(
+        "record_id", "slot_id", "version_number", "diagnosis_note", "prescription_note", "created_at"
+    )
+    joined = newest.join(wide, ["record_id", "slot_id", "version_number"])
     return joined.select(
         "doctor_id",
         "record_id",
@@ -127,14 +133,21 @@ def append_versions(
 ) -> DataFrame:
     """New records with the version numbers that follow the current ones of their key.
 
-    Several new records of one key are numbered by `order`. The highest current version is
-    looked up per distinct key, so the join sees each key once on either side.
+    Several new records of one key are numbered by `order`, which must be total within the key.
+    Only keys and order are numbered; notes and the like are moved once, to meet their number.
+    The highest current version is looked up per distinct key, so the join sees each key once on
+    either side.
     """
-    numbered = number_rows(new, order, "_place", keys=list(keys))
+    narrow = list(dict.fromkeys([*keys, *order]))
+    numbered = number_rows(new.select(*narrow), order, "_place", keys=list(keys))
     wanted = latest.unique_keys(numbered, list(keys))
     starts = wanted.join(next_version(current, keys), list(keys), "left").select(
         *keys, F.coalesce("next_version", F.lit(1)).alias("_first")
     )
     joined = lookup(numbered, starts, list(keys), "inner")
     version = (F.col("_first") + F.col("_place") - F.lit(1)).cast("int")
-    return joined.select(*new.columns, version.alias("version_number"))
+    versions = joined.select(*narrow, version.alias("version_number"))
+    if set(narrow) == set(new.columns):
+        return versions.select(*new.columns, "version_number")
+    same = [F.col(f"n.{c}").eqNullSafe(F.col(f"v.{c}")) for c in narrow]
+    return new.alias("n").join(versions.alias("v"), same).select("n.*", "v.version_number")

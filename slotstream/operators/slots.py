@@ -12,6 +12,9 @@ from slotstream.session import materialise
 
 PLACE = ["doctor_id", "slot_date", "slot_code"]
 
+# holidays, as rows of one date, that are sent to all tasks; more of them are joined
+MOST_BROADCAST = 100_000
+
 # fixed values: outcomes of a slot change
 HOLIDAY = "Cannot modify slots. This date is blocked by Admin."
 BOOKED = "Cannot change status of a booked slot"
@@ -23,16 +26,26 @@ def availability(wanted: DataFrame, slots: DataFrame, appointments: DataFrame) -
     """All 16 codes of each wanted `(doctor_id, slot_date)` with the status to show.
 
     A code without a slot shows as not available. Should a place hold several slots, the
-    one with the greatest id counts.
+    one with the greatest id counts. Known slots are gathered to one row per day (16 codes at
+    most), which meets the wanted days; codes are spread out after that join.
     """
     booked = slots.select("slot_id", *PLACE, "slot_status", "admin_status").join(
         appointments.select("slot_id", "patient_id"), "slot_id", "left"
     )
-    known = latest.replace_latest(booked, PLACE, ["slot_id"])
-    days = wanted.select("doctor_id", "slot_date").distinct()
-    grid = days.select("doctor_id", "slot_date", F.explode(schedule.slot_codes()).alias("slot_code"))
+    day = ["doctor_id", "slot_date"]
+    codes = schedule.slot_codes()
+    known = latest.replace_latest(
+        booked.filter(F.array_contains(codes, F.col("slot_code"))), PLACE, ["slot_id"]
+    )
+    rest = [c for c in known.columns if c not in PLACE]
+    entry = F.struct("slot_code", F.struct(*rest).alias("slot"))
+    known = known.groupBy(*day).agg(F.map_from_entries(F.collect_list(entry)).alias("_slots"))
+    days = lookup(wanted.select(*day).distinct(), known, day)
+    grid = days.select(*day, "_slots", F.explode(codes).alias("slot_code"))
+    grid = grid.withColumn("_slot", F.try_element_at("_slots", F.col("slot_code")))
+    grid = grid.select(*PLACE, "_slot.*")
     shown = status.shown_status(F.col("slot_status"), F.col("admin_status"), F.col("patient_id"))
-    return grid.join(known, PLACE, "left").select(
+    return grid.select(
         *PLACE,
         "slot_id",
         shown.alias("slot_status"),
@@ -71,19 +84,30 @@ def judge_updates(
     Updates count in the order `(requested_at, update_id)`. Holidays reject any update, a
     booked slot any status but BOOKED. At a place without a slot the first update creates it.
     """
-    holidays = latest.unique_keys(
-        days.filter(F.col("status") == "HOLIDAY").select(F.col("date").alias("slot_date")), ["slot_date"]
-    ).withColumn("_holiday", F.lit(True))
     known = slots.select("slot_id", *PLACE).join(
         latest.unique_keys(appointments, ["slot_id"]).withColumn("_taken", F.lit(True)), "slot_id", "left"
     )
     known = latest.replace_latest(known, PLACE, ["slot_id"])
-    judged = lookup(lookup(updates, holidays, ["slot_date"]), known, PLACE)
+    judged = lookup(updates, known, PLACE)
+    # who is first matters only where there is no slot yet
     firsts = (
-        updates.groupBy(*PLACE)
-        .agg(F.min_by("update_id", F.struct("requested_at", "update_id")).alias("update_id"))
-        .select("update_id", F.lit(True).alias("_first"))
+        judged.filter(F.col("slot_id").isNull())
+        .groupBy(*PLACE)
+        .agg(F.min_by("update_id", F.struct("requested_at", "update_id")).alias("_first"))
     )
+    # joined on the update as well, which is unique, so that no place gathers all its updates
+    judged = judged.join(
+        firsts.select(F.col("_first").alias("update_id"), F.lit(True).alias("_first")),
+        "update_id",
+        "left",
+    )
+    holidays = latest.unique_keys(
+        days.filter(F.col("status") == "HOLIDAY").select(F.col("date").alias("slot_date")), ["slot_date"]
+    ).withColumn("_holiday", F.lit(True))
+    if holidays.count() <= MOST_BROADCAST:
+        judged = judged.join(F.broadcast(holidays), "slot_date", "left")
+    else:
+        judged = lookup(judged, holidays, ["slot_date"])
     exists = F.col("slot_id").isNotNull()
     verdict = (
         F.when(F.col("_holiday"), F.lit(HOLIDAY))
@@ -94,8 +118,7 @@ def judge_updates(
     )
     composed = text.slot_key(F.col("slot_date"), F.col("doctor_id"), F.col("slot_code"))
     return (
-        judged.join(firsts, "update_id", "left")
-        .withColumn("message", verdict)
+        judged.withColumn("message", verdict)
         .withColumn("success", F.col("message").isin(UPDATED, CREATED))
         .withColumn("slot_id", F.when(F.col("success"), F.coalesce("slot_id", composed)))
         .select(*updates.columns, "slot_id", "success", "message")

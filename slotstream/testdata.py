@@ -1,8 +1,8 @@
 """Clinic tables as views over the generated test tables.
 
 Each view is one SELECT that Spark and DuckDB both understand, with `{table}` where a test
-table is read. Keys are derived by rules that grow with the data, and every view covers its
-whole table.
+table is read. Keys are derived by rules that grow with the data. Every view covers its whole
+table but `v_appointment`: an order is a slot, and those of status F are the booked ones.
 """
 
 from __future__ import annotations
@@ -112,7 +112,7 @@ VIEWS: dict[str, tuple[list[str], str]] = {
     CASE WHEN user_id % 50 = 0 THEN NULL WHEN user_id % 50 = 1 THEN 'X' || CAST(event_id AS STRING)
          ELSE {_slot('CAST(floor(event_id / 16) AS BIGINT) * 16')} END AS slot_id,
     CAST(user_id + 1 AS INT) AS patient_id, CAST(ts AS TIMESTAMP) AS requested_at
-  FROM {{events}} WHERE event_type = 'click'""",
+  FROM {{events}}""",
     ),
     # cancellation requests: the booking patient's number on odd orders, another's on even ones
     "v_cancel_request": (
