@@ -155,6 +155,7 @@ def learn(train: DataFrame, *, sample: int = SAMPLE, centroids: int = CENTROIDS)
     drawn = train.join(F.broadcast(share), "lang").filter(draw < F.col("share"))
 
     def centres(group: pd.DataFrame) -> pd.DataFrame:
+        group = group.sort_values("text")
         batch = pa.RecordBatch.from_pandas(group[["text"]], preserve_index=False)
         x = np.concatenate([vectors(counts(p)[0], idf) for p in parts(iter([batch]))])
         centre, low = cluster(x, centroids)
