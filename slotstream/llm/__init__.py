@@ -22,7 +22,7 @@ QUERIES: dict[str, Query] = {
 }
 
 ORACLES: dict[str, str] = {
-    "op2_sharding": sharding.op2_sharding,
-    "op3_decontamination": decontaminate.op3_decontamination,
+    "op1_minhash_dedup": minhash.OP1_SQL,
     "op4_chat_format": chat.OP4_SQL,
+    "op5_suffix_dedup": suffix.OP5_SQL,
 }

@@ -1,7 +1,9 @@
 """The pipeline against its stages put together in plain Python, and the registered queries."""
 
+import compare
 import corpus_pipeline
 import pyarrow as pa
+import pytest
 import __spark_entry__ as entry_file
 from slotstream import llm
 from slotstream.llm import decontaminate, packing, pii, quality
@@ -48,3 +50,30 @@ def test_every_operator_is_registered():
     assert numbers == list(range(1, 11))
     assert set(llm.QUERIES) | {"pipeline"} <= set(entry_file.queries())
     assert set(llm.ORACLES) <= set(entry_file.oracle_sql())
+
+
+@pytest.mark.parametrize("name", list(llm.ORACLES))
+def test_oracle(spark, name):
+    con = compare.connect(SF)
+    assert compare.differences(llm.QUERIES[name](spark, SF), con, llm.ORACLES[name]) is None
+    con.close()
+
+
+def test_results_have_the_promised_columns(spark):
+    promised = {
+        "op1_minhash_dedup": "doc_id bigint, n_shingles bigint, component_id bigint, kept boolean",
+        "op2_sharding": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, "
+        "grown_shard int",
+        "op4_chat_format": "conv_id bigint, n_turns bigint, turns_sha256 string, loss_chars bigint, "
+        "loss_sha256 string, formatted_chars bigint",
+        "op5_suffix_dedup": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
+        "op6_token_counts": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
+        "op8_language_id": "doc_id bigint, held_out boolean, lang_pred string, score double",
+        "op9_quality_rules": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, "
+        "n_repeat_words bigint, base_failed boolean, kept boolean",
+        "op10_packing": "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
+        "sequence_id bigint, offset bigint",
+    }
+    for name, columns in promised.items():
+        got = [f"{c} {kind}" for c, kind in llm.QUERIES[name](spark, SF).dtypes]
+        assert got[: columns.count(",") + 1] == columns.split(", ")
