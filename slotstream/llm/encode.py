@@ -17,30 +17,51 @@ import numpy as np
 # a piece after the blank before it, if a text may be cut there
 SURE = re.compile(r"\n?[!-~À-ÖØ-öø-ÿ]")
 # pieces a worker remembers; when there are more, it keeps the half that it met most often
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 # new pieces encoded in one call
 TOGETHER = 4_000
 
 
 class Numbers(dict):
     """Numbers pieces as they come; `new` has those to encode. Pieces at which a text may not
-    be cut, or which hold the separator of calls, get -1."""
+    be cut get -1."""
 
-    def __init__(self, names: list[str], separator: str, begins_text: bool):
+    def __init__(self, names: list[str]):
         super().__init__()
-        self.names, self.separator, self.begins_text = names, separator, begins_text
+        self.names = names
         self.new: list[str] = []
 
     def __missing__(self, piece: str) -> int:
-        if not self.begins_text and not SURE.match(piece) or self.separator in piece:
+        if not SURE.match(piece):
             return -1
         number = self[piece] = len(self.names)
         self.names.append(piece)
         # a line feed was set off by a blank that is not in the text
-        self.new.append(piece if self.begins_text or piece[0] == "\n" else " " + piece)
+        self.new.append(piece if piece[0] == "\n" else " " + piece)
         return number
 
 
+class Growing:
+    """An array that values are added to, with room to spare."""
+
+    def __init__(self, kind: type, values: np.ndarray):
+        self.held, self.n = np.zeros(max(1024, 2 * len(values)), kind), 0
+        self.add(values)
+
+    def add(self, values: np.ndarray) -> None:
+        end = self.n + len(values)
+        if end > len(self.held):
+            room = np.zeros(2 * end, self.held.dtype)
+            room[: self.n] = self.values
+            self.held = room
+        self.held[self.n : end] = values
+        self.n = end
+
+    @property
+    def values(self) -> np.ndarray:
+        return self.held[: self.n]
+
+
 class Encoder:
     """Ids of texts, as `Tokenizer.encode(text, add_special_tokens=False)` gives them."""
 
@@ -50,27 +71,31 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.remembered = remembered
-        # a special token between two pieces keeps them apart, and is found again by its id
-        self.separator_id, token = min(self.tokenizer.get_added_tokens_decoder().items())
-        self.separator = token.content
         self.names: list[str] = []
-        self.words = Numbers(self.names, self.separator, False)
+        self.words = Numbers(self.names)
+        # whether an id's token begins with the byte symbol of a blank or a line feed
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.begins = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.begins[[i for token, i in vocabulary.items() if token[:1] in "ĠĊ"]] = True
+        # byte-level vocabularies keep blanks, so every piece shows where it begins
+        self.shown = self.begins[self._ids(" a,\nb")].tolist().count(True) == 2
         self.firsts: dict[str, np.ndarray] = {}
-        self.starts = np.zeros(1, np.int64)
-        self.pool = np.zeros(0, np.uint32)
-        self.met = np.zeros(0, np.int64)
+        self.starts = Growing(np.int64, np.zeros(1))
+        self.pool = Growing(np.uint32, np.zeros(0))
+        self.met = Growing(np.int64, np.zeros(0))
 
     def _forget(self) -> None:
         """Keeps the pieces met most often, and what is known of them."""
-        kept = np.sort(np.argsort(-self.met, kind="stable")[: self.remembered // 2])
+        met = self.met.values
+        kept = np.sort(np.argsort(-met, kind="stable")[: self.remembered // 2])
         self.firsts.clear()
         names = [self.names[i] for i in kept]
         place, lengths = self._places(kept)
-        self.pool = self.pool[place]
-        self.starts = np.concatenate([[0], np.cumsum(lengths)])
-        self.met = self.met[kept] // 2
+        self.pool = Growing(np.uint32, self.pool.values[place])
+        self.starts = Growing(np.int64, np.concatenate([[0], np.cumsum(lengths)]))
+        self.met = Growing(np.int64, met[kept] // 2)
         self.names = names
-        self.words = Numbers(names, self.separator, False)
+        self.words = Numbers(names)
         self.words.update(zip(names, range(len(names)), strict=True))
 
     def _ids(self, text: str) -> np.ndarray:
@@ -78,7 +103,8 @@ class Encoder:
 
     def _places(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where the ids of these pieces lie in the pool, end to end, and how many each has."""
-        start, length = self.starts[numbers], self.starts[numbers + 1] - self.starts[numbers]
+        starts = self.starts.values
+        start, length = starts[numbers], starts[numbers + 1] - starts[numbers]
         ends = np.cumsum(length)
         total = int(ends[-1]) if len(ends) else 0
         return np.arange(total) + np.repeat(start - ends + length, length), length
@@ -86,16 +112,21 @@ class Encoder:
     def _learn(self) -> None:
         """Encodes the new pieces. A call costs more than a piece, so many share one."""
         words, self.words.new = self.words.new, []
-        pool, starts = [self.pool], [self.starts]
         for at in range(0, len(words), TOGETHER):
-            text = self.separator.join(words[at : at + TOGETHER])
-            found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
-            ids = np.array(found.ids, np.uint32)
-            inside = ids != self.separator_id
-            pool.append(ids[inside])
-            cuts = np.append(np.flatnonzero(~inside), len(ids))
-            starts.append(starts[-1][-1] + cuts - np.arange(len(cuts)))
-        self.pool, self.starts = np.concatenate(pool), np.concatenate(starts)
+            some = words[at : at + TOGETHER]
+            text = "".join(some)
+            if self.shown:
+                found = self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0]
+                ids = np.array(found.ids, np.uint32)
+                begins = np.flatnonzero(self.begins[ids])
+            else:
+                found = self.tokenizer.encode(text, add_special_tokens=False)
+                ids = np.array(found.ids, np.uint32)
+                first = np.fromiter((x[0] for x in found.offsets), np.int64, len(ids))
+                sizes = [len(x) for x in some]
+                begins = np.searchsorted(first, np.cumsum(sizes) - sizes)
+            self.starts.add(self.pool.n + np.append(begins[1:], len(ids)))
+            self.pool.add(ids)
 
     def _first(self, piece: str) -> np.ndarray:
         """Ids of the piece that begins a text."""
@@ -114,19 +145,19 @@ class Encoder:
         for text in texts:
             first, *others = text.replace("\n", " \n").split(" ")
             numbers = np.fromiter(map(get, others), np.int64, len(others))
-            whole = len(numbers) and numbers.min() < 0 or self.separator in first
+            whole = len(numbers) and numbers.min() < 0
             out.append(None if whole else (first, numbers))
         self._learn()
-        self.met = np.concatenate([self.met, np.zeros(len(self.names) - len(self.met), np.int64)])
+        self.met.add(np.zeros(len(self.names) - self.met.n))
         if used := [x[1] for x in out if x]:
-            self.met += np.bincount(np.concatenate(used), minlength=len(self.met))
+            np.add.at(self.met.values, np.concatenate(used), 1)
         return out
 
     def ids(self, texts: list[str]) -> list[np.ndarray]:
         numbers = self._numbers(texts)
         cut = [x[1] for x in numbers if x]
         place, lengths = self._places(np.concatenate([*cut, np.zeros(0, np.int64)]))
-        ids = self.pool[place]
+        ids = self.pool.values[place]
         ends = np.concatenate([[0], np.cumsum(lengths)])
         bounds = iter(ends[np.cumsum([len(x) for x in cut], dtype=np.int64)])
         out, begin = [], 0
@@ -141,7 +172,7 @@ class Encoder:
 
     def counts(self, texts: list[str]) -> list[int]:
         numbers = self._numbers(texts)
-        size = np.diff(self.starts)
+        size = np.diff(self.starts.values)
         return [
             int(size[x[1]].sum()) + len(self._first(x[0])) if x else len(self._ids(text))
             for x, text in zip(numbers, texts, strict=True)

@@ -8,7 +8,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-SLICE_BYTES = 4 << 20
+# text that a task works on at once; its arrays take up to some 50 bytes for each
+SLICE_BYTES = 1 << 20
 
 
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
