@@ -8,12 +8,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotstream.operators import cdc, latest, staging, warehouse
-from slotstream.session import build_session, exists, materialise
-from slotstream.sinks.writers import BATCH
+from slotstream.session import build_session, materialise
+from slotstream.sinks.writers import BATCH, UPTO, last_state
 from slotstream.sources.registry import TABLES
 
-# folder of a compacted state, followed by the last batch it holds
-UPTO = "upto="
 # facts whose slot columns are looked up
 SLOT_FACTS = ["fact_appointment", "fact_appointment_transaction", "fact_medical_record"]
 
@@ -85,18 +83,7 @@ def register(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
 
 def compacted_upto(spark: SparkSession, target: str, table: str) -> int | None:
     """The last batch that the compacted state of `table` holds, from its finished folders."""
-    path = f"{target}/{table}"
-    if not exists(spark, path):
-        return None
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
-    names = [f.getPath().getName() for f in files]
-    done = [
-        int(name.removeprefix(UPTO))
-        for name in names
-        if name.startswith(UPTO) and exists(spark, f"{path}/{name}/_SUCCESS")
-    ]
-    return max(done, default=None)
+    return last_state(spark, f"{target}/{table}")
 
 
 def versions(spark: SparkSession, source: str, target: str, table: str) -> DataFrame:

@@ -95,3 +95,12 @@ def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder at `path`, in whatever file system that is."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
+def names_in(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, not in folders below it; none if there is no such folder."""
+    if not exists(spark, path):
+        return []
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(place)
+    return [f.getPath().getName() for f in files]

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from slotstream.operators import quality, staging
+from slotstream.session import exists, names_in
 from slotstream.sources.registry import TableConfig
 
 Metrics = dict[str, int]
@@ -58,6 +59,72 @@ def ensure_table(spark: SparkSession, schema: T.StructType, path: str) -> None:
     spark.createDataFrame([], schema).write.mode("ignore").parquet(batch_folder(path, -1))
 
 
+# folder of a state, followed by the last batch it holds
+UPTO = "upto="
+# batches after which a stream makes a new state of a table that micro-batches look things up in
+FOLD_EVERY = 50
+
+
+def last_state(spark: SparkSession, folder: str) -> int | None:
+    """The last batch that the newest finished state below `folder` holds."""
+    found = [int(n.removeprefix(UPTO)) for n in names_in(spark, folder) if n.startswith(UPTO)]
+    for upto in sorted(found, reverse=True):
+        if exists(spark, f"{folder}/{UPTO}{upto}/_SUCCESS"):
+            return upto
+    return None
+
+
+def later_folders(spark: SparkSession, path: str, after: int | None, last: int | None) -> list[str]:
+    """Finished batch folders of a table, after one batch and up to another."""
+    found = [int(n.removeprefix(f"{BATCH}=")) for n in names_in(spark, path) if n.startswith(f"{BATCH}=")]
+    wanted = [
+        batch_folder(path, n)
+        for n in sorted(found)
+        if (after is None or n > after) and (last is None or n <= last)
+    ]
+    return [folder for folder in wanted if exists(spark, f"{folder}/_SUCCESS")]
+
+
+def state_folder(path: str) -> str:
+    return f"{path.rstrip('/')}_state"
+
+
+def recent(spark: SparkSession, schema: T.StructType, path: str, *, last: int | None = None) -> DataFrame:
+    """What a lookup reads of a table: its newest state and the batches after it, up to `last`.
+
+    The folders of earlier batches are neither listed nor read, so a lookup costs the same
+    however long the stream has run."""
+    upto = last_state(spark, state_folder(path))
+    folders = later_folders(spark, path, upto, last)
+    if upto is not None:
+        folders.append(f"{state_folder(path)}/{UPTO}{upto}")
+    if not folders:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(*folders)
+
+
+def fold(
+    spark: SparkSession,
+    schema: T.StructType,
+    path: str,
+    reduce: Callable[[DataFrame], DataFrame],
+    batch_id: int,
+    *,
+    sort_by: list[str],
+    every: int = FOLD_EVERY,
+) -> int | None:
+    """Called at the start of a batch: every so often writes a new state, `reduce` of the last
+    state and the batches after it, and returns the batch it holds up to. That is the one before,
+    which is committed and will not be repeated. Older states stay for those that read them."""
+    upto = last_state(spark, state_folder(path))
+    if batch_id - 1 - (-1 if upto is None else upto) < every:
+        return None
+    rows = reduce(recent(spark, schema, path, last=batch_id - 1))
+    target = f"{state_folder(path)}/{UPTO}{batch_id - 1}"
+    rows.select(*schema.names).sortWithinPartitions(*sort_by).write.mode("overwrite").parquet(target)
+    return batch_id - 1
+
+
 def batch_writer(
     cfg: TableConfig,
     write: Callable[[DataFrame, int], None],

@@ -35,6 +35,14 @@ AUDIT_SCHEMA = T.StructType(
     ]
 )
 
+# what tells whether a key was sent
+SENT_SCHEMA = T.StructType([AUDIT_SCHEMA["notification_key"], AUDIT_SCHEMA["send_status"]])
+
+
+def _sent_once(audit: DataFrame) -> DataFrame:
+    return audit.filter(F.col("send_status") == "SENT").distinct()
+
+
 # gets the messages to send; returns (notification_key, error_message) of those that failed
 Send = Callable[[DataFrame], DataFrame | None]
 
@@ -66,6 +74,7 @@ def outbox_writer(
     *,
     send: Send | None = None,
     now: Column | None = None,
+    fold_every: int = writers.FOLD_EVERY,
 ) -> Callable[[DataFrame, int], None]:
     """A `foreachBatch` function that settles notification events.
 
@@ -73,7 +82,8 @@ def outbox_writer(
     `audit_pending`, `audit`, and the next step starts from there, so the source is read
     once. PENDING rows are written before `send` is called, SENT and FAILED rows after it. A
     repeated batch replaces its folders and ignores its own earlier audit rows; it then sends
-    again, so delivery is at least once. `references` gives patients, slots and doctors.
+    again, so delivery is at least once. `references` gives patients, slots and doctors. Every
+    `fold_every` batches the keys sent so far become a state, from which they are looked up.
     """
     clock = F.current_timestamp() if now is None else now
     key = ["notification_key"]
@@ -82,14 +92,13 @@ def outbox_writer(
         """Audit rows of earlier batches, of keys in the range of this one.
 
         Keys are numbered upwards and the files are sorted by them, so the range keeps most
-        of the log from being read.
+        of the state from being read.
         """
-        schema = T.StructType([*AUDIT_SCHEMA.fields, T.StructField(writers.BATCH, T.LongType())])
-        writers.ensure_table(spark, AUDIT_SCHEMA, f"{root}/audit")
+        path = f"{root}/audit"
+        writers.fold(spark, SENT_SCHEMA, path, _sent_once, batch_id, sort_by=key, every=fold_every)
         low, high = events.agg(F.min(*key), F.max(*key)).first()
-        rows = spark.read.schema(schema).parquet(f"{root}/audit")
-        earlier = (F.col(writers.BATCH) < batch_id) & F.col(*key).between(F.lit(low), F.lit(high))
-        return rows.filter(earlier).select(*AUDIT_SCHEMA.names)
+        rows = writers.recent(spark, SENT_SCHEMA, path, last=batch_id - 1)
+        return rows.filter(F.col(*key).between(F.lit(low), F.lit(high)))
 
     def step(df: DataFrame, name: str, batch_id: int) -> DataFrame:
         folder = writers.parquet_batch(df, f"{root}/{name}", batch_id, sort_by=key)

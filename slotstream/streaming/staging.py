@@ -47,28 +47,48 @@ SLOT_VERSIONS = T.StructType(
 )
 
 
+def _slot_path(root: str) -> str:
+    return f"{root}/{TABLES['doctor_slot'].staging_table}"
+
+
+def _known_versions(slots: DataFrame) -> DataFrame:
+    """The versions from which `warehouse.slot_attributes` takes what is known of each slot."""
+    known = slots.filter(F.col("is_deleted") == 0)
+    return latest.replace_latest(known, ["slot_id"], warehouse.STAGING_ORDER)
+
+
 def _slots_of(rows: DataFrame, root: str) -> DataFrame:
     """Attributes of the slots the batch names, from what staging holds by now."""
-    spark = rows.sparkSession
-    path = f"{root}/{TABLES['doctor_slot'].staging_table}"
-    writers.ensure_table(spark, SLOT_VERSIONS, path)
-    # Slot ids start with their date and staged files are sorted by them, so the range of the
-    # batch keeps most of the history from being read.
+    # Slot ids start with their date and files are sorted by them, so the range of the batch
+    # keeps most of the state from being read.
     low, high = rows.agg(F.min("slot_id"), F.max("slot_id")).first()
-    known = spark.read.option("recursiveFileLookup", True).schema(SLOT_VERSIONS).parquet(path)
+    known = writers.recent(rows.sparkSession, SLOT_VERSIONS, _slot_path(root))
     near = known.filter(F.col("slot_id").between(F.lit(low), F.lit(high)))
     named = lookup(near, latest.unique_keys(rows, ["slot_id"]), ["slot_id"], "left_semi")
     return warehouse.slot_attributes(named)
 
 
-def stage_and_build(cfg: TableConfig, root: str) -> Callable[[DataFrame, int], None]:
+def stage_and_build(
+    cfg: TableConfig, root: str, *, fold_every: int = writers.FOLD_EVERY
+) -> Callable[[DataFrame, int], None]:
     """Write a staging batch, then the dimension and fact rows that follow from it.
 
     The later tables are derived from the folder just written, so the source batch is
-    decoded once however many tables hang on it.
+    decoded once however many tables hang on it. The slot stream makes a new state of known
+    slots every `fold_every` batches, from which facts look them up.
     """
 
     def write(rows: DataFrame, batch_id: int) -> None:
+        if cfg.name == "doctor_slot":
+            writers.fold(
+                rows.sparkSession,
+                SLOT_VERSIONS,
+                _slot_path(root),
+                _known_versions,
+                batch_id,
+                sort_by=[cfg.pk],
+                every=fold_every,
+            )
         folder = writers.parquet_batch(rows, f"{root}/{cfg.staging_table}", batch_id, sort_by=[cfg.pk])
         stored = rows.sparkSession.read.schema(rows.drop(writers.BATCH).schema).parquet(folder)
         for name, derive in DIMENSIONS.get(cfg.name, {}).items():

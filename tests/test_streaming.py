@@ -362,3 +362,46 @@ def test_fact_streams_start_when_slots_have_ended(spark, tmp_path, rows):
     staging.run_all([stream(SLOT, "slots")], once=True, after=[stream(APPOINTMENT, "bookings")])
     facts = spark.read.parquet(f"{root}/fact_appointment")
     assert rows(facts, "appointment_id", "doctor_id") == [(0, "DR0"), (1, "DR1"), (2, "DR2")]
+
+
+def test_lookups_read_no_more_files_as_batches_add_up(spark, tmp_path, rows):
+    """Slots in twelve micro-batches, folded every three: what a fact batch reads stays bounded."""
+    root, schema = str(tmp_path / "root"), "key string, value string, topic string, partition int, offset long"
+
+    def feed(cfg, batch, *data):
+        raw = spark.createDataFrame(list(data), schema).coalesce(1)
+        writers.batch_writer(cfg, staging.stage_and_build(cfg, root, fold_every=3))(
+            cdc.decode(raw, cfg, keep_null_keys=True), batch
+        )
+
+    read = []
+    for i in range(12):
+        gone = [message(SLOT, 100 + i, "d", slot_id=f"S{i - 1}")] if i else []
+        feed(SLOT, i, message(SLOT, i, slot_id=f"S{i}", doctor_id=f"DR{i}"), *gone)
+        read.append(len(writers.recent(spark, staging.SLOT_VERSIONS, f"{root}/stg_doctor_slot").inputFiles()))
+    assert max(read[6:]) <= max(read[:6]) and max(read) <= 3 + 3
+    feed(SLOT, 11, message(SLOT, 11, slot_id="S11", doctor_id="DR11"))  # the last batch is repeated
+    feed(APPOINTMENT, 0, *[message(APPOINTMENT, i, appointment_id=i, slot_id=f"S{i}") for i in range(12)])
+    facts = spark.read.parquet(f"{root}/fact_appointment")
+    assert rows(facts, "appointment_id", "doctor_id") == [(i, f"DR{i}") for i in sorted(range(12), key=str)]
+
+
+def test_sent_keys_are_folded(spark, tmp_path):
+    root = str(tmp_path / "outbox")
+    patients = spark.createDataFrame([(1, "Ann", "a@b.c")], "patient_id int, patient_name string, email string")
+    slots = spark.createDataFrame(
+        [("S1", dt.date(2026, 5, 4), "8A", "DR1")], "slot_id string, slot_date date, slot_code string, doctor_id string"
+    )
+    doctors = spark.createDataFrame([("DR1", "D", "Skin")], "doctor_id string, doctor_name string, specialty string")
+    sent = []
+    write = notifications.outbox_writer(
+        root, lambda s: (patients, slots, doctors), fold_every=2,
+        send=lambda mails: sent.extend(r.notification_key for r in mails.collect()),
+    )
+    for batch in range(7):
+        keys = [f"T{batch}", "T0", f"T{max(0, batch - 4)}"]
+        events = [(k, k, "S1", 1, "BOOKED", "BOOKING_CONFIRMATION", "2026-05-01T00:00:00.000Z", "EMAIL") for k in set(keys)]
+        write(spark.createDataFrame(events, notifications.NOTIFICATION_SCHEMA).coalesce(1), batch)
+    assert sorted(sent) == [f"T{i}" for i in range(7)]
+    files = writers.recent(spark, notifications.SENT_SCHEMA, f"{root}/audit").inputFiles()
+    assert writers.last_state(spark, f"{root}/audit_state") == 5 and len(files) <= 4
