@@ -49,7 +49,7 @@ LEAST_MARKS = 75
 # followers of one hub in a block; a cell compares two blocks
 BLOCK = 1024
 # rows of cells that one call handles
-CELL_ROWS = 8192
+CELL_ROWS = 2048
 
 
 def sketch(elements: np.ndarray, rows: np.ndarray, n_rows: int) -> np.ndarray:
