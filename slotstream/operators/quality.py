@@ -76,6 +76,7 @@ def registration_checks(registrations: DataFrame, patients: DataFrame, today: Co
     def matches(column: str, pattern: str) -> Column:
         return F.coalesce(F.col(column).rlike(pattern), F.lit(False))
 
+    # fixed values: the reasons given
     reason = (
         F.when(~matches("phone", text.PHONE), F.lit("Phone must be 10 digits and start with 0"))
         .when(~matches("email", text.EMAIL), F.lit("Invalid email"))

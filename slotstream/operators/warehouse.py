@@ -16,6 +16,7 @@ from slotstream.operators.joins import lookup
 ORDER = ["dw_updated_at", "dw_version"]
 STAGING_ORDER = ["cdc_ts", "source_partition", "source_offset"]
 
+# fixed values: columns of the dimensions, as their readers know them
 DIM_COLUMNS = {
     "dim_doctor": ["doctor_id", "doctor_name", "specialty", "start_working_date"],
     "dim_patient": [
@@ -31,7 +32,7 @@ DIM_COLUMNS = {
     "dim_doctor_slot": ["slot_id", "doctor_id", "slot_date", "slot_code", "slot_status"],
 }
 
-# table: (key, columns whose current value is the latest one that is not NULL)
+# fixed values: table: (key, columns whose current value is the latest one that is not NULL)
 CURRENT_KEYS = {
     "dim_doctor": ("doctor_id", ("start_working_date",)),
     "dim_patient": ("patient_id", ("date_of_birth",)),

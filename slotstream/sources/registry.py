@@ -60,6 +60,7 @@ class TableConfig:
         return f"{root.rstrip('/')}/{self.staging_table}"
 
 
+# fixed values: the captured tables' names, fields, keys and wire encodings
 TABLES: dict[str, TableConfig] = {
     config.name: config
     for config in [
@@ -155,6 +156,7 @@ TABLES: dict[str, TableConfig] = {
     ]
 }
 
+# fixed values: fields of a notification message
 NOTIFICATION_SCHEMA = T.StructType(
     [
         T.StructField(name, T.LongType() if name == "patient_id" else T.StringType(), True)
