@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotstream.llm import words as W
-from slotstream.llm.tables import long_array, read, slices, text_bytes
+from slotstream.llm.tables import long_array, read, slices, small_batches, text_bytes
 
 WALKS, KEYS, SAMPLES = 8, 8, 3
 # items whose tables a task holds at once
@@ -301,7 +301,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                         ],
                     )
 
-        return docs.select("doc_id", "text").mapInArrow(run, schema)
+        return docs.select("doc_id", "text").transform(small_batches).mapInArrow(run, schema)
 
     out = None
     for items in blocks(benchmark):
@@ -324,7 +324,7 @@ def keep(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                     clean[[x[0] for x in matches(part, held.value)]] = False
                     yield part.filter(pa.array(clean))
 
-        return rows.mapInArrow(run, docs.schema)
+        return rows.transform(small_batches).mapInArrow(run, docs.schema)
 
     for items in blocks(benchmark):
         docs = without(docs, items)

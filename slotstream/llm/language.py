@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotstream.llm import words as W
-from slotstream.llm.tables import read, slices, text_bytes
+from slotstream.llm.tables import read, slices, small_batches, text_bytes
 
 DIMENSIONS = 4096
 CENTROIDS = 4
@@ -95,7 +95,7 @@ def frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
             names=["place", "n"],
         )
 
-    summed = train.select("text").mapInArrow(run, "place long, n long").groupBy("place")
+    summed = train.select("text").transform(small_batches).mapInArrow(run, "place long, n long").groupBy("place")
     out = np.zeros(DIMENSIONS + 1, np.int64)
     for place, n in summed.agg(F.sum("n")).collect():  # DIMENSIONS + 1 rows
         out[place] = n
@@ -197,7 +197,7 @@ def identify(docs: DataFrame, learned: Centroids, *, reach: float = REACH) -> Da
                 names=["doc_id", "lang_pred", "score", "rejected"],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return docs.select("doc_id", "text").transform(small_batches).mapInArrow(
         run, "doc_id long, lang_pred string, score double, rejected boolean"
     )
 

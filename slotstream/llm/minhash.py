@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 
 from slotstream.llm import words as W
 from slotstream.llm.graph import components
-from slotstream.llm.tables import read, slices, text_bytes
+from slotstream.llm.tables import read, slices, small_batches, text_bytes
 from slotstream.operators.joins import lookup
 from slotstream.session import materialise
 
@@ -134,7 +134,7 @@ def sketches(docs: DataFrame, size: int) -> DataFrame:
                     names=["doc_id", "copy", "n_shingles", "bands", "marks"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return docs.select("doc_id", "text").transform(small_batches).mapInArrow(
         run, "doc_id long, copy binary, n_shingles long, bands array<long>, marks binary"
     )
 
@@ -154,7 +154,7 @@ def shingle_sets(docs: DataFrame, size: int) -> DataFrame:
                     [part.column("node"), pa.array(sets, pa.binary())], names=["node", "set"]
                 )
 
-    return docs.select("node", "text").mapInArrow(run, "node long, set binary")
+    return docs.select("node", "text").transform(small_batches).mapInArrow(run, "node long, set binary")
 
 
 def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -175,7 +175,7 @@ def confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
     with_a = lookup(pairs, sets.toDF("a", "set_a"), ["a"], "inner")
     with_b = lookup(with_a, sets.toDF("b", "set_b"), ["b"], "inner")
-    return with_b.select("a", "b", "set_a", "set_b").mapInArrow(run, "a long, b long")
+    return with_b.select("a", "b", "set_a", "set_b").transform(small_batches).mapInArrow(run, "a long, b long")
 
 
 def cells(rows: DataFrame) -> DataFrame:

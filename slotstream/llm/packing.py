@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotstream.llm.encode import encoder
-from slotstream.llm.tables import long_array, read, slices
+from slotstream.llm.tables import long_array, read, slices, small_batches
 from slotstream.operators.numbering import number_rows
 from slotstream.session import materialise
 
@@ -68,7 +68,7 @@ def pieces(
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(cut, PIECES)
+    return docs.select("doc_id", "text").transform(small_batches).mapInArrow(cut, PIECES)
 
 
 def fill(counts: dict[int, int], capacity: int) -> dict[int, int]:

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from slotstream.llm import words as W
 from slotstream.llm.decontaminate import OUTSIDE
-from slotstream.llm.tables import read, slices, text_bytes
+from slotstream.llm.tables import read, slices, small_batches, text_bytes
 
 # production runs pass a key of their own
 KEY = "slotstream"
@@ -398,7 +398,7 @@ def anonymise(docs: DataFrame, *, key: str = KEY) -> DataFrame:
                     names=["doc_id", "text", "n_entities", "spans"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(
+    return docs.select("doc_id", "text").transform(small_batches).mapInArrow(
         run,
         "doc_id long, text string, n_entities long, "
         "spans array<struct<kind:string,start_char:long,end_char:long>>",
@@ -414,7 +414,7 @@ def rewrite(docs: DataFrame, *, key: str = KEY) -> DataFrame:
                 text, _ = cleaned(part, key)
                 yield part.set_column(part.schema.get_field_index("text"), "text", text)
 
-    out = docs.mapInArrow(run, docs.schema)
+    out = docs.transform(small_batches).mapInArrow(run, docs.schema)
     if "n_chars" in docs.columns:
         length = F.when(F.col("n_chars").isNotNull(), F.length("text"))
         out = out.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
@@ -442,7 +442,7 @@ def collisions(docs: DataFrame, *, key: str = KEY) -> DataFrame:
                     names=["kind", "entity", "made"],
                 )
 
-    pairs = docs.select("text").mapInArrow(run, "kind string, entity string, made string")
+    pairs = docs.select("text").transform(small_batches).mapInArrow(run, "kind string, entity string, made string")
     pairs = pairs.distinct()
     shared = pairs.groupBy("kind", "made").count().filter("count > 1").groupBy("kind").count()
     split = pairs.groupBy("kind", "entity").count().filter("count > 1").groupBy("kind").count()

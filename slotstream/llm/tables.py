@@ -12,6 +12,21 @@ from pyspark.sql import DataFrame, SparkSession
 SLICE_BYTES = 1 << 20
 
 
+# rows that go to a Python worker at once: whole texts, so far fewer than Spark's default
+BATCH_ROWS = 1000
+BATCH_SETTING = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """`df`, whose session hands rows to Python in batches of BATCH_ROWS at most from now on.
+
+    Batches lie outside the heap, in the executor's JVM and in its Python workers."""
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(BATCH_SETTING)) <= BATCH_ROWS:
+        conf.set(BATCH_SETTING, BATCH_ROWS)
+    return df
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from slotstream.llm.encode import encoder
 from slotstream.llm.packing import vocabulary
-from slotstream.llm.tables import read, slices
+from slotstream.llm.tables import read, slices, small_batches
 from slotstream.operators.joins import lookup
 from slotstream.session import materialise, run_dir
 
@@ -57,7 +57,7 @@ def encoded(texts: DataFrame, path: str) -> DataFrame:
                     names=["content", "n_tokens"],
                 )
 
-    return texts.select("content", "text").mapInArrow(count, "content binary, n_tokens long")
+    return texts.select("content", "text").transform(small_batches).mapInArrow(count, "content binary, n_tokens long")
 
 
 def counts(docs: DataFrame, path: str, cache: str, *, limit: int = LIMIT) -> DataFrame:
