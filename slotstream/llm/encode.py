@@ -14,6 +14,8 @@ from functools import lru_cache
 
 import numpy as np
 
+from slotstream.llm.tables import HELD
+
 # a piece after the blank before it, if a text may be cut there
 SURE = re.compile(r"\n?[!-~À-ÖØ-öø-ÿ]")
 # pieces a worker remembers; when there are more, it keeps the half that it met most often
@@ -179,7 +181,10 @@ class Encoder:
         ]
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def encoder(path: str) -> Encoder:
-    """One per worker process and vocabulary."""
+    """One per worker process, for the vocabulary used last."""
     return Encoder(path)
+
+
+HELD.append(encoder.cache_clear)

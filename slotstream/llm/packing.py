@@ -47,7 +47,7 @@ def pieces(
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", hold=True):
                 texts = [x or "" for x in part.column("text").to_pylist()]
                 doc, start, length, crc, total = [], [], [], [], []
                 for row, ids in enumerate(encoder(path).ids(texts)):

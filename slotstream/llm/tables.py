@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +43,21 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
-def slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
+# what frees memory that a worker holds from one task to the next
+HELD: list[Callable[[], None]] = []
+
+
+def slices(
+    batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES, *, hold: bool = False
+) -> Iterator[pa.RecordBatch]:
     """The rows of `batch` in order, in pieces of about `most` bytes of `text`; a longer text
-    makes a piece of its own."""
+    makes a piece of its own.
+
+    Spark uses a worker for tasks of all kinds. Unless they ask to `hold` it, tasks give back
+    what earlier ones have remembered there."""
+    if not hold:
+        for free in HELD:
+            free()
     _, at = text_bytes(batch.column(text))
     first = 0
     while first < batch.num_rows:

@@ -50,7 +50,7 @@ def encoded(texts: DataFrame, path: str) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for part in slices(batch, "text"):
+            for part in slices(batch, "text", hold=True):
                 found = encoder(path).counts(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("content"), pa.array(found, pa.int64())],
