@@ -14,7 +14,9 @@ than one entity, and entities with more than one surrogate, so it must come back
 
 Detected: e-mail and IPv4 addresses, phone, card, social security and IBAN numbers, passwords and
 tokens after their name, cloud access keys, and person names (a title and a name, or a known given
-name and a surname; Latin and Cyrillic script).
+name and a surname; Latin and Cyrillic script). Digits may be of any script and keep it. Phone
+numbers have 9 to 15 digits in groups, see `is_phone`; without +, parentheses or a leading 0, ten
+digits in pairs are taken for other numbers.
 
 Defined cases: NULL text stays NULL and has no entities; texts without an entity stay as they are.
 Repeated rows and NULL ids are treated like any other. An empty table gives no rows.
@@ -23,6 +25,8 @@ Repeated rows and NULL ids are treated like any other. An empty table gives no r
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -62,6 +66,8 @@ NAMES = {name: kind for kind, names in GIVEN.items() for name in names}
 
 OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 CAPITALISED = r"[A-ZÀ-ÖØ-ÞА-ЯЁ][a-zß-öø-ÿа-яё'-]+"
+# an optional country code, and three groups
+GROUPS = r"(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}"
 PATTERNS = {
     "email": r"[\w.%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}",
     "secret": (
@@ -73,9 +79,12 @@ PATTERNS = {
     "ip": rf"(?<![\w.]){OCTET}(?:\.{OCTET}){{3}}(?!\w|\.\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-])",
     "card": r"(?<!\w)[2-6]\d{3}(?:\d{9,15}|(?:[ -]\d{4}){3}|[ -]\d{6}[ -]\d{5})(?!\w)",
+    # the second is a run of groups of digits, of which is_phone tells how many are a number
     "phone": (
-        r"(?<![\w.+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)[ .-]?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4}(?!\w)"
-        r"|(?<!\w)\+\d{9,15}(?!\w)"
+        r"(?=[+(\d])(?:(?<!\w)\+\d{9,15}(?!\w)"
+        r"|(?<![\w.+])(?<!\d,)(?=(?:[ .+()-]{0,3}\d){9})(?:\+?\(\+?\d{1,5}\)[ .-]?\d{1,8}|\+?\d{1,8}(?=[ .(-]))"
+        r"(?:(?:[ .-]|[ ]?\(\d{1,5}\)[ .-]?)\d{1,8}){0,8}(?!\w)"
+        rf"|(?<![\w.+]){GROUPS}(?!\w))"
     ),
     "name": (
         rf"\b(?:(?:{'|'.join(TITLES)})\b\.?[ ](?P<titled>{CAPITALISED}(?:[ ]{CAPITALISED})?)"
@@ -200,11 +209,75 @@ def card(keyed: Keyed, text: str) -> str:
     return refilled(text, new + str(-luhn(new + "0") % 10))
 
 
-def phone(keyed: Keyed, text: str) -> str:
+THREE_GROUPS = re.compile(GROUPS)
+DATE = re.compile(r"(?<!\d)(?:\d{4}-\d\d-\d\d|\d\d?[.-]\d\d?[.-]\d{4})(?!\d)")
+# country codes of one and two digits; the others have three
+SHORT_CODES = {
+    *("1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44"),
+    *("45", "46", "47", "48", "49", "51", "52", "53", "54", "55", "56", "57", "58", "60", "61"),
+    *("62", "63", "64", "65", "66", "81", "82", "84", "86", "90", "91", "92", "93", "94", "95"),
+    "98",
+}
+# digits after the country code, where all numbers have as many
+LENGTHS = {"1": 10, "7": 10, "33": 9, "34": 9}
+
+
+def phone_parts(text: str) -> tuple[str, str]:
+    """Digits of the country code or trunk prefix, which stay, and those of the number."""
     digits = "".join(c for c in text if c.isdigit())
-    code, number = digits[:-10], digits[-10:]
-    if not code and text.startswith("+"):
-        code, number = digits[:2], digits[2:]
+    at = 0 if "+" in text[:2] else 2 if digits[:2] == "00" else None
+    if at is None:
+        code = 1 if digits[0] == "0" else max(0, len(digits) - 10)
+        return digits[:code], digits[code:]
+    code = at + next((n for n in (1, 2) if digits[at : at + n] in SHORT_CODES), 3)
+    code += digits[code : code + 1] == "0"
+    return digits[:code], digits[code:]
+
+
+def is_phone(text: str) -> bool:
+    """Whether groups of digits are a phone number: an international one; one in parentheses or
+    with a leading 0; three groups; or groups of two to four digits with one separator. Dates, and
+    pairs of digits without a leading 0, are not."""
+    groups = re.findall(r"\d+", text)
+    whole = sum(map(len, groups))
+    if not 9 <= whole - 2 * groups[0].startswith("00") <= 15 and not 9 <= whole <= 15:
+        return False
+    if THREE_GROUPS.fullmatch(text):
+        return True
+    if len(groups) > 8 or DATE.search(text):
+        return False
+    if "+" in text[:2]:
+        return True
+    if "(" in text:
+        return text[0] == "(" or len(groups[0]) == 1
+    separators = len(set(re.findall(r"[ .-]", text)))
+    wide = max(map(len, groups)) > 2
+    if groups[0][0] == "0":
+        return len(groups[0]) > 1 and len(groups) > 1 and (wide or separators == 1)
+    return (
+        wide
+        and separators == 1
+        and 3 <= len(groups) <= 4
+        and all(2 <= len(x) <= 4 for x in groups)
+    )
+
+
+def phone_length(run: str) -> int:
+    """Characters of the phone number that `run` begins with; 0 if with none."""
+    fits, digits = [], 0
+    for group in re.finditer(r"\d+", run):
+        digits += group.end() - group.start()
+        if 9 <= digits <= 17 and is_phone(run[: group.end()]):
+            fits.append(group.end())
+    for end in fits:
+        code, number = phone_parts(run[:end])
+        if "+" in run[:2] and LENGTHS.get(code.rstrip("0")) == len(number):
+            return end
+    return max(fits, default=0)
+
+
+def phone(keyed: Keyed, text: str) -> str:
+    code, number = phone_parts(text)
     return refilled(text, code + keyed.spelled(number, [DIGITS] * len(number), "phone"))
 
 
@@ -282,12 +355,33 @@ MAKERS: dict[str, Callable[[Keyed, str], str]] = {
 }
 
 
-def same_entity(kind: str, text: str) -> str:
-    """What all spellings of one entity have in common."""
+# digits of other scripts than ASCII, by code point
+FOREIGN = {
+    c: str(digit)
+    for c in range(128, sys.maxunicode + 1)
+    if (digit := unicodedata.decimal(chr(c), -1)) >= 0
+}
+# two sets, as `re` looks code points beyond U+FFFF up one range after another
+FOREIGN_DIGIT = re.compile(
+    f"(?=[{chr(min(FOREIGN))}-{chr(max(FOREIGN))}])"
+    f"(?:[{''.join(chr(c) for c in FOREIGN if c < 65536)}]"
+    f"|[{''.join(chr(c) for c in FOREIGN if c >= 65536)}])"
+)
+
+
+def western(text: str) -> str:
+    """`text` with ASCII digits for those of other scripts."""
+    return text.translate(FOREIGN) if not text.isascii() and FOREIGN_DIGIT.search(text) else text
+
+
+def same_entity(kind: str, text: str, form: str | None = None) -> str:
+    """What all spellings of one entity have in common; `form` is another of the same format,
+    whose country code or trunk prefix is as long."""
+    text = western(text)
     if kind == "email":
         return text.lower()
     if kind == "phone":
-        return "".join(c for c in text if c.isdigit())[-10:]
+        return "".join(c for c in text if c.isdigit())[len(phone_parts(western(form or text))[0]) :]
     if kind in ("card", "ssn", "iban"):
         return text.replace(" ", "").replace("-", "")
     return text
@@ -295,12 +389,24 @@ def same_entity(kind: str, text: str) -> str:
 
 @lru_cache(maxsize=100_000)
 def surrogate(key: str, kind: str, text: str) -> str:
-    return MAKERS[kind](Keyed(key), text)
+    plain = western(text)
+    made = MAKERS[kind](Keyed(key), plain)
+    if plain == text:
+        return made
+    # each digit in the script of the one it stands for
+    return "".join(
+        chr(ord(old) - int(FOREIGN[ord(old)]) + int(new))
+        if ord(old) in FOREIGN and new in DIGITS
+        else new
+        for old, new in zip(text, made, strict=True)
+    )
 
 
 def entities(text: str) -> Iterator[tuple[str, int, int]]:
     """Kind, start and end of every entity, in order."""
-    for found in FINDER.finditer(text):
+    text, at = western(text), 0
+    while found := FINDER.search(text, at):
+        at = found.end()
         kind = next(k for k in PATTERNS if found.group(k) is not None)
         start, end = found.span(kind)
         if kind == "secret":
@@ -311,8 +417,13 @@ def entities(text: str) -> Iterator[tuple[str, int, int]]:
             continue
         elif kind == "card" and not is_card(found.group()):
             continue
-        elif kind == "phone" and sum(c.isdigit() for c in found.group()) < 9:
-            continue
+        elif kind == "phone":
+            length = phone_length(found.group())
+            if not length:
+                # a number may begin at a later group
+                at = start + 1
+                continue
+            at = end = start + length
         yield kind, start, end
 
 
@@ -434,7 +545,7 @@ def collisions(docs: DataFrame, *, key: str = KEY) -> DataFrame:
                     text = column[row].as_py()
                     for kind, a, b in entities(text):
                         made = surrogate(key, kind, text[a:b])
-                        pair = same_entity(kind, text[a:b]), same_entity(kind, made)
+                        pair = same_entity(kind, text[a:b]), same_entity(kind, made, text[a:b])
                         found.add((kind, *pair))
                 rows = sorted(found)
                 yield pa.RecordBatch.from_arrays(

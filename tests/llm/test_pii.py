@@ -58,6 +58,51 @@ def test_clean_texts_stay(text):
     assert replaced(text) == (text, [])
 
 
+@pytest.mark.parametrize(
+    "value",
+    [
+        "+33 1 23 45 67 89",
+        "01 23 45 67 89",
+        "01.23.45.67.89",
+        "0033 1 23 45 67 89",
+        "+34 912 34 56 78",
+        "912 34 56 78",
+        "91 234 56 78",
+        "+7 912 345-67-89",
+        "8 (912) 345-67-89",
+        "+49 (0)171 123 45 67",
+        "0171 123-4567",
+        "+33123456789",
+        "+1-988-555-2485",
+        "٠١ ٢٣ ٤٥ ٦٧ ٨٩",
+        "+９１ ９８７６５ ４３２１０",
+    ],
+)
+def test_phone_numbers_of_many_countries(value):
+    text, ((kind, start, end),) = replaced(f"on 2020-10-12 at 5, {value}, or 3 times")
+    assert kind == "phone" and f"on 2020-10-12 at 5, {value}, or 3 times"[start:end] == value
+    made = text[start:end]
+    assert made != value and [c.isdecimal() for c in made] == [c.isdecimal() for c in value]
+
+
+def test_phone_numbers_with_and_without_country():
+    french, home = (replaced(x)[0] for x in ("+33 1 23 45 67 89", "01 23 45 67 89"))
+    assert french.startswith("+33 ") and home[0] == "0"
+    assert re.sub(r"\D", "", french)[2:] == re.sub(r"\D", "", home)[1:]
+    assert replaced("+1 988 555 2485 2 times")[0].endswith(" 2 times")
+
+
+def test_digits_of_other_scripts():
+    """These raised ValueError."""
+    for zero in "٠०０":
+        for value in ("123-45-6789", "988 555 2485", "70.123.182.155", "4111 1111 1111 1111"):
+            own = value.translate({48 + d: chr(ord(zero) + d) for d in range(10)})
+            text, found = replaced(f"mail @ {own}")
+            want, plain = replaced(f"mail @ {value}")
+            assert found == plain and found
+            assert text == want.translate({48 + d: chr(ord(zero) + d) for d in range(10)})
+
+
 def test_coreference():
     text, _ = replaced("A.B@X.example.com a.b@x.example.com +1 (988) 555-2485 988.555.2485")
     first, second, third = text.split(" ")[:3]
