@@ -7,13 +7,16 @@ delete, replace) away.
 Embedding. The random walk of Chakraborty, Goldenberg and Koucky reads a sequence with one
 pointer: at every step it writes the word under the pointer and moves on if a random bit, which
 depends on the step and the word, says so. Equal sequences have equal walks, and after an edit
-two walks fall into step again, so few edits leave a small Hamming distance. Items are grouped
-by size; windows of that size over the documents are walked like the items, in WALKS
+two walks fall into step again, so few edits leave a small Hamming distance. Items of more than
+about PIECE words are cut into pieces of about that size: of the edits of an item, one piece at least
+has no more than its share, and a window that agrees with a piece stands for the item around it.
+Pieces are grouped by size; windows of that size over the documents are walked like the items, in WALKS
 independent walks. Of each walk KEYS random samples of SAMPLES steps are hashed, and windows
-that agree with an item in a sample are candidates. At one fifth of edited words more than 0.99
-of the pairs agree somewhere; with fewer edits practically all (tests/llm measures it).
+that agree with a piece in a sample are candidates. At one fifth of edited words at least 0.98
+of the pairs agree somewhere, however long the item; with fewer edits practically all (tests/llm
+measures it).
 
-Only windows that can match are walked: k edits spoil at most 3k of an item's n - 2 word
+Only windows that can match are walked: k edits spoil at most 3k of a piece's n - 2 word
 triples, so a matching run contains n - 2 - 3k triples of benchmark items. This loses nothing.
 
 Every candidate is verified exactly by a bit-parallel edit distance over the region its windows
@@ -43,6 +46,8 @@ BLOCK_ITEMS = 20_000
 SHORTEST = 3
 # longest item of a group, against the shortest
 GROUP = 1.5
+# words of the pieces, about, that longer items are looked for by
+PIECE = 50
 
 ALNUM = np.isin(np.arange(256), [*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)])
 OUTSIDE = ~ALNUM
@@ -88,7 +93,8 @@ def walk(
 
 @dataclass
 class Group:
-    """Items of like size and the keys of their walks."""
+    """Pieces of like size, the keys of their walks, and the items they are of, with the words
+    before them there."""
 
     size: int
     longest: int
@@ -96,6 +102,7 @@ class Group:
     samples: list[np.ndarray]
     keys: np.ndarray = field(default_factory=lambda: np.zeros(0, W.U))
     items: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
+    before: np.ndarray = field(default_factory=lambda: np.zeros(0, np.int64))
 
 
 @dataclass
@@ -123,7 +130,13 @@ class Items:
             [],
         )
         flat = np.concatenate([*kept, np.zeros(0, W.U)])
-        begin = np.cumsum(sizes) - sizes
+        # pieces: their items, words before them in these, and words
+        n_pieces = np.maximum(1, np.round(sizes / PIECE).astype(np.int64))
+        owner = np.repeat(np.arange(len(sizes)), n_pieces)
+        turn = np.arange(len(owner)) - np.repeat(np.cumsum(n_pieces) - n_pieces, n_pieces)
+        skipped = turn * sizes[owner] // n_pieces[owner]
+        begin = (np.cumsum(sizes) - sizes)[owner] + skipped
+        sizes = (turn + 1) * sizes[owner] // n_pieces[owner] - skipped
         left = np.argsort(sizes, kind="stable")
         while len(left):
             size = int(sizes[left[0]])
@@ -147,12 +160,14 @@ class Items:
                 [walk(flat, begin[here], ends, s, x).T.ravel() for s, x in enumerate(samples)]
             )
             order = np.argsort(keys, kind="stable")
-            group.keys, group.items = keys[order], np.tile(here, WALKS * KEYS)[order]
+            piece = np.tile(here, WALKS * KEYS)[order]
+            group.keys, group.items, group.before = keys[order], owner[piece], skipped[piece]
             out.groups.append(group)
         return out
 
     def candidates(self, rows: np.ndarray, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Windows (their first word) and items that agree in a sample; each pair once."""
+        """Where items may begin (a word of the same row) and these items, as a window agrees with
+        a piece in a sample; each pair once."""
         none = np.zeros(0, np.int64)
         triples, at = W.windows(hashed, rows, 3)
         if not len(at) or not len(self.triples):
@@ -166,6 +181,7 @@ class Items:
         # where each word's row ends
         last = np.flatnonzero(np.append(rows[1:] != rows[:-1], True)) + 1
         row_end = np.repeat(last, np.diff(last, prepend=0))
+        row_start = np.repeat(np.append(0, last[:-1]), np.diff(last, prepend=0))
         every = np.arange(len(hashed))
         windows, items = [none], [none]
         for group in self.groups:
@@ -184,7 +200,8 @@ class Items:
                         np.cumsum(n.ravel()) - n.ravel(), n.ravel()
                     )
                     items.append(group.items[where + run])
-                    windows.append(np.repeat(np.repeat(some, KEYS), n.ravel()))
+                    window = np.repeat(np.repeat(some, KEYS), n.ravel())
+                    windows.append(np.maximum(window - group.before[where + run], row_start[window]))
         pairs = np.unique(np.stack([np.concatenate(items), np.concatenate(windows)], 1), axis=0)
         return pairs[:, 1], pairs[:, 0]
 
