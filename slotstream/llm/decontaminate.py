@@ -1,7 +1,8 @@
 """Benchmark decontamination: documents that hold a benchmark item, up to a few edited words.
 
 Texts are sequences of words: runs of ASCII letters (lower-cased), digits and non-ASCII characters
-but for typographic marks. A document holds an item of n words if some run of its words is at most n/5 word edits (insert,
+but for punctuation and blanks. In scripts without blanks between words (Chinese, Japanese, Thai and
+others, see UNSPACED) each code point is a word. A document holds an item of n words if some run of its words is at most n/5 word edits (insert,
 delete, replace) away.
 
 Embedding. The random walk of Chakraborty, Goldenberg and Koucky reads a sequence with one
@@ -22,13 +23,16 @@ triples, so a matching run contains n - 2 - 3k triples of benchmark items. This
 Every candidate is verified exactly by a bit-parallel edit distance over the region its windows
 cover. Items are read in blocks of bounded number, each against all documents.
 
-Defined cases: NULL and empty texts hold nothing. Items of fewer than SHORTEST words are not
-looked for; NULL items have no words. Repeated items and repeated documents give a row each. Empty
+Defined cases: NULL and empty texts hold nothing. Items of fewer than SHORTEST words are found where
+they are all the words of a document, not inside longer texts; NULL items have no words and are not
+looked for. Repeated items and repeated documents give a row each. Empty
 tables give no rows.
 """
 
 from __future__ import annotations
 
+import sys
+import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -51,6 +55,23 @@ PIECE = 50
 
 ALNUM = np.isin(np.arange(256), [*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)])
 OUTSIDE = ~ALNUM
+# fixed values: code points of scripts written without blanks between words
+UNSPACED = (
+    *((0x0E00, 0x0EFF), (0x1000, 0x109F), (0x1780, 0x17FF), (0x1950, 0x19DF), (0x1A20, 0x1AAF)),
+    *((0x1B00, 0x1B7F), (0x2E80, 0x2FDF), (0x3005, 0x3007), (0x3021, 0x312F), (0x31A0, 0x31BF)),
+    *((0x31F0, 0x31FF), (0x3400, 0x4DBF), (0x4E00, 0xA48F), (0xA980, 0xA9FF), (0xAA60, 0xAADF)),
+    *((0xF900, 0xFAFF), (0xFF66, 0xFF9F), (0x17000, 0x18DFF), (0x1AFF0, 0x1B2FF)),
+    (0x20000, 0x3FFFF),
+)
+MARK, ALONE = 1, 2
+KINDS = np.zeros(1 << 21, np.uint8)
+for low, high in UNSPACED:
+    KINDS[low : high + 1] = ALONE
+KINDS[
+    [c for c in range(128, sys.maxunicode + 1) if unicodedata.category(chr(c))[0] in "PZ"]
+] = MARK
+# all of U+0080 to U+00BF, and U+2000 to U+203F
+KINDS[0x80:0xC0] = KINDS[0x2000:0x2040] = MARK
 
 
 def allowed(n: int) -> int:
@@ -62,12 +83,21 @@ def allowed(n: int) -> int:
 def word_hashes(part: pa.Array):
     raw, offsets = text_bytes(part)
     data = W.LOWER[raw]
-    # marks of U+0080 to U+00BF and typographic ones of U+2000 to U+203F are blank
-    at = np.flatnonzero(raw[:-1] == 0xC2)
-    data[at] = data[at + 1] = 32
-    at = np.flatnonzero((raw[:-2] == 0xE2) & (raw[1:-1] == 0x80)) if len(raw) > 2 else at[:0]
-    data[at] = data[at + 1] = data[at + 2] = 32
-    starts, ends, rows = W.find(data, offsets, OUTSIDE)
+    cuts = [offsets]
+    # code points by the number of their bytes, with the bits of the first byte
+    for low, high, length, bits in ((0xC2, 0xDF, 2, 0x1F), (0xE0, 0xEF, 3, 0x0F), (0xF0, 0xF4, 4, 7)):
+        at = np.flatnonzero((raw >= low) & (raw <= high))
+        at = at[at + length <= len(raw)]
+        point = (raw[at] & bits).astype(np.int32)
+        for k in range(1, length):
+            point = point << 6 | (raw[at + k] & 0x3F)
+        kind = KINDS[point]
+        for k in range(length):
+            data[at[kind == MARK] + k] = 32
+        alone = at[kind == ALONE]
+        cuts += [alone, alone + length]
+    starts, ends, _ = W.find(data, np.concatenate(cuts), OUTSIDE)
+    rows = np.searchsorted(offsets, starts, "right") - 1
     return raw, offsets, starts, ends, rows, W.hashes(data, starts, ends)
 
 
@@ -113,22 +143,28 @@ class Items:
     words: list[np.ndarray]
     triples: np.ndarray
     groups: list[Group]
+    # items of fewer than SHORTEST words, by these
+    short: dict[tuple, list[int]]
 
     @classmethod
     def of(cls, ids: list, texts: list[str | None]) -> Items:
         *_, rows, hashed = word_hashes(pa.array(texts, pa.string()))
         cuts = np.searchsorted(rows, np.arange(len(texts) + 1))
         found = [hashed[a:b] for a, b in zip(cuts, cuts[1:], strict=False)]
+        short = [i for i, x in enumerate(found) if 0 < len(x) < SHORTEST]
         long = [i for i, x in enumerate(found) if len(x) >= SHORTEST]
         kept = [found[i] for i in long]
         sizes = np.array([len(x) for x in kept], np.int64)
         triples = [W.windows(x, np.zeros(len(x), np.int64), 3)[0] for x in kept]
         out = cls(
-            [ids[i] for i in long],
-            kept,
+            [ids[i] for i in long + short],
+            kept + [found[i] for i in short],
             np.unique(np.concatenate([*triples, np.zeros(0, W.U)])),
             [],
+            {},
         )
+        for number, i in enumerate(short, len(long)):
+            out.short.setdefault(tuple(found[i].tolist()), []).append(number)
         flat = np.concatenate([*kept, np.zeros(0, W.U)])
         # pieces: their items, words before them in these, and words
         n_pieces = np.maximum(1, np.round(sizes / PIECE).astype(np.int64))
@@ -165,10 +201,31 @@ class Items:
             out.groups.append(group)
         return out
 
+    def whole(self, rows: np.ndarray, hashed: np.ndarray) -> Iterator[tuple[int, int]]:
+        """First word of the rows that are a short item, and that item."""
+        if not self.short or not len(rows):
+            return
+        first = np.flatnonzero(np.append(True, rows[1:] != rows[:-1]))
+        size = np.diff(first, append=len(rows))
+        for at, n in zip(first[size < SHORTEST].tolist(), size[size < SHORTEST].tolist(), strict=True):
+            for number in self.short.get(tuple(hashed[at : at + n].tolist()), ()):
+                yield at, number
+
     def candidates(self, rows: np.ndarray, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where items may begin (a word of the same row) and these items, as a window agrees with
         a piece in a sample; each pair once."""
         none = np.zeros(0, np.int64)
+        short = np.array(list(self.whole(rows, hashed)), np.int64).reshape(-1, 2)
+        windows, items = self.agreeing(rows, hashed)
+        pairs = np.stack(
+            [np.concatenate([none, items, short[:, 1]]), np.concatenate([none, windows, short[:, 0]])], 1
+        )
+        pairs = np.unique(pairs, axis=0)
+        return pairs[:, 1], pairs[:, 0]
+
+    def agreeing(self, rows: np.ndarray, hashed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """`candidates` of SHORTEST words or more, some more than once."""
+        none = np.zeros(0, np.int64)
         triples, at = W.windows(hashed, rows, 3)
         if not len(at) or not len(self.triples):
             return none, none
@@ -202,8 +259,7 @@ class Items:
                     items.append(group.items[where + run])
                     window = np.repeat(np.repeat(some, KEYS), n.ravel())
                     windows.append(np.maximum(window - group.before[where + run], row_start[window]))
-        pairs = np.unique(np.stack([np.concatenate(items), np.concatenate(windows)], 1), axis=0)
-        return pairs[:, 1], pairs[:, 0]
+        return np.concatenate(windows), np.concatenate(items)
 
 
 def nearest(item: np.ndarray, words: np.ndarray) -> tuple[int, int, int]:

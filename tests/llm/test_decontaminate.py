@@ -117,6 +117,34 @@ def test_place_case_and_marks(spark, documents):
     assert clean.count() == 0
 
 
+@pytest.mark.parametrize(
+    ("item", "text", "place"),
+    [
+        ("中国的首都是哪里？", "他问：“中国的首都是哪里”，我说", "中国的首都是哪里"),
+        ("日本の首都、東京", "昨日「日本の首都。東京」へ", "日本の首都。東京"),
+        ("เมืองหลวงของไทย", "ถามว่าเมืองหลวงของไทยคือ", "เมืองหลวงของไทย"),
+        ("alpha 中国 beta", "see ALPHA中国beta。", "ALPHA中国beta"),
+        ("你好", "「你好。」", "你好"),
+        ("Hello!", "hello", "hello"),
+        ("two words", "Two: words", "Two: words"),
+        ("да؟", "«да»", "да"),
+    ],
+)
+def test_scripts_without_blanks_and_short_items(item, text, place):
+    block = D.Items.of(["i"], [item])
+    part = pa.RecordBatch.from_pydict({"text": pa.array(["", text, None, "other"], pa.string())})
+    ((row, number, edits, start, end),) = D.matches(part, block)
+    assert (row, number, edits, text[start:end]) == (1, 0, 0, place)
+
+
+def test_words_of_many_scripts():
+    text = "Añb ¿x? мир\u3000中a文\U00020000\U0001f600 e\u0301 ไทย한국"
+    raw, _, starts, ends, rows, _ = D.word_hashes(pa.array([None, text, "", text], pa.string()))
+    got = [bytes(raw[a:b]).decode() for a, b in zip(starts, ends, strict=True)]
+    want = ["Añb", "x", "мир", "中", "a", "文", "\U00020000", "\U0001f600", "e\u0301", *"ไทย", "한국"]
+    assert got == want * 2 and rows.tolist() == [1] * len(want) + [3] * len(want)
+
+
 def test_edges(spark, edges, none):
     odd = spark.createDataFrame(
         [(1, None), (2, ""), (3, "one two"), (4, "one two three four"), (4, "one two three four")],
