@@ -47,7 +47,7 @@ def test_stages(spark, small):
 
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in llm.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(llm.QUERIES) | {"pipeline"} <= set(entry_file.queries())
     assert set(llm.ORACLES) <= set(entry_file.oracle_sql())
 
@@ -73,6 +73,10 @@ def test_results_have_the_promised_columns(spark):
         "n_repeat_words bigint, base_failed boolean, kept boolean",
         "op10_packing": "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
         "sequence_id bigint, offset bigint",
+        "op11_hard_negatives": "anchor_id bigint, positive_id bigint, rank int, negative_id bigint, "
+        "positive_score bigint, negative_score bigint",
+        "op12_spelling_variants": "word string, form string, root string, n bigint, n_near bigint, form_n bigint",
+        "op13_jaccard_join": "doc_id bigint, n_shingles bigint, component_id bigint",
     }
     for name, columns in promised.items():
         got = [f"{c} {kind}" for c, kind in llm.QUERIES[name](spark, SF).dtypes]
