@@ -2,9 +2,8 @@
 
 Order. All shingles have one order: by 64-bit hash, frequent ones last. A document's prefix are the
 first n - ceil(t n) + 1 of its n shingles; two documents of similarity t or more share a shingle of
-both prefixes, whatever the order is. Which shingles are frequent is counted over all prefixes;
-moving them to the end changes prefixes, so this is repeated up to ROUNDS times. Lists that are
-still long then cost time, not links.
+both prefixes, whatever the order is. Which shingles are frequent is counted over the prefixes that
+hashes alone give, of all documents. Lists that are long all the same cost time, not links.
 
 Groups. Equal sets are one node. Nodes of equal prefix and size form a group, which stands in the
 lists of its prefix once, by its smallest node. Pairs of groups are filtered by size and by
@@ -14,9 +13,10 @@ number of shingles that only one of the sets has. Nothing that is linked fails t
 Pairs. A list of n groups has n squared pairs, and only components are asked for. So the groups of a
 list are first compared with its hub, the group that meets most others, and the members of a group
 with its smallest node; what passes the filters is verified on full sets. Then groups are
-expanded: members of the groups that follow one hub, if they are in several components, are
-compared in cells of bounded size, by signature and then on full sets. Every two documents that
-share a prefix shingle are thus compared or in one component already.
+expanded: members of the groups that follow one hub, if they are in several components, are dealt
+into classes of size, such that linked ones share a class, and compared in cells of bounded size, by
+signature and then on full sets. Every two documents that share a prefix shingle are thus
+compared, told apart by a filter, or in one component already.
 
 Defined cases: NULL and empty texts, and texts without words, have empty sets and are linked with
 nothing. A NULL `doc_id` is linked with nothing and has a NULL component. Repeated rows give a row
@@ -26,6 +26,7 @@ smallest of two sets, the set of the smaller digest stands for both. An empty ta
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from hashlib import blake2b
 
@@ -41,11 +42,9 @@ from slotstream.llm.tables import read, slices, small_batches
 from slotstream.operators.joins import lookup
 from slotstream.session import materialise
 
-# times that frequent shingles are looked for and moved to the end of the order
-ROUNDS = 2
-# groups that hold a frequent shingle in their prefix; more where there would be too many such
+# documents that hold a frequent shingle in their prefix; more where there would be too many such
 # shingles, as they are sent to all executors: 8 MB at most
-FREQUENT, MOST_FREQUENT = 4096, 1 << 20
+FREQUENT, MOST_FREQUENT = 64, 1 << 20
 # bits of the smallest signature, and shingles for each bit of larger ones
 BITS, PER_BIT = 512, 4
 # bits of the filter that tells for which documents sets are wanted: 8 MB
@@ -91,6 +90,26 @@ def prefix(found: np.ndarray, late: np.ndarray, percent: int) -> np.ndarray:
     return found[: n - least_overlap(n, percent) + 1]
 
 
+def frequent(docs: DataFrame, size: int, percent: int) -> np.ndarray:
+    """The shingles that more than FREQUENT documents hold in their prefix by hash, sorted; at most
+    MOST_FREQUENT, as the least count grows with the prefixes."""
+    none = np.zeros(0, W.U)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                first = [prefix(x, none, percent) for x in distinct_sets(part, size)]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([none, *first]).view(np.int64))], names=["token"]
+                )
+
+    tokens = docs.select("text").transform(small_batches).mapInArrow(run, "token long")
+    counts = materialise(tokens.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > FREQUENT))
+    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    rows = counts.filter(F.col("n") > total // MOST_FREQUENT).select("token").toArrow()
+    return np.sort(rows.column("token").to_numpy().astype(np.int64).view(W.U))
+
+
 def profiles(docs: DataFrame, size: int, percent: int, late: np.ndarray) -> DataFrame:
     """Of every row the digest of its set, the set's size, prefix and signature, and `lead`, a
     digest of prefix and size."""
@@ -278,15 +297,6 @@ def listed(members: DataFrame) -> DataFrame:
     return heads.select(F.explode("prefix").alias("token"), "group")
 
 
-def frequent(lists: DataFrame) -> np.ndarray:
-    """The shingles that more than FREQUENT groups hold in their prefix, sorted; at most
-    MOST_FREQUENT, as the least count grows with the lists."""
-    total = lists.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    least = max(FREQUENT, total // MOST_FREQUENT)
-    rows = lists.filter(F.col("n") > least).select("token").toArrow()
-    return np.sort(rows.column("token").to_numpy().astype(np.int64).view(W.U))
-
-
 def followers(members: DataFrame, lists: DataFrame) -> DataFrame:
     """(hub, group): the groups of every list with its hub, and the groups of several members with
     themselves. A hub follows itself."""
@@ -304,6 +314,17 @@ def followers(members: DataFrame, lists: DataFrame) -> DataFrame:
     )
 
 
+def by_size(rows: DataFrame, percent: int) -> DataFrame:
+    """(hub, node, ...) with a hub of its own for each class of sizes; a node is in two classes, and
+    sizes that can be linked share one."""
+    # a little wider than the largest step between linked sizes, as logarithms are rounded
+    width = math.log(100 / percent) * 1.0001 if percent < 100 else 1.0
+    size = F.floor(F.log("n_shingles") / width)
+    return rows.withColumn("_class", F.explode(F.array(size, size + 1))).withColumn(
+        "hub", F.xxhash64("hub", "_class")
+    ).drop("_class")
+
+
 def linked(docs: DataFrame, members: DataFrame, lists: DataFrame, size: int, percent: int) -> DataFrame:
     """`node` and `component` of the nodes that are linked to another one."""
     again = repeated_ids(docs)
@@ -337,6 +358,7 @@ def linked(docs: DataFrame, members: DataFrame, lists: DataFrame, size: int, per
         .select("hub")
     )
     rows = lookup(follow, several, ["hub"], "inner").join(known, "group").drop("group")
+    rows = materialise(by_size(rows, percent))
     active = cells(rows).groupBy("call").applyInArrow(alike(percent), "hub long, node long").distinct()
     rows = materialise(rows.drop("sign", "n_shingles").join(active, ["hub", "node"], "left_semi"))
     more = (
@@ -351,18 +373,8 @@ def jaccard_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFr
     """`doc_id`, `n_shingles` and `component_id` for every row of `docs`: documents whose sets of
     `size`-word shingles have a Jaccard similarity of `percent` (over 50) or more are linked, and
     the smallest `doc_id` that links reach names the component."""
-    late = np.zeros(0, W.U)
-    found = materialise(profiles(docs, size, percent, late))
-    nodes = distinct_nodes(found)
-    members, lists = grouped(nodes)
-    for _ in range(ROUNDS):
-        more = np.union1d(late, frequent(lists))
-        if len(more) == len(late):
-            break
-        late = more
-        found = materialise(profiles(docs, size, percent, late))
-        nodes = distinct_nodes(found)
-        members, lists = grouped(nodes)
+    found = materialise(profiles(docs, size, percent, frequent(docs, size, percent)))
+    members, lists = grouped(distinct_nodes(found))
     reached = linked(docs, members, lists, size, percent)
     own = found.select("doc_id", "n_shingles", "digest")
     has_links = (F.col("n_shingles") > 0) & F.col("doc_id").isNotNull()
