@@ -6,17 +6,17 @@ both prefixes, whatever the order is. Which shingles are frequent is counted ove
 hashes alone give, of all documents. Lists that are long all the same cost time, not links.
 
 Groups. Equal sets are one node. Nodes of equal prefix and size form a group, which stands in the
-lists of its prefix once, by its smallest node. Pairs of groups are filtered by size and by
+lists of its prefix once, by its smallest node. Lists are split into classes of size, such that linked
+sizes share one. Pairs of groups are filtered by size and by
 signature: a parity bitmap of the set, whose Hamming distance to another one never exceeds the
 number of shingles that only one of the sets has. Nothing that is linked fails these filters.
 
 Pairs. A list of n groups has n squared pairs, and only components are asked for. So the groups of a
 list are first compared with its hub, the group that meets most others, and the members of a group
 with its smallest node; what passes the filters is verified on full sets. Then groups are
-expanded: members of the groups that follow one hub, if they are in several components, are dealt
-into classes of size, such that linked ones share a class, and compared in cells of bounded size, by
-signature and then on full sets. Every two documents that share a prefix shingle are thus
-compared, told apart by a filter, or in one component already.
+expanded: members of the groups that follow one hub, if they are in several components, are
+compared in cells of bounded size, by signature and then on full sets. Every two documents that
+share a prefix shingle are thus compared, told apart by a filter, or in one component already.
 
 Defined cases: NULL and empty texts, and texts without words, have empty sets and are linked with
 nothing. A NULL `doc_id` is linked with nothing and has a NULL component. Repeated rows give a row
@@ -292,15 +292,28 @@ def grouped(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def listed(members: DataFrame) -> DataFrame:
-    """(token, group): the lists of all prefix shingles."""
+    """(token, group, n_shingles): the lists of all prefix shingles."""
     heads = members.filter(F.col("node") == F.col("group"))
-    return heads.select(F.explode("prefix").alias("token"), "group")
+    return heads.select(F.explode("prefix").alias("token"), "group", "n_shingles")
 
 
-def followers(members: DataFrame, lists: DataFrame) -> DataFrame:
-    """(hub, group): the groups of every list with its hub, and the groups of several members with
-    themselves. A hub follows itself."""
-    held = materialise(lookup(listed(members), lists, ["token"], "inner"))
+def by_size(held: DataFrame, percent: int) -> DataFrame:
+    """(token, group) with a list of its own for each class of sizes; a group is in two classes, and
+    sizes that can be linked share one."""
+    # a little wider than the largest step between linked sizes, as logarithms are rounded
+    width = math.log(100 / percent) * 1.0001 if percent < 100 else 1.0
+    own = F.floor(F.log("n_shingles") / width)
+    classes = held.withColumn("class", F.explode(F.array(own, own + 1)))
+    return classes.select(F.xxhash64("token", "class").alias("token"), "group")
+
+
+def followers(members: DataFrame, lists: DataFrame, percent: int) -> DataFrame:
+    """(hub, group): the groups of every list and class of sizes with its hub, and the groups of
+    several members with themselves. A hub follows itself."""
+    held = materialise(lookup(listed(members), lists.select("token"), ["token"], "inner"))
+    held = by_size(held, percent)
+    shared = held.groupBy("token").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    held = materialise(lookup(held, shared, ["token"], "inner"))
     met = held.groupBy("group").agg(F.sum("n").alias("met"))
     hubs = (
         lookup(held.select("token", "group"), met, ["group"], "inner")
@@ -314,17 +327,6 @@ def followers(members: DataFrame, lists: DataFrame) -> DataFrame:
     )
 
 
-def by_size(rows: DataFrame, percent: int) -> DataFrame:
-    """(hub, node, ...) with a hub of its own for each class of sizes; a node is in two classes, and
-    sizes that can be linked share one."""
-    # a little wider than the largest step between linked sizes, as logarithms are rounded
-    width = math.log(100 / percent) * 1.0001 if percent < 100 else 1.0
-    size = F.floor(F.log("n_shingles") / width)
-    return rows.withColumn("_class", F.explode(F.array(size, size + 1))).withColumn(
-        "hub", F.xxhash64("hub", "_class")
-    ).drop("_class")
-
-
 def linked(docs: DataFrame, members: DataFrame, lists: DataFrame, size: int, percent: int) -> DataFrame:
     """`node` and `component` of the nodes that are linked to another one."""
     again = repeated_ids(docs)
@@ -336,7 +338,7 @@ def linked(docs: DataFrame, members: DataFrame, lists: DataFrame, size: int, per
             made = made.join(own, ["node", "digest"], "left_semi").dropDuplicates(["node"])
         return materialise(made.select("node", "set"))
 
-    follow = followers(members, lists)
+    follow = followers(members, lists, percent)
     own = members.select(F.col("group").alias("a"), F.col("node").alias("b"))
     pairs = follow.toDF("a", "b").unionByName(own).filter("a != b").distinct()
     pairs = materialise(plausible(pairs, members, percent))
@@ -358,7 +360,7 @@ def linked(docs: DataFrame, members: DataFrame, lists: DataFrame, size: int, per
         .select("hub")
     )
     rows = lookup(follow, several, ["hub"], "inner").join(known, "group").drop("group")
-    rows = materialise(by_size(rows, percent))
+    rows = materialise(rows)
     active = cells(rows).groupBy("call").applyInArrow(alike(percent), "hub long, node long").distinct()
     rows = materialise(rows.drop("sign", "n_shingles").join(active, ["hub", "node"], "left_semi"))
     more = (
