@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from slotstream.operators import cdc, latest, staging, warehouse
 from slotstream.session import build_session, materialise
-from slotstream.sinks.writers import BATCH, UPTO, last_state
+from slotstream.sinks import keyed, writers
 from slotstream.sources.registry import TABLES
 
 # facts whose slot columns are looked up
@@ -82,51 +82,58 @@ def register(spark: SparkSession, tables: dict[str, DataFrame]) -> None:
 
 
 def compacted_upto(spark: SparkSession, target: str, table: str) -> int | None:
-    """The last batch that the compacted state of `table` holds, from its finished folders."""
-    return last_state(spark, f"{target}/{table}")
+    """The last batch that the compacted state of `table` holds."""
+    return keyed.upto(spark, f"{target}/{table}")
+
+
+def _batches(spark: SparkSession, path: str, numbers: list[int]) -> DataFrame:
+    return spark.read.parquet(*[writers.batch_folder(path, n) for n in numbers])
 
 
 def versions(spark: SparkSession, source: str, target: str, table: str) -> DataFrame:
-    """What readers take for a table's versions: the compacted state, and the batches that came
-    after it, of which only their own folders are read."""
-    batches = spark.read.parquet(f"{source}/{table}")
+    """What readers take for a table's versions: the compacted state, and the finished batches that
+    came after it, of which only their own folders are read."""
     upto = compacted_upto(spark, target, table)
+    later = writers.finished_batches(spark, f"{source}/{table}", upto)
+    if upto is None and not later:
+        raise ValueError(f"{table} has no finished batch below {source}")
     if upto is None:
-        return batches.drop(BATCH)
-    state = spark.read.parquet(f"{target}/{table}/{UPTO}{upto}")
-    later = batches.filter(F.col(BATCH) > upto).drop(BATCH)
-    return state.unionByName(later)
-
-
-def compact_table(spark: SparkSession, source: str, target: str, table: str) -> int | None:
-    """A new state from the last one and the batches since; returns the batch up to which it holds.
-
-    The state is written to a folder of its own and counts when it is complete. Streams go on
-    writing below `source`; batches that arrive meanwhile belong to the next state. Rows are
-    sorted by key within files, so lookups by key skip most row groups.
+        return _batches(spark, f"{source}/{table}", later)
+    sample = later or [n for n in writers.finished_batches(spark, f"{source}/{table}", None) if n <= upto][-1:]
+    schema = _batches(spark, f"{source}/{table}", sample).schema
+    state = keyed.read(spark, f"{target}/{table}", schema)
+    return state.unionByName(_batches(spark, f"{source}/{table}", later)) if later else state
+
+
+def compact_table(
+    spark: SparkSession, source: str, target: str, table: str, *, parts: int = keyed.PARTS, drop: bool = False
+) -> int | None:
+    """Takes the finished batches since the last time into the state of `table`; returns the batch
+    up to which it holds.
+
+    Only the parts whose keys the new batches change are rewritten (`sinks.keyed`); `parts` says how
+    many a new state has. A batch that a stream is still writing, and what comes after it, belongs
+    to the next time. With `drop`, batches the state holds and files it no longer needs are deleted.
     """
     upto = compacted_upto(spark, target, table)
-    batches = spark.read.parquet(f"{source}/{table}")
-    new = batches if upto is None else batches.filter(F.col(BATCH) > upto)
-    newest = new.agg(F.max(BATCH)).first()[0]
-    if newest is None:
-        return upto
-    rows = new.filter(F.col(BATCH) <= newest).drop(BATCH)
-    if upto is not None:
-        rows = rows.unionByName(spark.read.parquet(f"{target}/{table}/{UPTO}{upto}"))
-    key, _ = warehouse.CURRENT_KEYS[table]
-    compact(table, rows).sortWithinPartitions(key).write.mode("overwrite").parquet(
-        f"{target}/{table}/{UPTO}{newest}"
-    )
-    return int(newest)
-
-
-def compact_all(spark: SparkSession, source: str, target: str) -> dict[str, int | None]:
+    finished = writers.finished_batches(spark, f"{source}/{table}", upto)
+    if finished:
+        key, _ = warehouse.CURRENT_KEYS[table]
+        upto = finished[-1]
+        new = _batches(spark, f"{source}/{table}", finished)
+        keyed.fold(new, f"{target}/{table}", [key], lambda rows: compact(table, rows), upto, parts=parts)
+    if drop and upto is not None:
+        keyed.expire(spark, f"{target}/{table}")
+        writers.drop_batches(spark, f"{source}/{table}", upto)
+    return upto
+
+
+def compact_all(spark: SparkSession, source: str, target: str, *, drop: bool = False) -> dict[str, int | None]:
     """Every dimension and fact below `source`, compacted below `target`."""
     if source.rstrip("/") == target.rstrip("/"):
         raise ValueError("the compacted tables need a path of their own")
     return {
-        table: compact_table(spark, source, target, table) for table in warehouse.CURRENT_KEYS
+        table: compact_table(spark, source, target, table, drop=drop) for table in warehouse.CURRENT_KEYS
     }
 
 
@@ -135,10 +142,10 @@ def main() -> None:
     parser = argparse.ArgumentParser(description=main.__doc__)
     parser.add_argument("--source", required=True)
     parser.add_argument("--target", required=True)
+    parser.add_argument("--drop", action="store_true", help="delete batches and files that are no longer needed")
     args = parser.parse_args()
-    for table, upto in compact_all(
-        build_session("warehouse-compaction"), args.source, args.target
-    ).items():
+    spark = build_session("warehouse-compaction")
+    for table, upto in compact_all(spark, args.source, args.target, drop=args.drop).items():
         print(f"{table}: state holds batches up to {upto}")
 
 

@@ -86,11 +86,16 @@ def drop_materialised(spark: SparkSession) -> int:
     """
     paths = WRITTEN.pop(spark.sparkContext.applicationId, [])
     for path in paths:
-        place = spark._jvm.org.apache.hadoop.fs.Path(path)
-        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+        delete(spark, path)
     return len(paths)
 
 
+def delete(spark: SparkSession, path: str) -> None:
+    """Deletes a file or folder, in whatever file system that is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def exists(spark: SparkSession, path: str) -> bool:
     """Whether there is a file or folder at `path`, in whatever file system that is."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

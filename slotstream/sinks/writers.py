@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from slotstream.operators import quality, staging
-from slotstream.session import exists, names_in
+from slotstream.session import delete, exists, names_in
 from slotstream.sources.registry import TableConfig
 
 Metrics = dict[str, int]
@@ -85,6 +85,28 @@ def later_folders(spark: SparkSession, path: str, after: int | None, last: int |
     return [folder for folder in wanted if exists(spark, f"{folder}/_SUCCESS")]
 
 
+def finished_batches(spark: SparkSession, path: str, after: int | None) -> list[int]:
+    """The batches of a table after one, up to the first that is still being written. Only the
+    names of batch folders are listed, not their files."""
+    found = [int(n.removeprefix(f"{BATCH}=")) for n in names_in(spark, path) if n.startswith(f"{BATCH}=")]
+    out = []
+    for batch in sorted(n for n in found if after is None or n > after):
+        if not exists(spark, f"{batch_folder(path, batch)}/_SUCCESS"):
+            break
+        out.append(batch)
+    return out
+
+
+def drop_batches(spark: SparkSession, path: str, upto: int) -> list[int]:
+    """Deletes the folders of batches up to `upto`, which a state holds, but for the newest of
+    them: a stream that starts again may write that one once more."""
+    found = [int(n.removeprefix(f"{BATCH}=")) for n in names_in(spark, path) if n.startswith(f"{BATCH}=")]
+    gone = sorted(n for n in found if n <= upto)[:-1]
+    for batch in gone:
+        delete(spark, batch_folder(path, batch))
+    return gone
+
+
 def state_folder(path: str) -> str:
     return f"{path.rstrip('/')}_state"
 
