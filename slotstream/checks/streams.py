@@ -10,6 +10,7 @@ from slotstream.checks.change_data import SLOT, damaged_messages, decoded
 from slotstream.checks.notifications import AUDIT_SQL, NOW, SINCE, moment, references
 from slotstream.checks.warehouse import FACT_APPOINTMENT
 from slotstream.operators import notify, warehouse
+from slotstream.plans import follow
 from slotstream.plans import warehouse as plan
 from slotstream.session import run_dir
 from slotstream.sinks import writers
@@ -286,7 +287,8 @@ def stream_tables(spark: SparkSession, sf: str) -> DataFrame:
 GROUP BY appointment_id HAVING arg_max(is_deleted, o) = 0""",
 )
 def stream_late_slots(spark: SparkSession, sf: str) -> DataFrame:
-    """Bookings staged before any slot; the current view looks their slots up again."""
+    """Bookings staged before any slot; the facts follow when the slots arrive, and the current view of
+    the tables is right without looking anything up."""
     root = run_dir(spark, "late-slots")
     for name in ("appointment", "doctor_slot"):
         cfg = TABLES[name]
@@ -294,7 +296,8 @@ def stream_late_slots(spark: SparkSession, sf: str) -> DataFrame:
         source = file_stream(spark, cfg.topic(), f"{root}/topics/{name}")
         stream = staging.table_stream(source, cfg, staging.stage_and_build(cfg, root), f"{root}/checkpoints")
         staging.run_all([stream], once=True)
-    slots = warehouse.slot_attributes(read_batches(spark, f"{root}/{SLOT.staging_table}"))
-    facts = {"fact_appointment": read_batches(spark, f"{root}/fact_appointment")}
-    views = plan.current_views(facts, slots)
-    return views["vw_fact_appointment_current"].select("appointment_id", "doctor_id", "slot_code")
+        follow.follow(spark, root, "fact_appointment")
+    facts = read_batches(spark, f"{root}/fact_appointment")
+    facts = follow.with_corrections(spark, facts, root, "fact_appointment")
+    view = plan.current_views({"fact_appointment": facts})["vw_fact_appointment_current"]
+    return view.select("appointment_id", "doctor_id", "slot_code")

@@ -14,6 +14,8 @@ from slotstream.operators import latest
 from slotstream.operators.joins import lookup
 
 ORDER = ["dw_updated_at", "dw_version"]
+# which correction of a fact a version is, where corrections are among them
+CORRECTION = "dw_correction"
 STAGING_ORDER = ["cdc_ts", "source_partition", "source_offset"]
 
 # fixed values: columns of the dimensions, as their readers know them
@@ -74,10 +76,15 @@ def dim_doctor_slot(stg: DataFrame, *, updated_at: Column | None = None) -> Data
     return _dim(stg, "dim_doctor_slot", updated_at)
 
 
+def order_of(versions: DataFrame) -> list[str]:
+    """The columns that order versions of a key; a correction follows the version it corrects."""
+    return [*ORDER, CORRECTION] if CORRECTION in versions.columns else ORDER
+
+
 def current(versions: DataFrame, table: str) -> DataFrame:
     """The current view of a dimension or fact table."""
     key, nullable = CURRENT_KEYS[table]
-    return latest.current(versions, [key], ORDER, nullable=nullable)
+    return latest.current(versions, [key], order_of(versions), nullable=nullable)
 
 
 def slot_attributes(stg_slots: DataFrame) -> DataFrame:

@@ -72,7 +72,7 @@ def current_views(
 def compact(table: str, versions: DataFrame) -> DataFrame:
     """The versions on which the current view of `table` rests, a few per key at most."""
     key, nullable = warehouse.CURRENT_KEYS[table]
-    return latest.needed_versions(versions, [key], warehouse.ORDER, nullable=nullable)
+    return latest.needed_versions(versions, [key], warehouse.order_of(versions), nullable=nullable)
 
 
 def register(spark: SparkSession, tables: dict[str, DataFrame]) -> None:

@@ -44,10 +44,13 @@ def part_folder(folder: str, fold: int, part: int) -> str:
     return f"{folder}/parts/{UPTO}{fold}/{PART}={part}"
 
 
-def read(spark: SparkSession, folder: str, schema: T.StructType, *, parts: list[int] | None = None) -> DataFrame:
-    """The rows of the state, or of some of its parts; none if there is no state yet."""
-    at = upto(spark, folder)
-    written = manifest(spark, folder, at)[0] if at is not None else {}
+def read(
+    spark: SparkSession, folder: str, schema: T.StructType, *, parts: list[int] | None = None, at: int | None = None
+) -> DataFrame:
+    """The rows of the state, as of the newest fold or the one up to `at`, or of some of its parts;
+    none if there is no state yet."""
+    at = upto(spark, folder) if at is None else at
+    written = manifest(spark, folder, at)[0] if at is not None and at >= 0 else {}
     wanted = [part_folder(folder, written[p], p) for p in sorted(written) if parts is None or p in parts]
     if not wanted:
         return spark.createDataFrame([], schema)
@@ -62,19 +65,21 @@ def fold(
     last: int,
     *,
     parts: int = PARTS,
+    base: int | None = None,
 ) -> list[int]:
     """Takes `new` rows, those of batches up to `last`, into the state; returns the parts rewritten.
 
     `parts` counts when the state is new. `reduce` keeps rows as they are or drops them, and must
-    not mix keys. A fold that did not finish is written again. Large parts are split into several
+    not mix keys. A fold that did not finish is written again; `base` names the one it goes on from, if
+    that is not the newest. Large parts are split into several
     files and rows are sorted by key within them, so lookups skip most of them.
     """
     spark = new.sparkSession
-    at = upto(spark, folder)
-    written, parts = manifest(spark, folder, at) if at is not None else ({}, parts)
+    at = upto(spark, folder) if base is None else base
+    written, parts = manifest(spark, folder, at) if at is not None and at >= 0 else ({}, parts)
     names = new.columns
     touched = [r[0] for r in new.select(part_of(keys, parts)).distinct().collect()]
-    known = read(spark, folder, new.schema, parts=touched)
+    known = read(spark, folder, new.schema, parts=touched, at=at)
     rows = reduce(new.unionByName(known)).select(*names)
     (
         rows.withColumn(PART, part_of(keys, parts))

@@ -47,7 +47,7 @@ SLOT_VERSIONS = T.StructType(
 )
 
 
-def _slot_path(root: str) -> str:
+def slot_path(root: str) -> str:
     return f"{root}/{TABLES['doctor_slot'].staging_table}"
 
 
@@ -57,12 +57,12 @@ def _known_versions(slots: DataFrame) -> DataFrame:
     return latest.replace_latest(known, ["slot_id"], warehouse.STAGING_ORDER)
 
 
-def _slots_of(rows: DataFrame, root: str) -> DataFrame:
-    """Attributes of the slots the batch names, from what staging holds by now."""
+def slots_of(rows: DataFrame, root: str) -> DataFrame:
+    """Attributes of the slots that `rows` name, from what staging holds by now."""
     # Slot ids start with their date and files are sorted by them, so the range of the batch
     # keeps most of the state from being read.
     low, high = rows.agg(F.min("slot_id"), F.max("slot_id")).first()
-    known = writers.recent(rows.sparkSession, SLOT_VERSIONS, _slot_path(root))
+    known = writers.recent(rows.sparkSession, SLOT_VERSIONS, slot_path(root))
     near = known.filter(F.col("slot_id").between(F.lit(low), F.lit(high)))
     named = lookup(near, latest.unique_keys(rows, ["slot_id"]), ["slot_id"], "left_semi")
     return warehouse.slot_attributes(named)
@@ -83,7 +83,7 @@ def stage_and_build(
             writers.fold(
                 rows.sparkSession,
                 SLOT_VERSIONS,
-                _slot_path(root),
+                slot_path(root),
                 _known_versions,
                 batch_id,
                 sort_by=[cfg.pk],
@@ -95,7 +95,7 @@ def stage_and_build(
             writers.parquet_batch(derive(stored), f"{root}/{name}", batch_id)
         if cfg.name in SLOT_FACTS:
             name, derive = SLOT_FACTS[cfg.name]
-            facts = derive(stored, _slots_of(stored, root))
+            facts = derive(stored, slots_of(stored, root))
             writers.parquet_batch(facts, f"{root}/{name}", batch_id)
 
     return write
