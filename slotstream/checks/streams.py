@@ -10,13 +10,14 @@ from slotstream.checks.change_data import SLOT, damaged_messages, decoded
 from slotstream.checks.notifications import AUDIT_SQL, NOW, SINCE, moment, references
 from slotstream.checks.warehouse import FACT_APPOINTMENT
 from slotstream.operators import notify, warehouse
+from slotstream.operators.numbering import number_rows
 from slotstream.plans import follow
 from slotstream.plans import warehouse as plan
 from slotstream.session import run_dir
 from slotstream.sinks import writers
 from slotstream.sources import topics
 from slotstream.sources.registry import TABLES
-from slotstream.streaming import notifications, staging
+from slotstream.streaming import bookings, first_events, notifications, staging
 from slotstream.testdata import VIEWS, messages, sql, view, with_views
 
 LOG = TABLES["appointment_transaction"]
@@ -301,3 +302,67 @@ def stream_late_slots(spark: SparkSession, sf: str) -> DataFrame:
     facts = follow.with_corrections(spark, facts, root, "fact_appointment")
     view = plan.current_views({"fact_appointment": facts})["vw_fact_appointment_current"]
     return view.select("appointment_id", "doctor_id", "slot_code")
+
+
+@query("stream_first_events", _DEDUP_SQL)
+def stream_first_events(spark: SparkSession, sf: str) -> DataFrame:
+    """The booking log twice over in three micro-batches, the newest third first, with keys remembered
+    for 30 days of event time: what went out, and what came later than that and never had."""
+    root = run_dir(spark, "first-events")
+    # decoded messages are cut to seconds
+    log = view(spark, sf, "v_txn_version").withColumns(
+        {
+            "is_deleted": F.when(F.col("op") == "d", 1).otherwise(0),
+            "created_at": F.date_trunc("second", "created_at"),
+        }
+    )
+    bounds = log.agg(F.percentile_approx("source_offset", [0.33, 0.66])).first()[0]
+    offset = F.col("source_offset")
+    parts = [offset > bounds[1], (offset > bounds[0]) & (offset <= bounds[1]), offset <= bounds[0]]
+    twice = log.withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    events = notify.booking_events(twice, moment(SINCE)).drop("_copy")
+    write = first_events.dedupe_writer(f"{root}/out", keep=30)
+    for part in parts:
+        events.filter(part).coalesce(1).write.mode("append").parquet(f"{root}/log")
+        source = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", "1").parquet(f"{root}/log")
+        staging.run_all([first_events.dedupe_stream(source, write, f"{root}/checkpoint")], once=True)
+    sent = read_batches(spark, f"{root}/out/sent").unionByName(first_events.settle_late(spark, f"{root}/out"))
+    return topics.notifications(writers.as_messages(notify.to_messages(sent), notifications.TOPIC))
+
+
+def admitted(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
+    """All requests, in order of time, through the booking stream in three micro-batches."""
+    root = run_dir(spark, "admission")
+    slots, requests = view(spark, sf, "v_slot"), view(spark, sf, "v_request")
+    bookings.open_slots(slots, root, first_transaction=1001, first_appointment=5001)
+    numbered = number_rows(requests, ["requested_at", "request_id"], "_number")
+    n = numbered.count()
+    dealt = numbered.withColumn("_third", F.floor((F.col("_number") - 1) * 3 / F.lit(max(n, 1))))
+    write = bookings.admission_writer(root, slots)
+    for k in range(3):
+        some = dealt.filter(F.col("_third") == k).drop("_third", "_number")
+        some.coalesce(1).write.mode("append").parquet(f"{root}/requests")
+        source = spark.readStream.schema(requests.schema).parquet(f"{root}/requests")
+        staging.run_all([bookings.admission_stream(source, write, f"{root}/checkpoint")], once=True)
+    return root, slots
+
+
+@query("stream_booking_admit", ORACLES["booking_admit"])
+def stream_booking_admit(spark: SparkSession, sf: str) -> DataFrame:
+    """Verdicts of requests decided batch by batch."""
+    root, _ = admitted(spark, sf)
+    return read_batches(spark, f"{root}/verdicts")
+
+
+@query("stream_booking_transactions", ORACLES["booking_admit_transactions"])
+def stream_booking_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    """Log entries of requests decided batch by batch; ids go on from one to the next."""
+    root, _ = admitted(spark, sf)
+    return read_batches(spark, f"{root}/transactions")
+
+
+@query("stream_booking_slots", ORACLES["booking_admit_slots"])
+def stream_booking_slots(spark: SparkSession, sf: str) -> DataFrame:
+    """The slots as they stand after the last batch."""
+    root, slots = admitted(spark, sf)
+    return bookings.slots_now(spark, root, slots)
