@@ -1,9 +1,14 @@
 """Balance, places, groups and sizes."""
 
+import hashlib
+import re
 import zlib
 from collections import Counter, defaultdict
 
+import pytest
+
 from slotstream.llm import sharding
+from slotstream.llm.tables import read
 
 
 def checked(df, texts, shards=40):
@@ -22,8 +27,6 @@ def checked(df, texts, shards=40):
 
 
 def test_documents_are_balanced(spark):
-    from slotstream.llm.tables import read
-
     docs = read(spark, "/root/testdata/sf0.01", "documents")
     texts = [(r.doc_id, r.text) for r in docs.collect()]
     rows, total = checked(sharding.numbered(docs), texts)
@@ -47,6 +50,51 @@ def test_groups_stay_together_unless_they_are_heavy(documents):
     assert max(total.values()) < 1.1 * mean and min(total.values()) > 0.9 * mean
 
 
+@pytest.mark.parametrize("sf", ["sf0.01", "sf0.1"])
+def test_no_group_that_fits_is_split(spark, sf):
+    docs = read(spark, f"/root/testdata/{sf}", "documents")
+    rows = sharding.assign(docs).collect()
+    own, total, count = defaultdict(list), Counter(), Counter()
+    for r in rows:
+        own[r.text_crc32, r.size].append(r)
+        total[r.shard] += r.size
+        count[r.shard] += 1
+    groups = [g for g in own.values() if len(g) > 1]
+    assert len(groups) > 50
+    for g in groups:
+        share = max(sum(r.size for r in g) / sum(total.values()), len(g) / len(rows)) * 40
+        assert share > 1 or len({r.shard for r in g}) == 1
+    mean = sum(total.values()) / 40
+    assert max(total.values()) < 1.05 * mean and min(total.values()) > 0.95 * mean
+    assert max(count.values()) - min(count.values()) <= (8 if sf == "sf0.01" else 12)
+
+
+def test_bins_are_those_of_a_plain_packing(spark, monkeypatch):
+    """Where every group is heavy there are no blocks: largest first, each where the dot product
+    with what is left is highest."""
+    monkeypatch.setattr(sharding, "GRAIN", 0.0)
+    docs = read(spark, "/root/testdata/sf0.001", "documents")
+    demand = defaultdict(lambda: [0, 0, 0])
+    for r in docs.collect():
+        text = r.text or ""
+        own = demand[hashlib.md5(text.encode()).digest()]
+        own[0] += len(text.encode()) + 16
+        own[1] += len(re.findall(sharding.WORD, text))
+        own[2] += 1
+    mean = [sum(d[k] for d in demand.values()) / 3 for k in range(3)]
+    need = {c: [x / m for x, m in zip(d, mean, strict=True)] for c, d in sorted(demand.items())}
+    assert all(0 < max(n) <= 1 for n in need.values())
+    left, wanted = [[1.0] * 3 for _ in range(3)], {}
+    for c in sorted(need, key=lambda c: -max(need[c])):
+        score = [sum(x * y for x, y in zip(l, need[c], strict=True)) for l in left]
+        best = score.index(max(score))
+        wanted[c] = best
+        left[best] = [x - y for x, y in zip(left[best], need[c], strict=True)]
+    text = {r.doc_id: hashlib.md5((r.text or "").encode()).digest() for r in docs.collect()}
+    got = {text[r.doc_id]: r.shard for r in sharding.assign(docs, shards=3).collect()}
+    assert got == wanted
+
+
 def test_edges(edges, none):
     texts = [(r.doc_id, r.text) for r in edges.collect()]
     checked(sharding.numbered(edges), texts)
