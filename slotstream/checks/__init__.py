@@ -12,3 +12,6 @@ from slotstream.checks import (  # noqa: F401
     warehouse,
 )
 from slotstream.checks.base import ORACLES, QUERIES  # noqa: F401
+
+# uses the oracle SQL of the modules above
+from slotstream.checks import kept  # noqa: F401, E402 isort: skip

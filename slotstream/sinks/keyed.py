@@ -77,10 +77,37 @@ def fold(
     spark = new.sparkSession
     at = upto(spark, folder) if base is None else base
     written, parts = manifest(spark, folder, at) if at is not None and at >= 0 else ({}, parts)
-    names = new.columns
-    touched = [r[0] for r in new.select(part_of(keys, parts)).distinct().collect()]
+    touched = touched_parts(new, keys, parts)
     known = read(spark, folder, new.schema, parts=touched, at=at)
-    rows = reduce(new.unionByName(known)).select(*names)
+    rows = reduce(new.unionByName(known)).select(*new.columns)
+    _write(rows, folder, keys, touched, written, parts, last)
+    return touched
+
+
+def touched_parts(rows: DataFrame, keys: list[str], parts: int) -> list[int]:
+    """The parts in which the keys of `rows` lie."""
+    return sorted(r[0] for r in rows.select(part_of(keys, parts)).distinct().collect())
+
+
+def change(
+    named: DataFrame, folder: str, keys: list[str], schema: T.StructType, apply: Callable[[DataFrame], DataFrame]
+) -> list[int]:
+    """Rewrites the parts in which the keys `named` lie: `apply` gets their rows and gives those that
+    take their place, which must belong to the same parts. Returns the parts."""
+    spark = named.sparkSession
+    at = upto(spark, folder)
+    written, parts = manifest(spark, folder, at)
+    touched = touched_parts(named, keys, parts)
+    rows = apply(read(spark, folder, schema, parts=touched, at=at)).select(*schema.names)
+    _write(rows, folder, keys, touched, written, parts, at + 1)
+    return touched
+
+
+def _write(
+    rows: DataFrame, folder: str, keys: list[str], touched: list[int], written: dict[int, int], parts: int, last: int
+) -> None:
+    """Writes the parts `touched` of the fold `last`, then its manifest."""
+    spark = rows.sparkSession
     (
         rows.withColumn(PART, part_of(keys, parts))
         .hint("rebalance", PART)
@@ -89,14 +116,19 @@ def fold(
         .partitionBy(PART)
         .parquet(f"{folder}/parts/{UPTO}{last}")
     )
+    found = {
+        int(n.removeprefix(f"{PART}="))
+        for n in names_in(spark, f"{folder}/parts/{UPTO}{last}")
+        if n.startswith(f"{PART}=")
+    }
+    if found - set(touched):
+        raise ValueError(f"rows of parts {sorted(found - set(touched))}, which no key named")
     # a reduction may leave nothing of a part
-    there = {p for p in touched if exists(spark, part_folder(folder, last, p))}
-    written = {p: n for p, n in written.items() if p not in touched} | {p: last for p in there}
-    rows = [(p, n, parts) for p, n in sorted(written.items())] or [(-1, last, parts)]
-    spark.createDataFrame(rows, MANIFEST).coalesce(1).write.mode("overwrite").parquet(
+    written = {p: n for p, n in written.items() if p not in touched} | {p: last for p in found}
+    entries = [(p, n, parts) for p, n in sorted(written.items())] or [(-1, last, parts)]
+    spark.createDataFrame(entries, MANIFEST).coalesce(1).write.mode("overwrite").parquet(
         f"{folder}/manifest/{UPTO}{last}"
     )
-    return sorted(touched)
 
 
 def expire(spark: SparkSession, folder: str, *, keep: int = 2) -> list[int]:
