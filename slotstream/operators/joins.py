@@ -26,3 +26,25 @@ def lookup(many: DataFrame, one: DataFrame, keys: list[str], how: str = "left")
     spread = F.pmod(F.xxhash64(*[F.col(k).cast("string") for k in keys]), F.lit(SPREAD))
     left, right = many.withColumn("_spread", spread), one.withColumn("_spread", spread)
     return left.join(right, [*keys, "_spread"], how).drop("_spread")
+
+
+# distinct keys of a batch that are sent to all executors at most
+MOST_KEYS = 100_000
+
+
+def named(table: DataFrame, rows: DataFrame, key: str, *, most: int = MOST_KEYS) -> DataFrame:
+    """The rows of `table` whose `key` occurs in `rows`, where those name `most` keys or fewer.
+
+    The keys are counted first. Their range goes into the scan, which skips files and row groups
+    outside it if the table is sorted by the key, and the keys themselves are broadcast, so that of
+    a large table only what a batch is about is shuffled later. With more keys the table is returned
+    whole. Rows without a partner are left out, so this is for one side of a join on `key`.
+    """
+    keys = rows.filter(F.col(key).isNotNull()).select(key).distinct()
+    n, low, high = keys.limit(most + 1).agg(F.count(F.lit(1)), F.min(key), F.max(key)).first()
+    if n > most:
+        return table
+    if not n:
+        return table.filter(F.lit(False))
+    near = table.filter(F.col(key).between(F.lit(low), F.lit(high)))
+    return near.join(F.broadcast(keys), key, "left_semi").select(*table.columns)

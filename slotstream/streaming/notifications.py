@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter
 
 from slotstream.operators import cdc, notify
-from slotstream.session import build_session, shared_dir
+from slotstream.operators.joins import named
+from slotstream.session import build_session, materialise, shared_dir
 from slotstream.sinks import writers
 from slotstream.sources import topics
 from slotstream.sources.registry import DEFAULT_TOPIC_PREFIX, NOTIFICATION_SCHEMA, TABLES
@@ -68,6 +69,15 @@ def event_stream(
     )
 
 
+def only_named(
+    events: DataFrame, patients: DataFrame, slots: DataFrame, doctors: DataFrame
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Of the reference tables what a batch of events names. `events` and the slots found are read
+    more than once; the slots are written for that."""
+    placed = materialise(named(slots.select("slot_id", "slot_date", "slot_code", "doctor_id"), events, "slot_id"))
+    return named(patients, events, "patient_id"), placed, named(doctors, placed, "doctor_id")
+
+
 def outbox_writer(
     root: str,
     references: Callable[[SparkSession], tuple[DataFrame, DataFrame, DataFrame]],
@@ -82,7 +92,8 @@ def outbox_writer(
     `audit_pending`, `audit`, and the next step starts from there, so the source is read
     once. PENDING rows are written before `send` is called, SENT and FAILED rows after it. A
     repeated batch replaces its folders and ignores its own earlier audit rows; it then sends
-    again, so delivery is at least once. `references` gives patients, slots and doctors. Every
+    again, so delivery is at least once. `references` gives patients, slots and doctors, of which
+    only the rows that the batch names are taken into joins. Every
     `fold_every` batches the keys sent so far become a state, from which they are looked up.
     """
     clock = F.current_timestamp() if now is None else now
@@ -107,7 +118,7 @@ def outbox_writer(
     def write_batch(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
         events = step(batch, "events", batch_id)
-        patients, slots, doctors = references(spark)
+        patients, slots, doctors = only_named(events, *references(spark))
         audit = earlier_audit(spark, events, batch_id)
         judged = step(notify.outbox(events, audit, patients, slots, doctors), "judged", batch_id)
         sendable = judged.filter(F.col("error_message") == "")

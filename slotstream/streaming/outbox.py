@@ -31,7 +31,8 @@ def consumer(
     checkpoint: str,
 ) -> DataStreamWriter:
     """Notification messages settled below `root`. `tables` has patient, doctor_slot and doctor,
-    which are read again for every micro-batch."""
+    which are looked into again for every micro-batch. Slots sorted or partitioned by `slot_id`, which
+    begins with the date, are read only around those the batch names."""
 
     def references(session: SparkSession) -> tuple[DataFrame, DataFrame, DataFrame]:
         return tuple(table(session, name, root=tables) for name in ("patient", "doctor_slot", "doctor"))
