@@ -61,6 +61,8 @@ def ensure_table(spark: SparkSession, schema: T.StructType, path: str) -> None:
 
 # folder of a state, followed by the last batch it holds
 UPTO = "upto="
+# states that stay, for those that still read an older one
+KEEP_STATES = 3
 # batches after which a stream makes a new state of a table that micro-batches look things up in
 FOLD_EVERY = 50
 
@@ -137,13 +139,17 @@ def fold(
 ) -> int | None:
     """Called at the start of a batch: every so often writes a new state, `reduce` of the last
     state and the batches after it, and returns the batch it holds up to. That is the one before,
-    which is committed and will not be repeated. Older states stay for those that read them."""
+    which is committed and will not be repeated. The newest KEEP_STATES states stay for those
+    that read them; older ones, and what an unfinished fold left before them, are deleted."""
     upto = last_state(spark, state_folder(path))
     if batch_id - 1 - (-1 if upto is None else upto) < every:
         return None
     rows = reduce(recent(spark, schema, path, last=batch_id - 1))
     target = f"{state_folder(path)}/{UPTO}{batch_id - 1}"
     rows.select(*schema.names).sortWithinPartitions(*sort_by).write.mode("overwrite").parquet(target)
+    states = [int(n.removeprefix(UPTO)) for n in names_in(spark, state_folder(path)) if n.startswith(UPTO)]
+    for old in sorted(states)[:-KEEP_STATES]:
+        delete(spark, f"{state_folder(path)}/{UPTO}{old}")
     return batch_id - 1
 
 

@@ -106,3 +106,16 @@ def test_nothing_there(spark, tmp_path):
     assert compact(spark, tmp_path, drop=True) is None
     with pytest.raises(ValueError, match="no finished batch"):
         state(spark, tmp_path)
+
+
+def test_old_stream_states_go(spark, tmp_path):
+    """A fold every batch: the newest states stay and hold what all batches held."""
+    path = f"{tmp_path}/table"
+    schema = spark.createDataFrame([], "k long, n long").schema
+    for batch in range(6):
+        writers.fold(spark, schema, path, lambda df: df.distinct(), batch, sort_by=["k"], every=1)
+        writers.parquet_batch(spark.createDataFrame([(batch, 1), (0, 1)], schema), path, batch)
+    left = sorted(names_in(spark, writers.state_folder(path)))
+    assert left == [f"{writers.UPTO}{n}" for n in (2, 3, 4)]
+    found = writers.recent(spark, schema, path)
+    assert {r.k for r in found.collect()} == set(range(6))
