@@ -141,17 +141,25 @@ def record_file(spark: SparkSession, sf: str) -> str:
     return as_csv(record_rows(spark, sf))
 
 
-@query(
-    "csv_record",
+RECORD_SQL = (
     with_views("v_record")
     + """SELECT slot_id, patient_id, version_number, diagnosis_note, prescription_note, created_at,
-  created_at AS updated_at FROM v_record""",
+  created_at AS updated_at FROM v_record"""
 )
+
+
+@query("csv_record", RECORD_SQL)
 def csv_record(spark: SparkSession, sf: str) -> DataFrame:
     """Notes run over several lines and hold quotes and commas."""
     return files.record_csv(spark, record_file(spark, sf))
 
 
+@query("csv_record_splits", RECORD_SQL)
+def csv_record_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """The same file, read by several tasks when it is large."""
+    return files.record_csv(spark, record_file(spark, sf), splits=True)
+
+
 @query(
     "seed_appointments",
     with_views("v_txn")

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotstream.functions import text
+from slotstream.sources import quoted
 
 # fixed values: synonyms of actions seen in demonstration files
 ACTION_SYNONYMS = {"BOOK": "BOOKED", "CANCEL": "CANCELLED"}
@@ -19,27 +20,34 @@ LINE = ["_file", "_block", "_line"]
 
 
 def _csv(
-    spark: SparkSession, path: str, columns: list[str], *, multiline: bool = False
+    spark: SparkSession, path: str, columns: list[str], *, multiline: bool = False, splits: bool = False
 ) -> DataFrame:
     """All columns as text, found by header name, and `LINE`; typing is left to the caller.
 
     Columns are found in one file's header; Spark then compares the header of every file with it,
     and a file with other columns or another order fails the read instead of mixing them up.
     Large files are read in splits, unless quoted fields may hold line breaks (`multiline`): then
-    a file is read by one task, and large inputs should come as a folder of many files.
+    a file is read by one task, or in splits by `quoted` with `splits`.
     """
     reader = spark.read.option("header", True).option("multiLine", multiline).option("escape", '"')
     schema = reader.csv(path).schema
-    frame = reader.schema(schema).option("enforceSchema", False).csv(path)
-    by_name = {name.lstrip("\ufeff").strip().lower(): name for name in frame.columns}
+    if splits:
+        frame = quoted.table(spark, path, schema)
+        places = [F.col(name) for name in LINE]
+    else:
+        frame = reader.schema(schema).option("enforceSchema", False).csv(path)
+        places = [
+            F.col("_metadata.file_path").alias("_file"),
+            F.col("_metadata.file_block_start").alias("_block"),
+            F.monotonically_increasing_id().alias("_line"),
+        ]
+    by_name = {name.lstrip("\ufeff").strip().lower(): name for name in schema.names}
     missing = [name for name in columns if name.lower() not in by_name]
     if missing:
-        raise ValueError(f"{path} lacks the columns {missing}; it has {frame.columns}")
+        raise ValueError(f"{path} lacks the columns {missing}; it has {schema.names}")
     return frame.select(
         *[text.blank_to_null(F.col(f"`{by_name[name.lower()]}`")).alias(name) for name in columns],
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-        F.monotonically_increasing_id().alias("_line"),
+        *places,
     )
 
 
@@ -119,10 +127,14 @@ def appointment_csv(spark: SparkSession, path: str, *, lines: bool = False) -> D
     )
 
 
-def record_csv(spark: SparkSession, path: str, *, lines: bool = False) -> DataFrame:
-    """Medical records; the one time in the file fills both time columns."""
+def record_csv(
+    spark: SparkSession, path: str, *, lines: bool = False, splits: bool = False
+) -> DataFrame:
+    """Medical records; the one time in the file fills both time columns.
+
+    With `splits` large files are read by several tasks, for two writes of the lines in between."""
     columns = ["slotID", "patientID", "version", "diagnosis", "treatment", "updated_at"]
-    rows = _csv(spark, path, columns, multiline=True)
+    rows = _csv(spark, path, columns, multiline=True, splits=splits)
     changed = F.col("updated_at").try_cast("timestamp")
     return rows.select(
         F.col("slotID").alias("slot_id"),
