@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from slotstream.checks.base import query, with_place
-from slotstream.operators import reads, records
+from slotstream.operators import reads, records, substring
+from slotstream.session import materialise, run_dir
 from slotstream.testdata import view, with_views
 
 
@@ -190,21 +192,59 @@ def history_page_count(spark: SparkSession, sf: str) -> DataFrame:
     return reads.page_count(patient_appointments(spark, sf))
 
 
-@query(
-    "search_records",
+SEARCH_SQL = (
     with_views("v_record", "v_slot", "v_doctor")
     + """SELECT r.record_id, d.doctor_id, d.doctor_name FROM v_record r JOIN v_slot s ON r.slot_id = s.slot_id
 JOIN v_doctor d ON d.doctor_id = s.doctor_id
-WHERE contains(lower(d.doctor_name), 'r#00000000') OR contains(lower(d.doctor_id), 'r#00000000')""",
+WHERE contains(lower(d.doctor_name), 'r#00000000') OR contains(lower(d.doctor_id), 'r#00000000')"""
 )
-def search_records(spark: SparkSession, sf: str) -> DataFrame:
-    rows = (
+
+
+def searched(spark: SparkSession, sf: str) -> DataFrame:
+    return (
         view(spark, sf, "v_record")
         .join(view(spark, sf, "v_slot").select("slot_id", "doctor_id"), "slot_id")
         .join(view(spark, sf, "v_doctor").select("doctor_id", "doctor_name"), "doctor_id")
         .select("record_id", "doctor_id", "doctor_name")
     )
-    return reads.search(rows, "R#00000000", ["doctor_name", "doctor_id"])
+
+
+@query("search_records", SEARCH_SQL)
+def search_records(spark: SparkSession, sf: str) -> DataFrame:
+    return reads.search(searched(spark, sf), "R#00000000", ["doctor_name", "doctor_id"])
+
+
+@query("search_records_indexed", SEARCH_SQL)
+def search_records_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same search through a stored index of the records."""
+    columns = ["doctor_name", "doctor_id"]
+    rows = materialise(searched(spark, sf))
+    path = run_dir(spark, "grams")
+    substring.write(substring.postings(rows, "record_id", columns), path)
+    return substring.search(rows, spark.read.parquet(path), "record_id", "R#00000000", columns)
+
+
+@query(
+    "search_notes_indexed",
+    with_views("v_record")
+    + """, keywords AS (SELECT * FROM (VALUES ('note'), ('"'), ('42'), ('A')) k(keyword))
+SELECT keyword, record_id FROM v_record, keywords WHERE contains(lower(coalesce(diagnosis_note, '')), lower(keyword))
+  OR contains(lower(coalesce(prescription_note, '')), lower(keyword))""",
+)
+def search_notes_indexed(spark: SparkSession, sf: str) -> DataFrame:
+    """Several keywords, one or two characters short as well, in the notes of all records."""
+    columns = ["diagnosis_note", "prescription_note"]
+    rows = view(spark, sf, "v_record").select("record_id", *columns)
+    path = run_dir(spark, "grams")
+    substring.write(substring.postings(rows, "record_id", columns), path)
+    index = spark.read.parquet(path)
+    found = [
+        substring.search(rows, index, "record_id", keyword, columns).select(
+            F.lit(keyword).alias("keyword"), "record_id"
+        )
+        for keyword in ("note", '"', "42", "A")
+    ]
+    return reduce(DataFrame.unionByName, found)
 
 
 @query(
