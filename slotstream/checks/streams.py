@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from contextlib import suppress
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,10 +16,10 @@ from slotstream.operators.numbering import number_rows
 from slotstream.plans import follow
 from slotstream.plans import warehouse as plan
 from slotstream.session import run_dir
-from slotstream.sinks import writers
+from slotstream.sinks import ledger, writers
 from slotstream.sources import topics
 from slotstream.sources.registry import TABLES
-from slotstream.streaming import bookings, first_events, notifications, staging
+from slotstream.streaming import bookings, first_events, notifications, progress, staging
 from slotstream.testdata import VIEWS, messages, sql, view, with_views
 
 LOG = TABLES["appointment_transaction"]
@@ -158,6 +160,16 @@ _FATE = """CASE event_type WHEN 'view' THEN 'unparsable' WHEN 'click' THEN 'no_p
 def stream_rejected(spark: SparkSession, sf: str) -> DataFrame:
     """Damaged and sound messages through the staging and the reject stream: each is in one of them."""
     root = run_dir(spark, "rejected")
+    rejects_run(spark, sf, root)
+    staged = read_batches(spark, f"{root}/{SLOT.staging_table}")
+    lost = spark.read.parquet(f"{root}/rejects")
+    return staged.select("source_offset", F.lit("staged").alias("fate")).unionByName(
+        lost.select("source_offset", F.col("reason").alias("fate"))
+    )
+
+
+def rejects_run(spark: SparkSession, sf: str, root: str) -> None:
+    """Both streams over all damaged and sound messages, in two batches."""
     far = F.get_json_object("value", "$.payload").isNotNull() & (F.col("user_id") % 4 == 1)
     events = spark.read.parquet(f"{sf}/events.parquet").select(
         F.col("event_id").alias("offset"), "user_id"
@@ -184,13 +196,63 @@ def stream_rejected(spark: SparkSession, sf: str) -> DataFrame:
         file_stream(spark, SLOT.topic(), f"{root}/topic"), SLOT, f"{root}/rejects", f"{root}/checkpoints"
     )
     staging.run_all([rows, rejects], once=True)
-    staged = read_batches(spark, f"{root}/{SLOT.staging_table}")
-    lost = spark.read.parquet(f"{root}/rejects")
-    return staged.select("source_offset", F.lit("staged").alias("fate")).unionByName(
-        lost.select("source_offset", F.col("reason").alias("fate"))
+
+
+@query(
+    "stream_reject_rates",
+    f"""SELECT 'rejected_doctor_slot' AS query, CAST(2 AS BIGINT) AS n_batches, count(*) AS input_rows,
+  count(*) FILTER (WHERE fate <> 'staged') AS rejected_rows FROM (SELECT {_FATE} AS fate FROM events)""",
+)
+def stream_reject_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """What the log of batches says of the same messages, against the rejects themselves."""
+    root = run_dir(spark, "rates")
+    with progress.BatchLog(spark, f"{root}/log"):
+        rejects_run(spark, sf, root)
+    # a last batch without messages is told too
+    log = progress.batches(spark, f"{root}/log").filter(
+        (F.col("query") == "rejected_doctor_slot") & (F.col("input_rows") > 0)
+    )
+    return log.groupBy("query").agg(
+        F.count(F.lit(1)).alias("n_batches"),
+        F.sum("input_rows").alias("input_rows"),
+        F.sum("rejected_rows").alias("rejected_rows"),
     )
 
 
+@query("ledger_repeated_batches", with_views("v_txn") + "SELECT transaction_id, slot_id, action FROM v_txn")
+def ledger_repeated_batches(spark: SparkSession, sf: str) -> DataFrame:
+    """The booking log in three batches: one breaks off after its rows and is repeated, one is
+    repeated when it is done. Statements go to a dictionary, rows to files, as no database may run."""
+    root = run_dir(spark, "ledger")
+    done: dict[tuple, str] = {}
+
+    def execute(statement: str, values: list[object]) -> list[tuple]:
+        if statement.startswith("SELECT"):
+            return [(done[tuple(values)],)] if tuple(values) in done else []
+        if statement.startswith("INSERT"):
+            done[tuple(values[:2])] = values[2]
+        return []
+
+    def broken(statement: str, values: list[object]) -> list[tuple]:
+        if statement.startswith("INSERT"):
+            raise ConnectionError("the ledger cannot be reached")
+        return execute(statement, values)
+
+    def append(rows: DataFrame, table: str) -> None:
+        rows.write.mode("append").parquet(f"{root}/{table}")
+
+    log = view(spark, sf, "v_txn").select("transaction_id", "slot_id", "action")
+    part = F.pmod(F.xxhash64("transaction_id"), F.lit(3))
+    batch = [log.filter(part == n) for n in range(3)]
+    with suppress(ConnectionError):
+        ledger.append_once(batch[0], broken, append, "stg", 0)
+    for n in (0, 1, 1, 2):
+        ledger.append_once(batch[n], execute, append, "stg", n)
+    names = "target string, batch_id int, attempt string"
+    finished = spark.createDataFrame([(*key, attempt) for key, attempt in done.items()], names)
+    return ledger.counted(spark.read.parquet(f"{root}/stg"), finished, "stg").select(*log.columns)
+
+
 # the view that holds the versions of each captured table, and names that differ from the table's
 CHANGES = {
     "doctor": ("v_doctor_change", {"start_days": "start_working_date"}),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 from collections.abc import Callable, Iterable
+from contextlib import nullcontext
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,9 +14,10 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from slotstream.operators import cdc, latest, warehouse
 from slotstream.operators.joins import lookup
 from slotstream.session import build_session, shared_dir
-from slotstream.sinks import writers
+from slotstream.sinks import ledger, writers
 from slotstream.sources import topics
 from slotstream.sources.registry import DEFAULT_TOPIC_PREFIX, TABLES, TableConfig
+from slotstream.streaming import progress
 
 DIMENSIONS: dict[str, dict[str, Callable[[DataFrame], DataFrame]]] = {
     "doctor": {"dim_doctor": warehouse.dim_doctor},
@@ -111,16 +113,29 @@ def stage_only(cfg: TableConfig, root: str) -> Callable[[DataFrame, int], None]:
 
 
 def stage_to_jdbc(
-    cfg: TableConfig, url: str, properties: dict[str, str] | None = None, *, batchsize: int = 1000
+    cfg: TableConfig,
+    url: str,
+    properties: dict[str, str] | None = None,
+    *,
+    batchsize: int = 1000,
+    execute: ledger.Execute | None = None,
 ) -> Callable[[DataFrame, int], None]:
-    """Append a staging batch to a database table; a repeated batch is appended again.
+    """Append a staging batch to a database table.
 
-    The batch number is a column, by which a reader can tell repeated batches apart.
+    Without `execute` a repeated batch is appended again; its number is a column, by which a reader
+    can tell repeated batches apart. With it (`ledger.connection`) a ledger keeps batches from being
+    repeated.
     """
 
+    def append(rows: DataFrame, table: str) -> None:
+        writers.jdbc_append(rows, url, table, properties, batchsize=batchsize)
+
     def write(rows: DataFrame, batch_id: int) -> None:
         staged = rows.drop("source_partition", "source_offset")
-        writers.jdbc_append(staged, url, cfg.staging_table, properties, batchsize=batchsize)
+        if execute:
+            ledger.append_once(staged, execute, append, cfg.staging_table, batch_id)
+        else:
+            append(staged, cfg.staging_table)
 
     return write
 
@@ -149,7 +164,7 @@ def rejected_stream(
 ) -> DataStreamWriter:
     """The messages `table_stream` cannot use, with the reason, to a table of their own."""
     return (
-        cdc.rejected(messages, cfg)
+        progress.counting_rejects(cdc.rejected(messages, cfg))
         .writeStream.outputMode("append")
         .queryName(f"rejected_{cfg.name}")
         .option("checkpointLocation", f"{cfg.checkpoint(checkpoint_root)}_rejected")
@@ -158,6 +173,11 @@ def rejected_stream(
     )
 
 
+def streams_beside(rejects: str) -> list[str]:
+    """The stream of rows that reads the messages of this stream of rejects."""
+    return [cfg.staging_table for cfg in TABLES.values() if rejects == f"rejected_{cfg.name}"]
+
+
 def run_all(
     streams: Iterable[DataStreamWriter],
     *,
@@ -191,6 +211,9 @@ def main() -> None:
     target = parser.add_mutually_exclusive_group(required=True)
     target.add_argument("--root", help="folder of the warehouse tables")
     target.add_argument("--jdbc-url", help="database of the staging tables")
+    parser.add_argument("--ledger", action="store_true", help="count repeated batches to the database once")
+    parser.add_argument("--progress", help="folder of a table with a row per batch")
+    parser.add_argument("--reject-limit", type=float, help="share of rejects that stops a table's streams")
     parser.add_argument("--rejects", help="folder of the rejected messages; default: ROOT/rejected")
     parser.add_argument("--jdbc-option", action="append", default=[], metavar="NAME=VALUE")
     parser.add_argument("--topic-prefix", default=DEFAULT_TOPIC_PREFIX)
@@ -198,6 +221,8 @@ def main() -> None:
     parser.add_argument("--max-offsets", help="messages per micro-batch and table")
     parser.add_argument("--min-partitions", help="read tasks per table, to split large topic partitions")
     args = parser.parse_args()
+    if args.reject_limit is not None and not args.progress:
+        parser.error("--reject-limit needs --progress")
     if not (args.rejects or args.root):
         parser.error("--rejects is needed with --jdbc-url")
     rejects = (args.rejects or f"{args.root}/rejected").rstrip("/")
@@ -210,7 +235,8 @@ def main() -> None:
     def target_of(cfg: TableConfig) -> Callable[[DataFrame, int], None]:
         if args.root:
             return stage_and_build(cfg, args.root)
-        return stage_to_jdbc(cfg, args.jdbc_url, properties)
+        execute = ledger.connection(spark, args.jdbc_url, properties) if args.ledger else None
+        return stage_to_jdbc(cfg, args.jdbc_url, properties, execute=execute)
 
     def source(cfg: TableConfig) -> DataFrame:
         topic = cfg.topic(args.topic_prefix)
@@ -229,11 +255,13 @@ def main() -> None:
         rejected_stream(source(cfg), cfg, f"{rejects}/{cfg.name}", checkpoints)
         for cfg in TABLES.values()
     ]
-    run_all(
-        [rows(cfg) for cfg in TABLES.values() if cfg.name not in SLOT_FACTS] + rejected,
-        once=args.once,
-        after=[rows(cfg) for cfg in TABLES.values() if cfg.name in SLOT_FACTS],
-    )
+    log = progress.BatchLog(spark, args.progress, limit=args.reject_limit, beside=streams_beside)
+    with log if args.progress else nullcontext():
+        run_all(
+            [rows(cfg) for cfg in TABLES.values() if cfg.name not in SLOT_FACTS] + rejected,
+            once=args.once,
+            after=[rows(cfg) for cfg in TABLES.values() if cfg.name in SLOT_FACTS],
+        )
 
 
 if __name__ == "__main__":
