@@ -1,13 +1,14 @@
 """Chat formatting with Spark expressions only.
 
 A conversation's turns are collected as structs and sorted; adjacent turns of one role are
-merged by an array aggregation into one block; blocks are concatenated. A block is
+merged into one block by functions of the array; blocks are concatenated. A block is
 
     <|role:ROLE|>text<|next|>text<|end|>
 
 Inside roles and texts every backslash is doubled, `<|` becomes `<\\|` and `|>` becomes `|\\>`, so
 marks cannot be forged and the formatted string can be read back exactly. The loss mask is an array
-of spans, in code points, over the escaped texts of the assistant.
+of spans, in code points and in bytes, over the escaped texts of the assistant. No array or string
+grows turn by turn, so the work grows with the turns, not with their square.
 
 Defined cases: NULL text and NULL role are empty; NULL turns come first; turns of equal number
 are ordered by role and text, and repeated rows are turns of their own. Rows with a NULL
@@ -16,6 +17,8 @@ conversation form one conversation. An empty table gives no rows.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +27,8 @@ from slotstream.llm.tables import read
 # fixed values: the marks of the template
 OPEN, CLOSE, NEXT, END = "<|role:", "|>", "<|next|>", "<|end|>"
 LEARNED = "assistant"
+# turns whose sizes are added up at a time
+BLOCK = 64
 # in this order; read back, a pair of backslashes comes first
 ESCAPES = [("\\", "\\\\"), ("<|", "<\\|"), ("|>", "|\\>")]
 
@@ -46,8 +51,75 @@ def unescape(text: Column) -> Column:
     return F.array_join(F.transform(apart, marks), "\\")
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """`body` of `value`, which is computed once however often and wherever `body` uses it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def sums_before(sizes: Column) -> Column:
+    """For each number of an array the sum of those before it.
+
+    Sums of blocks are added up first, so that no array grows number by number."""
+
+    def total(numbers: Column) -> Column:
+        return F.aggregate(numbers, F.lit(0).cast("long"), lambda a, x: a + x)
+
+    def before_blocks(sizes: Column) -> Column:
+        last = F.floor((F.size(sizes) - 1) / BLOCK).cast("int")
+        blocks = F.transform(
+            F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
+            lambda b: total(F.slice(sizes, b * BLOCK + 1, F.lit(BLOCK))),
+        )
+        nothing = F.array(F.lit(0).cast("long"))
+        return F.aggregate(blocks, nothing, lambda a, x: F.concat(a, F.array(F.element_at(a, -1) + x)))
+
+    def places(sizes: Column, blocks: Column) -> Column:
+        def place(size: Column, i: Column) -> Column:
+            block = F.floor(i / BLOCK).cast("int")
+            return F.get(blocks, block) + total(F.slice(sizes, block * BLOCK + 1, i % BLOCK))
+
+        return F.transform(sizes, place)
+
+    return let(sizes, lambda s: let(before_blocks(s), lambda b: places(s, b)))
+
+
+def pieces_of(turns: Column) -> Column:
+    """Of each turn the mark before its text, the text, both escaped, and whether it is learned."""
+
+    def piece(turn: Column, i: Column) -> Column:
+        # indices below 0 give NULL, so the first turn is no continuation
+        same = F.get(turns, i - 1)["role"].eqNullSafe(turn["role"])
+        opened = F.concat(F.lit(OPEN), escape(turn["role"]), F.lit(CLOSE))
+        head = F.when(same, F.lit(NEXT)).when(i == 0, opened).otherwise(F.concat(F.lit(END), opened))
+        return F.struct(
+            head.alias("head"),
+            escape(turn["text"]).alias("text"),
+            (turn["role"] == F.lit(LEARNED)).alias("learned"),
+        )
+
+    return F.transform(turns, piece)
+
+
+def spans_of(pieces: Column, measure: Callable[[Column], Column]) -> Column:
+    """Where the learned texts lie, in what `measure` counts."""
+
+    def spans(before: Column) -> Column:
+        def span(p: Column, i: Column) -> Column:
+            start = F.get(before, i) + measure(p["head"])
+            return F.when(
+                p["learned"],
+                F.struct(start.alias("start"), measure(p["text"]).cast("long").alias("length")),
+            )
+
+        return F.filter(F.transform(pieces, span), lambda s: s.isNotNull())
+
+    sizes = F.transform(pieces, lambda p: (measure(p["head"]) + measure(p["text"])).cast("long"))
+    return let(sums_before(sizes), spans)
+
+
 def formatted(rows: DataFrame) -> DataFrame:
-    """`conv_id`, `formatted` and `loss_spans` (start, length) of every conversation."""
+    """`conv_id` and `formatted` of every conversation, and the spans (start, length) of its loss
+    mask, `loss_spans` in code points and `loss_bytes` in UTF-8 bytes."""
     turns = F.sort_array(
         F.collect_list(
             F.struct(
@@ -57,48 +129,20 @@ def formatted(rows: DataFrame) -> DataFrame:
             )
         )
     )
-    # one pass carries the string parts, where the next one starts, and the role before
-    nothing = F.struct(
-        F.array().cast("array<string>").alias("parts"),
-        F.array().cast("array<struct<start:long,length:long>>").alias("spans"),
-        F.lit(0).cast("long").alias("at"),
-        F.lit(None).cast("string").alias("role"),
-    )
 
-    def add(state: Column, turn: Column) -> Column:
-        same = state["role"].eqNullSafe(turn["role"])
-        head = F.when(same, F.lit(NEXT)).otherwise(
-            F.concat(
-                F.when(state["role"].isNull(), F.lit("")).otherwise(F.lit(END)),
-                F.lit(OPEN),
-                escape(turn["role"]),
-                F.lit(CLOSE),
-            )
-        )
-        text = escape(turn["text"])
-        start = state["at"] + F.length(head)
-        size = F.length(text).cast("long")
-        span = F.array(F.struct(start.cast("long").alias("start"), size.alias("length")))
-        learned = turn["role"] == F.lit(LEARNED)
+    def made(pieces: Column) -> Column:
+        parts = F.transform(pieces, lambda p: F.concat(p["head"], p["text"]))
         return F.struct(
-            F.concat(state["parts"], F.array(head, text)).alias("parts"),
-            F.when(learned, F.concat(state["spans"], span))
-            .otherwise(state["spans"])
-            .alias("spans"),
-            (start + size).cast("long").alias("at"),
-            turn["role"].alias("role"),
+            F.concat(F.array_join(parts, ""), F.lit(END)).alias("formatted"),
+            spans_of(pieces, F.length).alias("loss_spans"),
+            spans_of(pieces, F.octet_length).alias("loss_bytes"),
         )
 
-    made = F.aggregate(F.col("turns"), nothing, add)
     return (
         rows.groupBy("conv_id")
         .agg(turns.alias("turns"))
-        .select("conv_id", made.alias("made"))
-        .select(
-            "conv_id",
-            F.concat(F.array_join("made.parts", ""), F.lit(END)).alias("formatted"),
-            F.col("made.spans").alias("loss_spans"),
-        )
+        .select("conv_id", let(F.col("turns"), lambda t: let(pieces_of(t), made)).alias("made"))
+        .select("conv_id", "made.formatted", "made.loss_spans", "made.loss_bytes")
     )
 
 
@@ -119,11 +163,17 @@ def turns_of(text: Column) -> Column:
 
 
 def digest(chats: DataFrame) -> DataFrame:
-    """What the contract asks for, all of it read back from `formatted` and `loss_spans`."""
+    """What the contract asks for, all of it read back from `formatted` and its loss mask."""
     back = F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n")))
-    masked = F.transform(
-        "loss_spans",
-        lambda s: unescape(F.substring(F.col("formatted"), s["start"] + 1, s["length"])),
+    # by bytes: a code point is found only by counting from the start
+    masked = let(
+        F.col("formatted").cast("binary"),
+        lambda data: F.transform(
+            "loss_bytes",
+            lambda s: unescape(
+                F.substring(data, (s["start"] + 1).cast("int"), s["length"].cast("int")).cast("string")
+            ),
+        ),
     )
     return (
         chats.withColumn("turns", turns_of(F.col("formatted")))

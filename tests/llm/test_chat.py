@@ -1,6 +1,7 @@
 """Formatted conversations read back exactly."""
 
 import hashlib
+import time
 
 import compare
 import pytest
@@ -81,3 +82,38 @@ def test_edges(spark):
 def test_no_python_in_the_plan(spark):
     plan = chat.op4_chat_format(spark, "/root/testdata/sf0.001")._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_many_turns(spark):
+    """Twice the turns take about twice the time, where a square would take four times."""
+    took = []
+    for n in (20_000, 40_000):
+        rows = spark.range(n).selectExpr(
+            "1L AS conv_id", "id AS turn", "IF(id % 3 = 0, 'user', 'assistant') AS role", "concat('é<|', id) AS text"
+        )
+        begin = time.monotonic()
+        row = chat.digest(chat.formatted(rows)).first()
+        took.append(time.monotonic() - begin)
+        texts = [f"é<|{i}" for i in range(n)]
+        loss = "".join(x for i, x in enumerate(texts) if i % 3)
+        assert (row.n_turns, row.loss_chars) == (n, len(loss))
+        assert row.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
+    assert took[1] < 60
+
+
+def test_spans_in_code_points_and_bytes(spark):
+    rows = spark.createDataFrame(
+        [(1, i, "assistant" if i % 5 else "user", "é" * (i % 7) + "<|" * (i % 3)) for i in range(200)],
+        "conv_id long, turn long, role string, text string",
+    )
+    row = chat.formatted(rows).first()
+    wanted = [chat_escape("é" * (i % 7) + "<|" * (i % 3)) for i in range(200) if i % 5]
+    data = row.formatted.encode()
+    assert [row.formatted[s.start : s.start + s.length] for s in row.loss_spans] == wanted
+    assert [data[s.start : s.start + s.length].decode() for s in row.loss_bytes] == wanted
+
+
+def chat_escape(text):
+    for found, put in chat.ESCAPES:
+        text = text.replace(found, put)
+    return text
