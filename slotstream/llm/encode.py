@@ -18,24 +18,31 @@ from slotstream.llm.tables import HELD
 
 # a piece after the blank before it, if a text may be cut there
 SURE = re.compile(r"\n?[!-~À-ÖØ-öø-ÿ]")
-# pieces a worker remembers; when there are more, it keeps the half that it met most often
-REMEMBERED = 500_000
+# pieces a worker remembers, and their code points together; when there are more, it keeps the half
+# that it met most often
+REMEMBERED, REMEMBERED_CHARS = 500_000, 16 << 20
+# code points of a piece that is remembered at most; texts with a longer one are encoded whole
+LONGEST = 200
+# first pieces of texts that a worker remembers, which are apart from the others
+FIRSTS = 50_000
 # new pieces encoded in one call
 TOGETHER = 4_000
 
 
 class Numbers(dict):
     """Numbers pieces as they come; `new` has those to encode. Pieces at which a text may not
-    be cut get -1."""
+    be cut, and long ones, get -1."""
 
     def __init__(self, names: list[str]):
         super().__init__()
         self.names = names
+        self.chars = sum(map(len, names))
         self.new: list[str] = []
 
     def __missing__(self, piece: str) -> int:
-        if not SURE.match(piece):
+        if len(piece) > LONGEST or not SURE.match(piece):
             return -1
+        self.chars += len(piece)
         number = self[piece] = len(self.names)
         self.names.append(piece)
         # a line feed was set off by a blank that is not in the text
@@ -67,12 +74,12 @@ class Growing:
 class Encoder:
     """Ids of texts, as `Tokenizer.encode(text, add_special_tokens=False)` gives them."""
 
-    def __init__(self, path: str, remembered: int = REMEMBERED):
+    def __init__(self, path: str, remembered: int = REMEMBERED, chars: int = REMEMBERED_CHARS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.remembered = remembered
+        self.remembered, self.chars = remembered, chars
         self.names: list[str] = []
         self.words = Numbers(self.names)
         # whether an id's token begins with the byte symbol of a blank or a line feed
@@ -89,8 +96,9 @@ class Encoder:
     def _forget(self) -> None:
         """Keeps the pieces met most often, and what is known of them."""
         met = self.met.values
-        kept = np.sort(np.argsort(-met, kind="stable")[: self.remembered // 2])
-        self.firsts.clear()
+        often = np.argsort(-met, kind="stable")[: self.remembered // 2]
+        sizes = np.fromiter((len(self.names[i]) for i in often), np.int64, len(often))
+        kept = np.sort(often[np.cumsum(sizes) <= self.chars // 2])
         names = [self.names[i] for i in kept]
         place, lengths = self._places(kept)
         self.pool = Growing(np.uint32, self.pool.values[place])
@@ -134,13 +142,17 @@ class Encoder:
         """Ids of the piece that begins a text."""
         found = self.firsts.get(piece)
         if found is None:
-            found = self.firsts[piece] = self._ids(piece)
+            found = self._ids(piece)
+            if len(piece) <= LONGEST:
+                if len(self.firsts) >= FIRSTS:
+                    self.firsts.clear()
+                self.firsts[piece] = found
         return found
 
     def _numbers(self, texts: list[str]) -> list[tuple[str, np.ndarray] | None]:
         """For each text its first piece and the numbers of the others, or None if it is to be
         encoded whole."""
-        if len(self.names) > self.remembered:
+        if len(self.names) > self.remembered or self.words.chars > self.chars:
             self._forget()
         get = self.words.__getitem__
         out: list[tuple[str, np.ndarray] | None] = []

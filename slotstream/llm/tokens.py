@@ -5,7 +5,8 @@ change (NULL is empty), next to the SHA-256 of the tokenizer's file. Documents a
 the stored counts by these keys; of the texts without one, each distinct one is encoded once,
 and its count is appended to the cache.
 
-Defined cases: NULL and empty texts have 0 tokens. Repeated rows and NULL ids give a row each.
+Defined cases: NULL and empty texts have 0 tokens. Repeated rows and NULL ids give a row each;
+rows of equal text and id, or without one, are encoded once in each task that meets them.
 An empty table gives no rows and appends nothing. Counts appended twice, by a task that ran
 again or by two jobs at once, are equal and count once.
 """
@@ -46,11 +47,16 @@ def keyed(docs: DataFrame) -> DataFrame:
 
 
 def encoded(texts: DataFrame, path: str) -> DataFrame:
-    """`content` and the token count of each text."""
+    """`content` and the token count of each text; equal ones of a task are encoded once."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[bytes] = set()
         for batch in batches:
-            for part in slices(batch, "text", hold=True):
+            fresh = []
+            for content in batch.column("content").to_pylist():
+                fresh.append(content not in seen)
+                seen.add(content)
+            for part in slices(batch.filter(pa.array(fresh, pa.bool_())), "text", hold=True):
                 found = encoder(path).counts(part.column("text").to_pylist())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("content"), pa.array(found, pa.int64())],
@@ -79,7 +85,7 @@ def counts(docs: DataFrame, path: str, cache: str, *, limit: int = LIMIT) -> Dat
         & F.col("r.doc_id").eqNullSafe(F.col("d.doc_id")),
         "left_semi",
     )
-    # rows repeated in every column would be encoded as often; the cache keeps them harmless
+    # rows may share text and id, so this may be several rows; each task encodes a text once
     new = encoded(first, path).withColumn("version", F.lit(version))
     new.select("content", "version", "n_tokens").write.mode("append").parquet(cache)
     known = (

@@ -138,3 +138,33 @@ def test_plan_places_everything():
         assert placed[length] == first and (last - first) % per == 0 and filled <= 1024
         placed[length] = last
     assert placed == counts
+
+
+@pytest.mark.parametrize("name", VOCABULARIES)
+def test_what_a_worker_remembers_is_bounded(name, monkeypatch):
+    """Texts without blanks, and pieces of great length, give the same ids and are not held."""
+    monkeypatch.setattr(encode, "FIRSTS", 100)
+    draw = random.Random(3)
+    letters = "的一是不了人我在有他这中大来上国" + "abcdefgh"
+    word = lambda n: "".join(draw.choices(letters[16:], k=n))
+    texts = ["".join(draw.choices(letters[:16], k=30)) + str(i) for i in range(1000)]
+    texts += [f"{word(5)} {word(150)} {word(9)}" for i in range(1000)]
+    texts += [f"{word(5)} {word(1000)} {word(9)}" for i in range(200)]
+    want = whole(name, texts)
+    made = encode.Encoder(packing.vocabulary(name), chars=20_000)
+    for at in range(0, len(texts), 50):
+        assert [x.tolist() for x in made.ids(texts[at : at + 50])] == want[at : at + 50]
+        assert len(made.firsts) <= 100
+        # what was held before, and the pieces of one call
+        assert made.words.chars == sum(map(len, made.names)) <= 20_000 + 50 * 200
+        assert max(map(len, made.names), default=0) <= encode.LONGEST
+    assert made.counts(texts) == [len(x) for x in want]
+
+
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_one_text_without_ids_is_encoded_once_a_task(spark, tasks):
+    rows = spark.createDataFrame([(None, "same text")] * 500 + [(1, "other")], "doc_id long, text string")
+    cache = run_dir(spark, "cache")
+    path = packing.vocabulary(tokens.VOCABULARY)
+    assert len(tokens.counts(rows.repartition(tasks), path, cache).collect()) == 501
+    assert 2 <= spark.read.parquet(cache).count() <= 1 + tasks
