@@ -7,10 +7,11 @@ one format (a Feistel network with cycle walking), turned so that no value stand
 
 * one entity has one surrogate wherever and however it is written (coreference): letter case in
   e-mail addresses and separators in numbers do not matter;
-* two entities never share a surrogate (distinctness), without a table of all entities.
+* two entities never share a surrogate (distinctness): within a format by the bijection, and
+  across formats by a check over all documents, after which those that meet are drawn again.
 
-`collisions` checks both over a whole corpus: it returns the surrogates that stand for more
-than one entity, and entities with more than one surrogate, so it must come back empty.
+`collisions` counts, over a whole corpus, surrogates that meet before that, and entities with more
+than one surrogate.
 
 Detected: e-mail and IPv4 addresses, phone, card, social security and IBAN numbers, passwords and
 tokens after their name, cloud access keys, and person names (a title and a name, or a known given
@@ -38,10 +39,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from slotstream.session import materialise
 from slotstream.llm.tables import read, slices, small_batches
 
 # production runs pass a key of their own
 KEY = "slotstream"
+# columns of the collision check, its rounds, and entities drawn again that are broadcast at most
+AGAIN, PAGE, ROUNDS, BROADCAST = "_drawn_again", "_page", 20, 100_000
 
 # fixed values: given names by script and sex
 GIVEN = {
@@ -425,11 +429,25 @@ def entities(text: str) -> Iterator[tuple[str, int, int]]:
         yield kind, start, end
 
 
-def replaced(text: str, key: str) -> tuple[str, list[tuple[str, int, int]]]:
+# how often each entity that must not keep its first surrogate is drawn again
+Again = dict[tuple[str, str], int]
+# makes the surrogate of a text from key, kind and text
+Maker = Callable[[str, str, str], str]
+
+
+def drawn(key: str, kind: str, text: str, again: Again, make: Maker = surrogate) -> str:
+    """The surrogate, or that of a later round of keys."""
+    turn = again.get((kind, same_entity(kind, text)), 0) if again else 0
+    return make(f"{key}\0{turn}" if turn else key, kind, text)
+
+
+def replaced(
+    text: str, key: str, again: Again | None = None, make: Maker = surrogate
+) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with surrogates, and the entities of the original."""
     out, at, found = [], 0, list(entities(text))
     for kind, start, end in found:
-        out += [text[at:start], surrogate(key, kind, text[start:end])]
+        out += [text[at:start], drawn(key, kind, text[start:end], again or {}, make)]
         at = end
     return "".join([*out, text[at:]]), found
 
@@ -465,13 +483,20 @@ SPANS = pa.list_(
 )
 
 
-def cleaned(part: pa.RecordBatch, key: str) -> tuple[pa.Array, list[list]]:
+def again_of(part: pa.RecordBatch, row: int) -> Again:
+    told = part.column(AGAIN)[row].as_py() if AGAIN in part.schema.names else None
+    return {(x["kind"], x["entity"]): x["turn"] for x in told or []}
+
+
+def cleaned(
+    part: pa.RecordBatch, key: str, make: Maker = surrogate
+) -> tuple[pa.Array, list[list]]:
     """The text column with surrogates, and each row's entities."""
     spans: list[list] = [[] for _ in range(part.num_rows)]
     column = part.column("text").cast(pa.string())
     changed, texts = np.zeros(part.num_rows, bool), []
     for row in suspects(part).tolist():
-        text, found = replaced(column[row].as_py(), key)
+        text, found = replaced(column[row].as_py(), key, again_of(part, row), make)
         if found:
             spans[row] = found
             changed[row] = True
@@ -481,13 +506,15 @@ def cleaned(part: pa.RecordBatch, key: str) -> tuple[pa.Array, list[list]]:
     return column, spans
 
 
-def anonymise(docs: DataFrame, *, key: str = KEY) -> DataFrame:
-    """`doc_id`, `text` with surrogates, `n_entities`, and `spans` in the original text."""
+def anonymise(docs: DataFrame, *, key: str = KEY, make: Maker = surrogate) -> DataFrame:
+    """`doc_id`, `text` with surrogates, `n_entities`, and `spans` in the original text.
+
+    Surrogates are checked for collisions over all of `docs` first (`distinct_surrogates`)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                text, spans = cleaned(part, key)
+                text, spans = cleaned(part, key, make)
                 yield pa.RecordBatch.from_arrays(
                     [
                         part.column("doc_id").cast(pa.int64()),
@@ -507,54 +534,110 @@ def anonymise(docs: DataFrame, *, key: str = KEY) -> DataFrame:
                     names=["doc_id", "text", "n_entities", "spans"],
                 )
 
-    return docs.select("doc_id", "text").transform(small_batches).mapInArrow(
+    checked = distinct_surrogates(docs.select("doc_id", "text"), key, make)
+    return checked.transform(small_batches).mapInArrow(
         run,
         "doc_id long, text string, n_entities long, "
         "spans array<struct<kind:string,start_char:long,end_char:long>>",
     )
 
 
-def rewrite(docs: DataFrame, *, key: str = KEY) -> DataFrame:
+def rewrite(docs: DataFrame, *, key: str = KEY, make: Maker = surrogate) -> DataFrame:
     """`docs` with surrogates in `text`, and `n_chars` as it is then."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
-                text, _ = cleaned(part, key)
-                yield part.set_column(part.schema.get_field_index("text"), "text", text)
+                text, _ = cleaned(part, key, make)
+                yield part.set_column(part.schema.get_field_index("text"), "text", text).select(names)
 
-    out = docs.transform(small_batches).mapInArrow(run, docs.schema)
+    names = docs.columns
+    checked = distinct_surrogates(docs, key, make)
+    out = checked.transform(small_batches).mapInArrow(run, docs.schema)
     if "n_chars" in docs.columns:
         length = F.when(F.col("n_chars").isNotNull(), F.length("text"))
         out = out.withColumn("n_chars", length.cast(docs.schema["n_chars"].dataType))
     return out
 
 
-def collisions(docs: DataFrame, *, key: str = KEY) -> DataFrame:
-    """Kind and number of surrogates that stand for several entities (`shared`), and of entities
-    with several surrogates (`split`); no rows if there are none."""
+def pairs(docs: DataFrame, key: str, make: Maker = surrogate) -> DataFrame:
+    """Distinct `kind`, `entity`, `made` and `turn` of all entities, with the digest (`page`) of each
+    text that holds them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, "text"):
+                column, pages = part.column("text"), part.column(PAGE)
                 found = set()
-                column = part.column("text")
                 for row in suspects(part).tolist():
-                    text = column[row].as_py()
+                    text, again = column[row].as_py(), again_of(part, row)
                     for kind, a, b in entities(text):
-                        made = surrogate(key, kind, text[a:b])
-                        pair = same_entity(kind, text[a:b]), same_entity(kind, made, text[a:b])
-                        found.add((kind, *pair))
+                        value = text[a:b]
+                        entity = same_entity(kind, value)
+                        made = same_entity(kind, drawn(key, kind, value, again, make), value)
+                        turn = again.get((kind, entity), 0)
+                        found.add((kind, entity, made, turn, pages[row].as_py()))
                 rows = sorted(found)
+                types = [pa.string()] * 3 + [pa.int32(), pa.int64()]
+                names = ["kind", "entity", "made", "turn", PAGE]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([x[i] for x in rows], pa.string()) for i in range(3)],
-                    names=["kind", "entity", "made"],
+                    [pa.array([x[i] for x in rows], t) for i, t in enumerate(types)], names=names
                 )
 
-    pairs = docs.select("text").transform(small_batches).mapInArrow(run, "kind string, entity string, made string")
-    pairs = pairs.distinct()
-    shared = pairs.groupBy("kind", "made").count().filter("count > 1").groupBy("kind").count()
-    split = pairs.groupBy("kind", "entity").count().filter("count > 1").groupBy("kind").count()
+    told = [x for x in (AGAIN,) if x in docs.columns]
+    found = docs.select("text", F.xxhash64("text").alias(PAGE), *told).transform(small_batches)
+    schema = f"kind string, entity string, made string, turn int, {PAGE} long"
+    return found.mapInArrow(run, schema)
+
+
+def shared_surrogates(found: DataFrame) -> DataFrame:
+    """`kind`, `entity`, `turn` of entities whose surrogate one of smaller text has as well."""
+    each = found.select("kind", "made", "entity", "turn").distinct()
+    owners = each.groupBy("kind", "made").agg(
+        F.min("entity").alias("owner"), F.count_distinct("entity").alias("n")
+    )
+    owners = owners.filter("n > 1").select("kind", "made", "owner")
+    return each.join(owners, ["kind", "made"]).filter("entity <> owner").select("kind", "entity", "turn").distinct()
+
+
+def distinct_surrogates(docs: DataFrame, key: str, make: Maker = surrogate) -> DataFrame:
+    """`docs`, with a column AGAIN if some entities are drawn again.
+
+    Surrogates of one format differ by construction; those of different formats may meet. All
+    entities' surrogates are compared; of those that share one all but the smallest are drawn with
+    another round of keys, until none meet. What is drawn again goes to the documents that hold
+    it by a digest of their text. After ROUNDS rounds a ValueError says that a format is too narrow.
+    """
+    again = None
+    for _ in range(ROUNDS):
+        now = docs if again is None else with_again(docs, again)
+        found = materialise(pairs(now, key, make))
+        faulty = shared_surrogates(found)
+        if faulty.isEmpty():
+            return now
+        new = faulty.select("kind", "entity", (F.col("turn") + 1).alias("turn"))
+        told = found.select("kind", "entity", PAGE).distinct().join(new, ["kind", "entity"])
+        # an entity drawn twice has its last turn only
+        every = told if again is None else again.unionByName(told)
+        again = materialise(every.groupBy("kind", "entity", PAGE).agg(F.max("turn").alias("turn")))
+    raise ValueError(f"surrogates still meet after {ROUNDS} rounds of keys")
+
+
+def with_again(docs: DataFrame, again: DataFrame) -> DataFrame:
+    """`docs` with the entities of each text that are drawn again; few, so they are broadcast up to
+    BROADCAST entities, and joined beyond that."""
+    lists = again.groupBy(PAGE).agg(F.collect_list(F.struct("kind", "entity", "turn")).alias(AGAIN))
+    if again.limit(BROADCAST + 1).count() <= BROADCAST:
+        lists = F.broadcast(lists)
+    return docs.join(lists, F.xxhash64("text") == F.col(PAGE), "left").drop(PAGE)
+
+
+def collisions(docs: DataFrame, *, key: str = KEY, make: Maker = surrogate) -> DataFrame:
+    """Kind and number of surrogates that stand for several entities before any is drawn again
+    (`shared`), and of entities with several surrogates (`split`); no rows if there are none."""
+    each = pairs(docs, key, make).select("kind", "entity", "made").distinct()
+    shared = each.groupBy("kind", "made").count().filter("count > 1").groupBy("kind").count()
+    split = each.groupBy("kind", "entity").count().filter("count > 1").groupBy("kind").count()
     return shared.select("kind", F.lit("shared").alias("fault"), "count").unionByName(
         split.select("kind", F.lit("split").alias("fault"), "count")
     )

@@ -189,3 +189,31 @@ def test_edges(edges, none, documents):
     assert made.columns == docs.columns
     rows = {r.doc_id: r for r in made.collect()}
     assert rows[1].n_chars == len(rows[1].text) and rows[2].text is None
+
+
+@pytest.mark.parametrize("broadcast", [100_000, 0])
+def test_surrogates_that_meet_are_drawn_again(documents, monkeypatch, broadcast):
+    """With surrogates from a narrow range many meet at first; in the result none do, and an
+    entity has one surrogate in all its documents."""
+    kept = pii.surrogate
+
+    def narrow(key, kind, text):
+        made = kept(key, kind, text)
+        return f"{made.split('@')[0][0]}{len(key)}@example.org" if kind == "email" else made
+
+    monkeypatch.setattr(pii, "BROADCAST", broadcast)
+    values = [f"{a}{k}@mail.org" for k, a in enumerate("abcabdaxyz")]
+    docs = documents(*[(i, f"write to {x} now") for i, x in enumerate(values)], (50, " ".join(values)), (51, None))
+    assert {(r.kind, r.fault) for r in pii.collisions(docs, key="k", make=narrow).collect()} == {("email", "shared")}
+    rows = {r.doc_id: r.text for r in pii.anonymise(docs, key="k", make=narrow).collect()}
+    made = [rows[i].split()[2] for i in range(len(values))]
+    assert len(set(made)) == len(values) and rows[50].split() == made and rows[51] is None
+    out = pii.rewrite(docs, key="k", make=narrow)
+    assert out.columns == docs.columns
+    assert {r.doc_id: r.text for r in out.collect()} == rows
+
+
+def test_too_narrow_formats_are_told(documents, monkeypatch):
+    monkeypatch.setattr(pii, "ROUNDS", 2)
+    with pytest.raises(ValueError, match="still meet"):
+        pii.anonymise(documents((1, "a@b.org c@d.org")), make=lambda key, kind, text: "x@example.org")
