@@ -5,6 +5,7 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from slotstream.operators import booking, mutations, schedule
@@ -45,9 +46,19 @@ def appointments(log: DataFrame) -> DataFrame:
     return made.withColumn("appointment_id", F.col("appointment_id").cast("int"))
 
 
+def _short_lines(rows: DataFrame) -> DataFrame:
+    """The same places with the numbers of files, in order of their names, for the names, which would
+    take more room than the rows."""
+    names = rows.select(files.LINE[0]).distinct()
+    numbers = names.withColumn("_at", F.row_number().over(W.orderBy(files.LINE[0])))
+    placed = rows.join(F.broadcast(numbers), files.LINE[0])
+    return placed.withColumn(files.LINE[0], F.col("_at")).select(*rows.columns)
+
+
 def _without_conflicts(rows: DataFrame, keys: list[str]) -> DataFrame:
     """The rows an insert into an empty table takes that ignores conflicts: the first per key."""
-    return mutations.insert_ignore(rows.limit(0), rows, keys, files.LINE)
+    placed = _short_lines(rows)
+    return mutations.insert_ignore(placed.limit(0), placed, keys, files.LINE)
 
 
 def records(rows: DataFrame) -> DataFrame:
