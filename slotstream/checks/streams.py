@@ -15,7 +15,7 @@ from slotstream.operators import notify, warehouse
 from slotstream.operators.numbering import number_rows
 from slotstream.plans import follow
 from slotstream.plans import warehouse as plan
-from slotstream.session import run_dir
+from slotstream.session import names_in, run_dir
 from slotstream.sinks import ledger, writers
 from slotstream.sources import topics
 from slotstream.sources.registry import TABLES
@@ -114,12 +114,15 @@ def stream_audit(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def topic_files(df: DataFrame, path: str, batches: int) -> None:
-    """Messages as a file topic of several files, each a micro-batch to `file_stream`."""
-    df.repartition(batches).write.parquet(path)
+    """Messages as a file topic, mixed, in as many files for each of `batches` as tasks run at once."""
+    files = batches * df.sparkSession.sparkContext.defaultParallelism
+    df.repartition(files, "key", "offset").write.parquet(path)
 
 
-def file_stream(spark: SparkSession, topic: str, path: str) -> DataFrame:
-    options = {"maxFilesPerTrigger": "1"}
+def file_stream(spark: SparkSession, topic: str, path: str, batches: int) -> DataFrame:
+    """The files of a topic in `batches` micro-batches."""
+    files = sum(name.endswith(".parquet") for name in names_in(spark, path))
+    options = {"maxFilesPerTrigger": str(max(1, -(-files // batches)))}
     return topics.stream(spark, topic, fmt="parquet", path=path, options=options)
 
 
@@ -139,7 +142,7 @@ def stream_notify_late(spark: SparkSession, sf: str) -> DataFrame:
     for part in parts:
         batch = messages(log.filter(part), LOG, LOG.topic())
         batch.write.mode("append").parquet(f"{root}/log")
-        source = file_stream(spark, LOG.topic(), f"{root}/log")
+        source = file_stream(spark, LOG.topic(), f"{root}/log", 10**9)
         writer = writers.topic_writer(
             notifications.event_stream(source, moment(SINCE)),
             notifications.TOPIC,
@@ -190,10 +193,10 @@ def rejects_run(spark: SparkSession, sf: str, root: str) -> None:
     )
     topic_files(whole, f"{root}/topic", 2)
     rows = staging.table_stream(
-        file_stream(spark, SLOT.topic(), f"{root}/topic"), SLOT, staging.stage_only(SLOT, root), f"{root}/checkpoints"
+        file_stream(spark, SLOT.topic(), f"{root}/topic", 2), SLOT, staging.stage_only(SLOT, root), f"{root}/checkpoints"
     )
     rejects = staging.rejected_stream(
-        file_stream(spark, SLOT.topic(), f"{root}/topic"), SLOT, f"{root}/rejects", f"{root}/checkpoints"
+        file_stream(spark, SLOT.topic(), f"{root}/topic", 2), SLOT, f"{root}/rejects", f"{root}/checkpoints"
     )
     staging.run_all([rows, rejects], once=True)
 
@@ -296,8 +299,9 @@ def streamed_warehouse(spark: SparkSession, sf: str) -> str:
 
     def stream(name: str):
         cfg = TABLES[name]
-        topic_files(change_messages(spark, sf, name), f"{root}/topics/{name}", 4 if cfg is SLOT else 1)
-        source = file_stream(spark, cfg.topic(), f"{root}/topics/{name}")
+        batches = 4 if cfg is SLOT else 1
+        topic_files(change_messages(spark, sf, name), f"{root}/topics/{name}", batches)
+        source = file_stream(spark, cfg.topic(), f"{root}/topics/{name}", batches)
         return staging.table_stream(source, cfg, staging.stage_and_build(cfg, root), f"{root}/checkpoints")
 
     facts = [name for name in TABLES if name in staging.SLOT_FACTS]
@@ -356,7 +360,7 @@ def stream_late_slots(spark: SparkSession, sf: str) -> DataFrame:
     for name in ("appointment", "doctor_slot"):
         cfg = TABLES[name]
         topic_files(change_messages(spark, sf, name), f"{root}/topics/{name}", 2)
-        source = file_stream(spark, cfg.topic(), f"{root}/topics/{name}")
+        source = file_stream(spark, cfg.topic(), f"{root}/topics/{name}", 2)
         stream = staging.table_stream(source, cfg, staging.stage_and_build(cfg, root), f"{root}/checkpoints")
         staging.run_all([stream], once=True)
         follow.follow(spark, root, "fact_appointment")
