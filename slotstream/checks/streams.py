@@ -142,7 +142,8 @@ def stream_notify_late(spark: SparkSession, sf: str) -> DataFrame:
     for part in parts:
         batch = messages(log.filter(part), LOG, LOG.topic())
         batch.write.mode("append").parquet(f"{root}/log")
-        source = file_stream(spark, LOG.topic(), f"{root}/log", 10**9)
+        # all files that are new are one micro-batch, however many there are
+        source = topics.stream(spark, LOG.topic(), fmt="parquet", path=f"{root}/log")
         writer = writers.topic_writer(
             notifications.event_stream(source, moment(SINCE)),
             notifications.TOPIC,
