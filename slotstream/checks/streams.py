@@ -15,7 +15,7 @@ from slotstream.operators import notify, warehouse
 from slotstream.operators.numbering import number_rows
 from slotstream.plans import follow
 from slotstream.plans import warehouse as plan
-from slotstream.session import names_in, run_dir
+from slotstream.session import materialise, names_in, run_dir
 from slotstream.sinks import ledger, writers
 from slotstream.sources import topics
 from slotstream.sources.registry import TABLES
@@ -404,11 +404,11 @@ def admitted(spark: SparkSession, sf: str) -> tuple[str, DataFrame]:
     bookings.open_slots(slots, root, first_transaction=1001, first_appointment=5001)
     numbered = number_rows(requests, ["requested_at", "request_id"], "_number")
     n = numbered.count()
-    dealt = numbered.withColumn("_third", F.floor((F.col("_number") - 1) * 3 / F.lit(max(n, 1))))
+    dealt = materialise(numbered.withColumn("_third", F.floor((F.col("_number") - 1) * 3 / F.lit(max(n, 1)))))
     write = bookings.admission_writer(root, slots)
     for k in range(3):
         some = dealt.filter(F.col("_third") == k).drop("_third", "_number")
-        some.coalesce(1).write.mode("append").parquet(f"{root}/requests")
+        some.write.mode("append").parquet(f"{root}/requests")
         source = spark.readStream.schema(requests.schema).parquet(f"{root}/requests")
         staging.run_all([bookings.admission_stream(source, write, f"{root}/checkpoint")], once=True)
     return root, slots
